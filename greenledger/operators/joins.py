@@ -1,0 +1,44 @@
+"""Join helpers: broadcast only what is proven small."""
+
+from __future__ import annotations
+
+import weakref
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound on rows for an explicit broadcast of a lookup or dimension.
+# Dimensions here are site versions, metric codes, unit pairs and months:
+# thousands at most. Anything larger is left to the planner (sort-merge,
+# or AQE's runtime broadcast when the measured size allows it).
+BROADCAST_MAX_ROWS = 2_000_000
+
+_COUNTS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def bounded_count(df: DataFrame, cap: int = BROADCAST_MAX_ROWS) -> int:
+    """``min(count(df), cap + 1)``, reading at most ``cap + 1`` rows
+    (``limit`` stops the scan early). Memoised per DataFrame object."""
+    hit = _COUNTS.get(df)
+    if hit is None:
+        hit = df.limit(cap + 1).count()
+        _COUNTS[df] = hit
+    return hit
+
+
+def is_small(df: DataFrame, cap: int = BROADCAST_MAX_ROWS) -> bool:
+    return bounded_count(df, cap) <= cap
+
+
+def broadcast_if_small(base: DataFrame, derived: DataFrame | None = None,
+                       cap: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``derived`` (default ``base``) when ``base`` has at most
+    ``cap`` rows. ``derived`` must not have more rows than ``base`` (a
+    projection, filter or per-key aggregate of it)."""
+    target = base if derived is None else derived
+    return F.broadcast(target) if is_small(base, cap) else target
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
+    return broadcast_if_small(df, None, max_rows)
