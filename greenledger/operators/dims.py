@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .joins import inherit_bound
 from .keys import dense_key
 
 
@@ -41,11 +42,13 @@ def dim_site(stg_sites: DataFrame) -> DataFrame:
     """One row per site version, ``site_key`` dense by (site_id, valid_from);
     a version with no end date is the current one."""
     keyed = dense_key(stg_sites, ["site_id", "valid_from"], "site_key")
-    return keyed.select(*DIM_SITE_COLUMNS[:-1], F.col("valid_to").isNull().alias("is_current"))
+    return inherit_bound(keyed.select(*DIM_SITE_COLUMNS[:-1],
+                                      F.col("valid_to").isNull().alias("is_current")), keyed)
 
 
 def dim_metric(stg_metrics: DataFrame) -> DataFrame:
-    return dense_key(stg_metrics, ["metric_code"], "metric_key").select(*DIM_METRIC_COLUMNS)
+    keyed = dense_key(stg_metrics, ["metric_code"], "metric_key")
+    return inherit_bound(keyed.select(*DIM_METRIC_COLUMNS), keyed)
 
 
 def dim_date(spark: SparkSession, window: ReportingWindow) -> DataFrame:

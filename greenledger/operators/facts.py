@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
+from .joins import broadcast_if_small
 
 FACT_MONTHLY_COLUMNS = ["site_key", "date_key", "metric_key", "reading_id", "value", "uom",
                         "source_system", "submitted_at", "is_restatement", "is_estimated"]
@@ -76,9 +76,11 @@ def fact_monthly(values: DataFrame, dim_site: DataFrame, dim_date: DataFrame,
                  dim_metric: DataFrame) -> DataFrame:
     """Site version valid in the month (month-truncated, inclusive bounds),
     month inside the reporting window, metric known."""
-    sites = bounded_broadcast(_month_bounds(dim_site))
-    dates = bounded_broadcast(dim_date.select("date_key", F.col("month_start").alias("_m")))
-    metrics = bounded_broadcast(dim_metric.select("metric_key", F.col("metric_code").alias("_c")))
+    sites = broadcast_if_small(dim_site, _month_bounds(dim_site))
+    dates = broadcast_if_small(dim_date, dim_date.select("date_key",
+                                                         F.col("month_start").alias("_m")))
+    metrics = broadcast_if_small(dim_metric, dim_metric.select(
+        "metric_key", F.col("metric_code").alias("_c")))
     v = values
     j = (v.join(sites, (v["site_id"] == sites["_sid"])
                 & (v["reporting_month"] >= sites["_lo"]) & (v["reporting_month"] <= sites["_hi"]))
@@ -93,10 +95,11 @@ def fact_incident(stg_incidents: DataFrame, dim_site: DataFrame,
                   dim_date: DataFrame) -> DataFrame:
     """Site version valid on the incident's day (day granularity, inclusive),
     bucketed to its month's ``date_key``."""
-    sites = bounded_broadcast(dim_site.select(
+    sites = broadcast_if_small(dim_site, dim_site.select(
         "site_key", F.col("site_id").alias("_sid"), F.col("valid_from").alias("_lo"),
         F.coalesce("valid_to", F.lit(OPEN_END).cast("date")).alias("_hi")))
-    dates = bounded_broadcast(dim_date.select("date_key", F.col("month_start").alias("_m")))
+    dates = broadcast_if_small(dim_date, dim_date.select("date_key",
+                                                         F.col("month_start").alias("_m")))
     i = stg_incidents
     j = (i.join(sites, (i["site_id"] == sites["_sid"])
                 & (i["incident_date"] >= sites["_lo"]) & (i["incident_date"] <= sites["_hi"]))

@@ -26,6 +26,23 @@ def bounded_count(df: DataFrame, cap: int = BROADCAST_MAX_ROWS) -> int:
     return hit
 
 
+def inherit_bound(derived: DataFrame, base: DataFrame) -> DataFrame:
+    """Record that ``derived`` has no more rows than ``base`` (a projection,
+    filter, per-key aggregate or re-keying of it) if ``base`` was counted,
+    so later size checks on ``derived`` cost no job."""
+    hit = _COUNTS.get(base)
+    if hit is not None:
+        _COUNTS[derived] = hit
+    return derived
+
+
+def small_ref(df: DataFrame, cap: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A proven-small reference table folded into one partition, so the
+    per-key aggregates built on it run inside one task with no shuffle
+    stage. Larger tables are returned as they are."""
+    return inherit_bound(df.coalesce(1), df) if is_small(df, cap) else df
+
+
 def is_small(df: DataFrame, cap: int = BROADCAST_MAX_ROWS) -> bool:
     return bounded_count(df, cap) <= cap
 

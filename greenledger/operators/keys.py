@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import BROADCAST_MAX_ROWS, inherit_bound, is_small
 
 
 def _asc(c: str | Column) -> Column:
@@ -31,9 +32,15 @@ def dense_key(df: DataFrame, order: Sequence[str], key_name: str,
     """Add ``key_name`` (int, 1..N) numbering rows by ``order``; the other
     columns, in frame order, break ties so keys are deterministic."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     ties = [c for c in df.columns if c not in order]
     sort_cols = [_asc(c) for c in list(order) + ties]
+    if is_small(df, BROADCAST_MAX_ROWS):
+        # Proven small (a dimension): one sorted partition, keys are the
+        # positions. The sort is total, so the numbering is deterministic.
+        one = df.coalesce(1).sortWithinPartitions(*sort_cols)
+        key = (F.monotonically_increasing_id() + 1).cast("int").alias(key_name)
+        return inherit_bound(one.select(key, *df.columns), df)
+    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     ranged = df.repartitionByRange(max(1, n), *sort_cols).sortWithinPartitions(*sort_cols)
     fixed = ranged.checkpoint(eager=True)

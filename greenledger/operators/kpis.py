@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .dims import ReportingWindow
 from .facts import OPEN_END
-from .joins import bounded_broadcast
+from .joins import broadcast_if_small
 
 # KPI constants.
 TRIR_BASIS = 200000.0        # recordable incidents per 200,000 hours worked
@@ -39,7 +39,7 @@ def active_spine(dim_site: DataFrame, dim_date: DataFrame, window: ReportingWind
                     F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
     sites = dim_site.select("site_key", "site_id", "site_name", "business_unit", "region",
                             F.explode(months).alias("month_start"))
-    dates = bounded_broadcast(dim_date.select("date_key", "month_start", "period"))
+    dates = broadcast_if_small(dim_date, dim_date.select("date_key", "month_start", "period"))
     return sites.join(dates, "month_start").select(*SPINE_COLUMNS)
 
 
@@ -50,8 +50,8 @@ def metric_pivot(fact: DataFrame, dim_metric: DataFrame,
     ``measures`` (code, alias) and ``max(column)`` for each ``flags`` entry
     (code, column, alias). Only the listed codes are read."""
     codes = sorted({c for c, _ in measures} | {c for c, _, _ in flags})
-    metrics = bounded_broadcast(dim_metric.where(F.col("metric_code").isin(*codes))
-                                .select("metric_key", "metric_code"))
+    metrics = broadcast_if_small(dim_metric, dim_metric.where(
+        F.col("metric_code").isin(*codes)).select("metric_key", "metric_code"))
     f = fact.join(metrics, "metric_key")
     aggs = [F.max(F.when(F.col("metric_code") == F.lit(code), F.col("value"))).alias(alias)
             for code, alias in measures]
@@ -94,8 +94,8 @@ def monthly_recordables(fact_incident: DataFrame) -> DataFrame:
 
 def monthly_hours(fact: DataFrame, dim_metric: DataFrame) -> DataFrame:
     """Hours-worked fact rows, not aggregated (one per fact row)."""
-    m = bounded_broadcast(dim_metric.where(F.col("metric_code") == F.lit("HOURS_WORKED"))
-                          .select("metric_key"))
+    m = broadcast_if_small(dim_metric, dim_metric.where(
+        F.col("metric_code") == F.lit("HOURS_WORKED")).select("metric_key"))
     return fact.join(m, "metric_key").select("site_key", "date_key",
                                              F.col("value").alias("hours_worked"))
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, duck_date, duck_double, duck_timestamp, \
     month_start_of_period
-from .joins import BROADCAST_MAX_ROWS, bounded_count
+from .joins import BROADCAST_MAX_ROWS, bounded_count, small_ref
 
 Severity = Literal["ERROR", "WARN", "INFO"]
 Action = Literal["BLOCK", "QUARANTINE", "COERCE", "FLAG"]
@@ -303,6 +303,7 @@ def flag_readings(readings: DataFrame, refs: Mapping[str, DataFrame],
     this is a narrow (shuffle-free) transformation of the readings scan.
     """
     df = readings
+    refs = {name: small_ref(frame) for name, frame in refs.items() if name != "readings"}
     seen: set[str] = set()
     for rule in rules:
         for lk in rule.check.lookups(refs):

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks, conform, dims, facts, kpis, quality
 from ..operators.dims import ReportingWindow
+from ..operators.joins import inherit_bound
 from ..sources.sinks import export_report
 
 Materialize = Callable[[str, DataFrame], DataFrame]
@@ -39,7 +40,7 @@ class ReportingBuild:
     """All layers of one reporting build over five raw (string) tables."""
 
     # Layers read by more than one consumer: materialised when asked to.
-    SHARED = ("dq_quarantine", "stg_readings", "stg_incidents", "dim_site", "dim_metric",
+    SHARED = ("dq_flags", "dq_quarantine", "stg_readings", "stg_incidents", "dim_site", "dim_metric",
               "dim_date", "fact_eqs_monthly", "fact_incident", "active_spine",
               "kpi_emissions")
 
@@ -52,12 +53,17 @@ class ReportingBuild:
         self._materialize = materialize
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        return self._materialize(name, df) if name in self.SHARED else df
+        if name not in self.SHARED:
+            return df
+        return inherit_bound(self._materialize(name, df), df)
 
     # ------------------------------------------------------------ quality
     @cached_property
     def flagged(self) -> DataFrame:
-        return quality.flag_readings(self.raw["readings"], self.raw, self.params.rules)
+        """Raw readings with every rule's weights: the one pass over the
+        largest input; report, quarantine and staging all read it."""
+        return self._keep("dq_flags", quality.flag_readings(
+            self.raw["readings"], self.raw, self.params.rules))
 
     @cached_property
     def dq_report(self) -> DataFrame:
@@ -70,7 +76,8 @@ class ReportingBuild:
 
     @cached_property
     def kept_readings(self) -> DataFrame:
-        return quality.quarantine_exclusion(self.raw["readings"], self.dq_quarantine)
+        readings = self.flagged.select(*self.raw["readings"].columns)
+        return quality.quarantine_exclusion(readings, self.dq_quarantine)
 
     # ------------------------------------------------------------ staging
     @cached_property
