@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, duck_date, duck_double, duck_timestamp, \
     month_start_of_period
-from .joins import BROADCAST_MAX_ROWS, bounded_count, small_ref
+from .joins import BROADCAST_MAX_ROWS, bounded_count, broadcast_if_small, small_ref
 
 Severity = Literal["ERROR", "WARN", "INFO"]
 Action = Literal["BLOCK", "QUARANTINE", "COERCE", "FLAG"]
@@ -170,6 +170,7 @@ class ConvertibleUnit(Check):
         c = (refs["uom_conversions"].where(F.col("from_uom").isNotNull()
                                            & F.col("to_uom").isNotNull())
              .groupBy("from_uom", "to_uom").agg(F.count(F.lit(1)).alias("c_n")))
+        c = broadcast_if_small(refs["uom_conversions"], c)
         pairs = (m.join(c, m["canonical_uom"] == c["to_uom"])
                  .groupBy(F.col("metric_code").alias("_code"), F.col("from_uom").alias("_unit"))
                  .agg(F.sum("m_n").alias("matched"),
