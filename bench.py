@@ -29,8 +29,12 @@ from greenledger.sources.sinks import export_report  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    extra = {}
+    if os.environ.get("BENCH_EVENTLOG"):  # stage/task timings for offline analysis
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": os.environ["BENCH_EVENTLOG"]}
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
-                          app="greenledger-bench")
+                          app="greenledger-bench", extra=extra)
     scratch = tempfile.mkdtemp(prefix="greenledger-bench-", dir="/tmp")
     timings: dict[str, float] = {}
     jobs: dict[str, int] = {}

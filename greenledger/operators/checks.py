@@ -106,9 +106,6 @@ def check_ranges(outputs: Mapping[str, DataFrame], first_period: str,
         F.array_join(F.array_sort(F.collect_set("grouping_level")), ",").alias("yoy_levels"))
     others = [count_of(n) for n in ("dim_site", "dim_date", "dim_metric",
                                     "kpi_energy_intensity", "kpi_trir")]
-    # Each part is a one-row aggregate; zip them into a single row by
-    # stacking as (name, value) pairs would lose types, so gather columns
-    # with a union of structs keyed by a constant and one final aggregate.
     row = _one_row([trir, em, yoy] + others)
     return row.select(
         "*",
@@ -121,9 +118,9 @@ def check_ranges(outputs: Mapping[str, DataFrame], first_period: str,
 
 
 def _one_row(parts: Sequence[DataFrame]) -> DataFrame:
-    """Combine one-row frames into one row without a cross join: tag each
-    part's columns into a struct array, union, and take the first non-null
-    value of every column (each column comes from exactly one part)."""
+    """Combine one-row frames into one row without a cross join: align the
+    parts on the union of their columns (NULL elsewhere), union them and
+    take ``max`` of every column (each column comes from exactly one part)."""
     fields: list[tuple[str, str]] = []
     for p in parts:
         fields += [(f.name, f.dataType.simpleString()) for f in p.schema.fields]
