@@ -54,11 +54,33 @@ class Lookup:
     sources: tuple[str, ...] = ()    # reference tables bounding its row count
 
 
+@dataclass(frozen=True)
+class KeyedAgg:
+    """Aggregates of one reference table per key value, joined to every
+    reading on ``column == ref_table.key``. Specs of all rules that share
+    (table, key, column) become ONE per-key aggregate and ONE join."""
+    table: str
+    key: str
+    column: str
+    aggs: tuple[tuple[str, Column], ...]
+
+    @property
+    def name(self) -> str:
+        return f"{self.table}_{self.key}_{self.column}"
+
+
+def _kcol(table: str, key: str, column: str, agg: str) -> Column:
+    return F.col(f"_lk_{table}_{key}_{column}_{agg}")
+
+
 class Check:
     """How a rule decides, per reading, what it checked and what failed."""
 
     group_keys: tuple[str, ...] = ()
 
+    def keyed_aggs(self) -> list[KeyedAgg]:
+        return []
+
     def parsed(self) -> dict[str, Column]:
         """Typed views of raw columns this check reads, computed once per row
         and shared by every rule that needs them."""
@@ -142,15 +164,12 @@ class ExistsIn(Check):
     ref_table: str
     ref_column: str
 
-    def lookups(self, refs):
-        keys = (refs[self.ref_table].select(F.col(self.ref_column).alias("_k"))
-                .where(F.col("_k").isNotNull()).distinct()
-                .select(F.col("_k"), F.lit(True).alias("_found")))
-        return [Lookup(f"exists_{self.ref_table}_{self.ref_column}", keys,
-                       ((self.column, "_k"),), (self.ref_table,))]
+    def keyed_aggs(self):
+        return [KeyedAgg(self.ref_table, self.ref_column, self.column,
+                         (("found", F.max(F.lit(True))),))]
 
     def failed(self, p: str) -> Column:
-        return _flag(F.col(f"{p}exists_{self.ref_table}_{self.ref_column}__found").isNull())
+        return _flag(_kcol(self.ref_table, self.ref_column, self.column, "found").isNull())
 
 
 @dataclass(frozen=True)
@@ -162,11 +181,13 @@ class ConvertibleUnit(Check):
     code_column: str = "metric_code"
     unit_column: str = "uom"
 
+    def keyed_aggs(self):
+        return [KeyedAgg("metric_definitions", "metric_code", self.code_column,
+                         (("rows", F.count(F.lit(1))),))]
+
     def lookups(self, refs):
         m = (refs["metric_definitions"].where(F.col("metric_code").isNotNull())
              .groupBy("metric_code", "canonical_uom").agg(F.count(F.lit(1)).alias("m_n")))
-        per_code = m.groupBy(F.col("metric_code").alias("_code")).agg(
-            F.sum("m_n").alias("total"))
         c = (refs["uom_conversions"].where(F.col("from_uom").isNotNull()
                                            & F.col("to_uom").isNotNull())
              .groupBy("from_uom", "to_uom").agg(F.count(F.lit(1)).alias("c_n")))
@@ -175,14 +196,12 @@ class ConvertibleUnit(Check):
                  .groupBy(F.col("metric_code").alias("_code"), F.col("from_uom").alias("_unit"))
                  .agg(F.sum("m_n").alias("matched"),
                       F.sum(F.col("m_n") * F.col("c_n")).alias("matched_rows")))
-        return [Lookup("metric_total", per_code, ((self.code_column, "_code"),),
-                       ("metric_definitions",)),
-                Lookup("unit_pairs", pairs,
+        return [Lookup("unit_pairs", pairs,
                        ((self.code_column, "_code"), (self.unit_column, "_unit")),
                        ("metric_definitions", "uom_conversions"))]
 
     def _parts(self, p: str) -> tuple[Column, Column, Column]:
-        total = F.col(f"{p}metric_total_total")
+        total = _kcol("metric_definitions", "metric_code", self.code_column, "rows")
         matched = F.coalesce(F.col(f"{p}unit_pairs_matched"), F.lit(0))
         rows = F.coalesce(F.col(f"{p}unit_pairs_matched_rows"), F.lit(0))
         return total, matched, rows
@@ -205,20 +224,18 @@ class WithinValidity(Check):
     site_column: str = "site_id"
     period_column: str = "period"
 
-    def lookups(self, refs):
-        s = refs["sites"].where(F.col("site_id").isNotNull())
-        versions = s.groupBy(F.col("site_id").alias("_site")).agg(F.collect_list(F.struct(
+    def keyed_aggs(self):
+        versions = F.collect_list(F.struct(
             F.trunc(duck_date("valid_from"), "month").alias("lo"),
             F.trunc(duck_date("valid_to"), "month").alias("hi"),
-            blank_to_null("valid_to").isNotNull().alias("closed"),
-        )).alias("versions"))
-        return [Lookup("site_versions", versions, ((self.site_column, "_site"),), ("sites",))]
+            blank_to_null("valid_to").isNotNull().alias("closed")))
+        return [KeyedAgg("sites", "site_id", self.site_column, (("versions", versions),))]
 
     def parsed(self):
         return {_month(self.period_column): month_start_of_period(self.period_column)}
 
     def _versions(self, p: str) -> Column:
-        return F.col(f"{p}site_versions_versions")
+        return _kcol("sites", "site_id", self.site_column, "versions")
 
     def checked(self, p: str) -> Column:
         v = self._versions(p)
@@ -290,6 +307,9 @@ DEFAULT_RULES: tuple[Rule, ...] = (
 
 _P = "_lk_"  # prefix of lookup columns in the enriched frame
 
+# Largest quarantine whose distinct ids are broadcast for the exclusion join.
+QUARANTINE_BROADCAST_MAX_ROWS = 1_000_000
+
 
 def _w(rule: Rule, kind: str) -> str:
     return f"_w_{rule.rule_id}_{kind}"
@@ -305,27 +325,41 @@ def flag_readings(readings: DataFrame, refs: Mapping[str, DataFrame],
     """
     df = readings
     refs = {name: small_ref(frame) for name, frame in refs.items() if name != "readings"}
-    seen: set[str] = set()
+    merged: dict[str, KeyedAgg] = {}
     for rule in rules:
-        for lk in rule.check.lookups(refs):
-            if lk.name in seen:
-                continue
-            seen.add(lk.name)
-            cols = [c for c in lk.frame.columns if c not in {r for _, r in lk.on}]
-            right = lk.frame.select(
-                *[F.col(r).alias(f"{_P}{lk.name}_on_{i}") for i, (_, r) in enumerate(lk.on)],
-                *[F.col(c).alias(f"{_P}{lk.name}_{c}") for c in cols])
-            bound = 1
-            for src in lk.sources or ():
-                bound *= bounded_count(refs[src])
-            if lk.sources and bound <= BROADCAST_MAX_ROWS:
-                right = F.broadcast(right)
-            cond = None
-            for i, (left, _) in enumerate(lk.on):
-                term = df[left] == right[f"{_P}{lk.name}_on_{i}"]
-                cond = term if cond is None else cond & term
-            df = df.join(right, cond, "left").drop(
-                *[f"{_P}{lk.name}_on_{i}" for i in range(len(lk.on))])
+        for spec in rule.check.keyed_aggs():
+            prev = merged.get(spec.name)
+            aggs = dict(prev.aggs) if prev else {}
+            aggs.update(dict(spec.aggs))
+            merged[spec.name] = KeyedAgg(spec.table, spec.key, spec.column, tuple(aggs.items()))
+    lookups = [Lookup(spec.name,
+                      refs[spec.table].where(F.col(spec.key).isNotNull())
+                      .groupBy(F.col(spec.key).alias("_k"))
+                      .agg(*[a.alias(n) for n, a in spec.aggs]),
+                      ((spec.column, "_k"),), (spec.table,))
+               for spec in merged.values()]
+    for rule in rules:
+        lookups += rule.check.lookups(refs)
+    seen: set[str] = set()
+    for lk in lookups:
+        if lk.name in seen:
+            continue
+        seen.add(lk.name)
+        cols = [c for c in lk.frame.columns if c not in {r for _, r in lk.on}]
+        right = lk.frame.select(
+            *[F.col(r).alias(f"{_P}{lk.name}_on_{i}") for i, (_, r) in enumerate(lk.on)],
+            *[F.col(c).alias(f"{_P}{lk.name}_{c}") for c in cols])
+        bound = 1
+        for src in lk.sources or ():
+            bound *= bounded_count(refs[src])
+        if lk.sources and bound <= BROADCAST_MAX_ROWS:
+            right = F.broadcast(right)
+        cond = None
+        for i, (left, _) in enumerate(lk.on):
+            term = df[left] == right[f"{_P}{lk.name}_on_{i}"]
+            cond = term if cond is None else cond & term
+        df = df.join(right, cond, "left").drop(
+            *[f"{_P}{lk.name}_on_{i}" for i in range(len(lk.on))])
     parsed: dict[str, Column] = {}
     for rule in rules:
         parsed.update(rule.check.parsed())
@@ -455,7 +489,12 @@ def has_blocking_failures(report: DataFrame) -> bool:
 
 def quarantine_exclusion(readings: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Readings whose ``reading_id`` (as submitted) is not quarantined. All
-    copies of a quarantined id go; NULL ids never match and stay."""
+    copies of a quarantined id go; NULL ids never match and stay.
+
+    When the quarantine is proven small the id set is broadcast and the
+    readings stream through without a shuffle; otherwise it is a
+    sort-merge anti join (AQE splits a hot id)."""
     ids = quarantine.select(F.col("reading_id").alias("_qid")).where(
         F.col("_qid").isNotNull()).distinct()
+    ids = broadcast_if_small(quarantine, ids, QUARANTINE_BROADCAST_MAX_ROWS)
     return readings.join(ids, readings["reading_id"] == ids["_qid"], "left_anti")
