@@ -13,15 +13,24 @@ from pyspark.sql import functions as F
 # or AQE's runtime broadcast when the measured size allows it).
 BROADCAST_MAX_ROWS = 2_000_000
 
+# A frame spread over more partitions than this is never treated as small:
+# counting it, even with a limit, would start one task per partition.
+MAX_CHECKED_PARTITIONS = 256
+
 _COUNTS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
 
 def bounded_count(df: DataFrame, cap: int = BROADCAST_MAX_ROWS) -> int:
-    """``min(count(df), cap + 1)``, reading at most ``cap + 1`` rows
-    (``limit`` stops the scan early). Memoised per DataFrame object."""
+    """``min(count(df), cap + 1)``. Each of at most ``MAX_CHECKED_PARTITIONS``
+    tasks stops after ``cap + 1`` rows (``limit``); a frame with more
+    partitions is reported as over the cap without running a job, so the
+    check stays cheap on a 100 TB input. Memoised per DataFrame object."""
     hit = _COUNTS.get(df)
     if hit is None:
-        hit = df.limit(cap + 1).count()
+        if df.rdd.getNumPartitions() > MAX_CHECKED_PARTITIONS:
+            hit = cap + 1
+        else:
+            hit = df.limit(cap + 1).count()
         _COUNTS[df] = hit
     return hit
 

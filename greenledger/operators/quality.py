@@ -77,6 +77,9 @@ class Check:
     """How a rule decides, per reading, what it checked and what failed."""
 
     group_keys: tuple[str, ...] = ()
+    # Checks every row exactly once (rows_checked = number of readings); no
+    # weight column is stored for them.
+    unit_checked: bool = True
 
     def keyed_aggs(self) -> list[KeyedAgg]:
         return []
@@ -180,6 +183,7 @@ class ConvertibleUnit(Check):
     conversion-row combinations, like the left-join formulation."""
     code_column: str = "metric_code"
     unit_column: str = "uom"
+    unit_checked = False
 
     def keyed_aggs(self):
         return [KeyedAgg("metric_definitions", "metric_code", self.code_column,
@@ -223,6 +227,7 @@ class WithinValidity(Check):
     scope. Comparisons with an unparseable month or date are not failures."""
     site_column: str = "site_id"
     period_column: str = "period"
+    unit_checked = False
 
     def keyed_aggs(self):
         versions = F.collect_list(F.struct(
@@ -368,8 +373,9 @@ def flag_readings(readings: DataFrame, refs: Mapping[str, DataFrame],
     for rule in rules:
         if rule.is_group_rule:
             continue
-        weights.append(rule.check.checked(_P).cast("bigint").alias(_w(rule, "chk")))
-        weights.append(rule.check.failed(_P).cast("bigint").alias(_w(rule, "fail")))
+        if not rule.check.unit_checked:
+            weights.append(rule.check.checked(_P).cast("int").alias(_w(rule, "chk")))
+        weights.append(rule.check.failed(_P).cast("int").alias(_w(rule, "fail")))
     return df.select(*readings.columns, *weights)
 
 
@@ -406,16 +412,20 @@ def dq_report(flagged: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> Data
     order_of = {r.rule_id: i for i, r in enumerate(rules)}
     row_rules = [r for r in rules if not r.is_group_rule]
     group_rules = [r for r in rules if r.is_group_rule]
-    sums = [c for r in row_rules for c in (_w(r, "chk"), _w(r, "fail"))]
+    sums = [c for r in row_rules for c in (_w(r, "chk"), _w(r, "fail"))
+            if c in flagged.columns]
+    unit = [_w(r, "chk") for r in row_rules if r.check.unit_checked]
     parts = []
     if group_rules:
         first = group_rules[0]
         keys = list(first.check.group_keys)
         level1 = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                            *[F.sum(c).alias(c) for c in sums])
+                                            *[F.sum(c).cast("bigint").alias(c) for c in sums])
+        rows = F.coalesce(F.sum("_n"), F.lit(0))
         totals = level1.agg(
             *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
-            F.coalesce(F.sum("_n"), F.lit(0)).alias(_w(first, "chk")),
+            *[rows.alias(c) for c in unit],
+            rows.alias(_w(first, "chk")),
             F.coalesce(F.sum(F.when(_not_null(keys) & (F.col("_n") > 1), F.col("_n"))),
                        F.lit(0)).alias(_w(first, "fail")))
         parts.append(_report_rows(totals, row_rules + [first], order_of))
@@ -427,7 +437,9 @@ def dq_report(flagged: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> Data
                            F.lit(0)).alias(_w(rule, "fail")))
             parts.append(_report_rows(g, [rule], order_of))
     else:
-        totals = flagged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+        rows = F.count(F.lit(1))
+        totals = flagged.agg(*[F.coalesce(F.sum(c).cast("bigint"), F.lit(0)).alias(c)
+                               for c in sums], *[rows.alias(c) for c in unit])
         parts.append(_report_rows(totals, row_rules, order_of))
     out = parts[0]
     for p in parts[1:]:
