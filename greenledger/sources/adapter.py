@@ -57,24 +57,25 @@ TABLES = ["region", "nation", "supplier", "lineitem", "orders"]
 # Tables big enough to be worth spreading over all cores when the file layout
 # gives fewer input splits than that (one row group per file, as in the test
 # data, is read by a single task whatever the byte splits say).
-FACT_SOURCES = ("lineitem", "orders")
+FACT_SOURCES = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in FACT_SOURCES:
-        df = spread(df)
+        df = spread(df, FACT_SOURCES[name])
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source over the default parallelism, but only when it
-    arrives in fewer partitions than that. A large input (many files, many
-    row groups) is already parallel and is left untouched, so this never
-    adds a shuffle at scale."""
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute a source on its (uniform) key over the default
+    parallelism, but only when it arrives in fewer partitions than that. A
+    large input (many files, many row groups) is already parallel and is
+    left untouched, so this never adds a shuffle at scale. Hashing on a key
+    is deterministic on retry without the local sort round-robin needs."""
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
+        return df.repartition(parallelism, key)
     return df
 
 
