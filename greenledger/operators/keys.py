@@ -28,13 +28,15 @@ def _asc(c: str | Column) -> Column:
 
 
 def dense_key(df: DataFrame, order: Sequence[str], key_name: str,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None,
+              small_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Add ``key_name`` (int, 1..N) numbering rows by ``order``; the other
-    columns, in frame order, break ties so keys are deterministic."""
+    columns, in frame order, break ties so keys are deterministic. Frames
+    of at most ``small_rows`` rows are numbered in one task."""
     spark = df.sparkSession
     ties = [c for c in df.columns if c not in order]
     sort_cols = [_asc(c) for c in list(order) + ties]
-    if is_small(df, BROADCAST_MAX_ROWS):
+    if small_rows > 0 and is_small(df, small_rows):
         # Proven small (a dimension): one sorted partition, keys are the
         # positions. The sort is total, so the numbering is deterministic.
         one = df.coalesce(1).sortWithinPartitions(*sort_cols)
