@@ -1 +1,6 @@
-"""Incremental (Structured Streaming) ingestion of raw submissions."""
+"""Streaming: intentionally empty.
+
+The reporting pipeline this library re-expresses is a batch, full-refresh
+build (every run rebuilds raw -> KPIs); it has no streaming sources, state
+or late-data handling, so no streaming operator is provided here.
+"""
