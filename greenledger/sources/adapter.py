@@ -222,10 +222,13 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t = {name: read_table(spark, sf_dir, name) for name in TABLES}
     # A single-column distinct needs no rebalancing: read lineitem as is.
     slots = used_slots(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+    # The three reference tables are tiny joins of tiny inputs, read by many
+    # stages (rule lookups, staging, dimensions): checkpoint them once so each
+    # use is a plain scan instead of re-running their joins and broadcasts.
     return {
-        "sites": adapt_sites(t["nation"], t["region"]),
-        "metric_definitions": adapt_metric_definitions(spark, slots),
-        "uom_conversions": adapt_uom_conversions(spark, slots),
+        "sites": adapt_sites(t["nation"], t["region"]).checkpoint(eager=True),
+        "metric_definitions": adapt_metric_definitions(spark, slots).checkpoint(eager=True),
+        "uom_conversions": adapt_uom_conversions(spark, slots).checkpoint(eager=True),
         "readings": adapt_readings(t["lineitem"], t["supplier"]),
         "incidents": adapt_incidents(t["orders"]),
     }
