@@ -7,6 +7,8 @@ import weakref
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import num_partitions
+
 # Upper bound on rows for an explicit broadcast of a lookup or dimension.
 # Dimensions here are site versions, metric codes, unit pairs and months:
 # thousands at most. Anything larger is left to the planner (sort-merge,
@@ -27,7 +29,8 @@ def bounded_count(df: DataFrame, cap: int = BROADCAST_MAX_ROWS) -> int:
     check stays cheap on a 100 TB input. Memoised per DataFrame object."""
     hit = _COUNTS.get(df)
     if hit is None:
-        if df.rdd.getNumPartitions() > MAX_CHECKED_PARTITIONS:
+        parts = num_partitions(df)
+        if parts is not None and parts > MAX_CHECKED_PARTITIONS:
             hit = cap + 1
         else:
             hit = df.limit(cap + 1).count()

@@ -49,7 +49,7 @@ def dense_key(df: DataFrame, order: Sequence[str], key_name: str,
     counts = {r["pid"]: r["n"] for r in
               fixed.groupBy(F.spark_partition_id().alias("pid"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_parts = fixed.rdd.getNumPartitions()
+    n_parts = max(counts, default=-1) + 1
     sizes = [counts.get(i, 0) for i in range(n_parts)]
     starts = [0] + list(accumulate(sizes))[:-1]
     pid = F.spark_partition_id()

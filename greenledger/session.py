@@ -36,13 +36,33 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def num_partitions(df) -> int | None:
+    """Partition count of a DataFrame's plan, or None where the session does
+    not expose it (e.g. a Spark Connect client)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view in this session type
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is honoured when set. Only when it is unset
-    (local tests, the bench) do we pick a private scratch folder.
+    (local tests, the bench) do we pick a private scratch folder. A session
+    without a driver-side context (Spark Connect) keeps its server's setting.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -57,4 +77,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"

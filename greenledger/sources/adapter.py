@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import default_parallelism, ensure_checkpoint_dir, num_partitions
 
 # Metric catalogue, line slot -> (code, name, category, canonical
 # unit, additive flag).
@@ -73,8 +73,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     large input (many files, many row groups) is already parallel and is
     left untouched, so this never adds a shuffle at scale. Hashing on a key
     is deterministic on retry without the local sort round-robin needs."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    parallelism = default_parallelism(df.sparkSession)
+    parts = num_partitions(df)
+    if parallelism and parts is not None and parts < parallelism:
         return df.repartition(parallelism, key)
     return df
 
