@@ -38,6 +38,32 @@ def bounded_count(df: DataFrame, cap: int = BROADCAST_MAX_ROWS) -> int:
     return hit
 
 
+def prefetch_counts(frames, cap: int = BROADCAST_MAX_ROWS) -> None:
+    """Size-check several frames in ONE job: each contributes at most
+    ``cap + 1`` tagged rows to a union whose per-tag counts are one global
+    aggregate. Frames already counted, or too widely partitioned to be
+    small, are skipped."""
+    todo = []
+    for df in frames:
+        if df in _COUNTS:
+            continue
+        parts = num_partitions(df)
+        if parts is not None and parts > MAX_CHECKED_PARTITIONS:
+            _COUNTS[df] = cap + 1
+        else:
+            todo.append(df)
+    if not todo:
+        return
+    tagged = None
+    for i, df in enumerate(todo):
+        t = df.limit(cap + 1).select(F.lit(i).alias("_tag"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    row = tagged.agg(*[F.count_if(F.col("_tag") == i).alias(f"n{i}")
+                       for i in range(len(todo))]).first()
+    for i, df in enumerate(todo):
+        _COUNTS[df] = row[f"n{i}"]
+
+
 def inherit_bound(derived: DataFrame, base: DataFrame) -> DataFrame:
     """Record that ``derived`` has no more rows than ``base`` (a projection,
     filter, per-key aggregate or re-keying of it) if ``base`` was counted,

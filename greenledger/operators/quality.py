@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, duck_date, duck_double, duck_timestamp, \
     month_start_of_period
-from .joins import BROADCAST_MAX_ROWS, bounded_count, broadcast_if_small, small_ref
+from .joins import (BROADCAST_MAX_ROWS, bounded_count, broadcast_if_small, prefetch_counts,
+                    small_ref)
 
 Severity = Literal["ERROR", "WARN", "INFO"]
 Action = Literal["BLOCK", "QUARANTINE", "COERCE", "FLAG"]
@@ -329,7 +330,9 @@ def flag_readings(readings: DataFrame, refs: Mapping[str, DataFrame],
     this is a narrow (shuffle-free) transformation of the readings scan.
     """
     df = readings
-    refs = {name: small_ref(frame) for name, frame in refs.items() if name != "readings"}
+    refs = {name: frame for name, frame in refs.items() if name != "readings"}
+    prefetch_counts(refs.values())
+    refs = {name: small_ref(frame) for name, frame in refs.items()}
     merged: dict[str, KeyedAgg] = {}
     for rule in rules:
         for spec in rule.check.keyed_aggs():
@@ -444,7 +447,9 @@ def dq_report(flagged: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> Data
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.orderBy("_order").drop("_order")
+    # One row per rule: ordering them inside a single partition needs no
+    # range-partitioning sample job.
+    return out.coalesce(1).sortWithinPartitions("_order").drop("_order")
 
 
 def dq_quarantine(flagged: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
