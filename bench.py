@@ -37,7 +37,7 @@ def run_build(spark, sf_dir: str, out: str, timed) -> None:
     timed("stg_readings", lambda: b.stg_readings)
     timed("stg_incidents", lambda: b.stg_incidents)
     timed("dims", lambda: (b.dim_site, b.dim_metric, b.dim_date))
-    timed("fact_eqs_monthly", lambda: b.fact_eqs_monthly)
+    timed("fact_monthly", lambda: b.fact_monthly)
     timed("fact_incident", lambda: b.fact_incident)
     timed("active_spine", lambda: b.active_spine)
     timed("kpi_emissions", lambda: b.kpi_emissions)

@@ -24,7 +24,7 @@ KPI_CONTRACT: dict[str, list[str]] = {
                 "total_tco2e_ly", "yoy_abs", "yoy_pct"],
 }
 
-# Marts every build must produce.
+# Marts every build must produce (contract names).
 REQUIRED_MARTS = ["dim_site", "dim_metric", "dim_date", "fact_eqs_monthly", "fact_incident"]
 
 DQ_REPORT_COLUMNS = ["rule_id", "rule_name", "severity", "rows_checked", "rows_failed",

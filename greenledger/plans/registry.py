@@ -94,7 +94,7 @@ def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = build(spark, sf_dir)
     return stable(kpis.metric_pivot(
-        b.fact_eqs_monthly, b.dim_metric,
+        b.fact_monthly, b.dim_metric,
         [("ENERGY_CONS", "energy_mwh"), ("HOURS_WORKED", "hours_worked")],
         [("HOURS_WORKED", "is_estimated", "hours_are_estimated")]))
 
@@ -113,7 +113,7 @@ def q_check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = build(spark, sf_dir)
     return checks.check_unique([
         ("dim_site", b.dim_site, ["site_key"]),
-        ("fact_eqs_monthly", b.fact_eqs_monthly, ["site_key", "date_key", "metric_key"]),
+        ("fact_monthly", b.fact_monthly, ["site_key", "date_key", "metric_key"]),
         ("fact_incident", b.fact_incident, ["incident_id"]),
     ])
 
@@ -121,9 +121,9 @@ def q_check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_check_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = build(spark, sf_dir)
     return checks.check_orphans([
-        ("fact_eqs_monthly", b.fact_eqs_monthly, b.dim_site, "site_key"),
-        ("fact_eqs_monthly", b.fact_eqs_monthly, b.dim_metric, "metric_key"),
-        ("fact_eqs_monthly", b.fact_eqs_monthly, b.dim_date, "date_key"),
+        ("fact_monthly", b.fact_monthly, b.dim_site, "site_key"),
+        ("fact_monthly", b.fact_monthly, b.dim_metric, "metric_key"),
+        ("fact_monthly", b.fact_monthly, b.dim_date, "date_key"),
         ("fact_incident", b.fact_incident, b.dim_site, "site_key"),
     ])
 
@@ -173,7 +173,7 @@ def queries() -> dict[str, Query]:
         # facts
         "quarterly_allocation": q_quarterly_allocation,
         "monthly_values": _layer("monthly_values"),
-        "fact_monthly": _layer("fact_eqs_monthly"),
+        "fact_monthly": _layer("fact_monthly"),
         "fact_incident": _layer("fact_incident"),
         # KPIs
         "active_spine": _layer("active_spine"),

@@ -54,14 +54,14 @@ def test_month_level_validity_for_readings_vs_day_level_for_incidents(spark, fix
             reading(2, site="207", period="2025-07", code="HOURS_WORKED", value="100",
                     uom="hours")]
     b = _build(spark, fixture_refs, rows)
-    months = {r.date_key for r in b.fact_eqs_monthly.collect()}
+    months = {r.date_key for r in b.fact_monthly.collect()}
     assert months == {202506}
 
 
 def test_quarterly_allocation_fans_out_to_three_estimated_months(spark, fixture_refs):
     b = _build(spark, fixture_refs, [
         reading(1, period="2024-03", code="HOURS_WORKED", value="300", uom="hours", ptype="Q")])
-    rows = sorted((r.date_key, r.value, r.is_estimated) for r in b.fact_eqs_monthly.collect())
+    rows = sorted((r.date_key, r.value, r.is_estimated) for r in b.fact_monthly.collect())
     assert rows == [(202401, 100.0, True), (202402, 100.0, True), (202403, 100.0, True)]
     ei = {r.period: r for r in b.kpi_energy_intensity.where("site_id = 201").collect()}
     assert ei["2024-02"].is_estimated and not ei["2024-04"].is_estimated

@@ -50,13 +50,13 @@ def test_run_pipeline_writes_contract_reports(spark, fixture_refs):
         header = open(sorted(parts)[0]).readline().strip().split(",")
         assert header == cols
         assert spark.read.option("header", True).csv(os.path.join(out, "reports", name)).count() > 0
-    assert os.path.isdir(os.path.join(out, "tables", "fact_eqs_monthly"))
+    assert os.path.isdir(os.path.join(out, "tables", "fact_monthly"))
     u = {r.check_name: r for r in checks.check_unique([
         ("dim_site", b.dim_site, ["site_key"]),
-        ("fact", b.fact_eqs_monthly, ["site_key", "date_key", "metric_key"]),
+        ("fact", b.fact_monthly, ["site_key", "date_key", "metric_key"]),
         ("incident", b.fact_incident, ["incident_id"])]).collect()}
     assert all(r.duplicate_keys == 0 for r in u.values())
-    o = checks.check_orphans([("fact", b.fact_eqs_monthly, b.dim_site, "site_key")]).first()
+    o = checks.check_orphans([("fact", b.fact_monthly, b.dim_site, "site_key")]).first()
     assert o.orphan_rows == 0
     rng = checks.check_ranges({**b.marts(), **b.kpi_tables()}, "2024-01", "2025-12").first()
     assert rng.covers_window and rng.yoy_both_levels and rng.kpis_not_empty
