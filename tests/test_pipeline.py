@@ -71,3 +71,31 @@ def test_contract_violation_is_reported(spark):
         checks.check_columns(df, ["b", "a"], "x")
     with pytest.raises(checks.ContractError):
         checks.check_required({"dim_site": df}, checks.REQUIRED_MARTS)
+
+
+def test_command_line_build(spark, tmp_path):
+    import shutil
+
+    from conftest import READING_COLS
+
+    from greenledger.__main__ import main
+
+    src = tmp_path / "landing"
+    src.mkdir()
+    for name in ("sites", "metric_definitions", "uom_conversions", "incidents"):
+        shutil.copy(FIXTURES / f"{name}.csv", src / f"{name}.csv")
+    with pytest.raises(FileNotFoundError):
+        main([str(src), str(tmp_path / "out0")])
+    lines = [",".join(READING_COLS)]
+    for i in range(24):
+        period = f"{2024 + i // 12}-{i % 12 + 1:02d}"
+        for code, uom in (("SCOPE1_GHG", "t"), ("SCOPE2_GHG", "kg"), ("HOURS_WORKED", "hours")):
+            lines.append(f"{len(lines)},201,{period},{code},12,{uom},M,PORTAL,"
+                         f"{period}-05 08:00:00")
+    (src / "readings.csv").write_text("\r\n".join(lines) + "\r\n")
+    assert main([str(src), str(tmp_path / "out")]) == 0
+    for name in ("dq_report", "kpi_emissions", "kpi_energy_intensity", "kpi_trir", "kpi_yoy"):
+        assert glob.glob(str(tmp_path / "out" / "reports" / name / "part-*.csv")), name
+    em = spark.read.option("header", True).csv(str(tmp_path / "out" / "reports" / "kpi_emissions"))
+    row = em.where("site_id = '201' AND period = '2024-06'").first()
+    assert float(row.total_tco2e) == 12.012
