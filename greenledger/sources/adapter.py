@@ -168,9 +168,9 @@ def _kept(k: Column, n: Column, ln: Column, y: Column, m: Column) -> Column:
 def adapt_readings(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     r = _reading_keys(lineitem, supplier)
     k, n, ln, q = F.col("k"), F.col("n"), F.col("ln"), F.col("q")
-    code = F.element_at(
-        F.array(*[F.lit(c) for _, c, *_ in METRIC_SLOTS], F.lit("UNDEFINED")),
-        ln.cast("int"))
+    codes = F.array(*[F.lit(c) for _, c, *_ in METRIC_SLOTS])
+    code = F.when(ln.between(1, len(METRIC_SLOTS)), F.element_at(codes, ln.cast("int"))) \
+        .otherwise(F.lit("UNDEFINED"))
     value = (F.when(k % 211 == 0, F.lit("n/a"))
              .when(k % 223 == 0, F.concat(F.lit("-"), _s(q)))
              .when(ln == 6, _s(q * 400))
