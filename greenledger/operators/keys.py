@@ -18,7 +18,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, reliable_checkpoint
 from .joins import BROADCAST_MAX_ROWS, inherit_bound, is_small
 
 
@@ -45,7 +45,7 @@ def dense_key(df: DataFrame, order: Sequence[str], key_name: str,
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     ranged = df.repartitionByRange(max(1, n), *sort_cols).sortWithinPartitions(*sort_cols)
-    fixed = ranged.checkpoint(eager=True)
+    fixed = reliable_checkpoint(ranged)
     counts = {r["pid"]: r["n"] for r in
               fixed.groupBy(F.spark_partition_id().alias("pid"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}

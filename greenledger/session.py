@@ -80,3 +80,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` without computing ``df`` twice: writing
+    the checkpoint files re-runs the plan unless it is persisted, so it is
+    persisted for the duration of the checkpoint only. The result reads
+    the files in the shared checkpoint folder (survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.persist()
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
