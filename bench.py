@@ -53,9 +53,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     extra = {}
+    for item in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
+        key, _, value = item.partition("=")  # extra session settings, k=v,k=v
+        extra[key.strip()] = value.strip()
     if os.environ.get("BENCH_EVENTLOG"):  # stage/task timings for offline analysis
         extra = {"spark.eventLog.enabled": "true",
-                 "spark.eventLog.dir": os.environ["BENCH_EVENTLOG"]}
+                 "spark.eventLog.dir": os.environ["BENCH_EVENTLOG"], **extra}
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="greenledger-bench", extra=extra)
     scratch = tempfile.mkdtemp(prefix="greenledger-bench-", dir="/tmp")
