@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -22,7 +21,7 @@ sys.path.insert(0, ROOT)
 from greenledger.operators import checks  # noqa: E402
 from greenledger.plans.pipeline import REPORT_ORDER, ReportingBuild, TableStore  # noqa: E402
 from greenledger.plans.registry import ADAPTER_PARAMS  # noqa: E402
-from greenledger.session import local_session  # noqa: E402
+from greenledger.session import local_session, scratch_path  # noqa: E402
 from greenledger.sources import adapter  # noqa: E402
 from greenledger.sources.sinks import export_report  # noqa: E402
 
@@ -61,7 +60,7 @@ def main() -> None:
                  "spark.eventLog.dir": os.environ["BENCH_EVENTLOG"], **extra}
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="greenledger-bench", extra=extra)
-    scratch = tempfile.mkdtemp(prefix="greenledger-bench-", dir="/tmp")
+    scratch = scratch_path(spark, "bench")  # under the session's checkpoint folder
     timings: dict[str, float] = {}
     jobs: dict[str, int] = {}
     tracker = spark.sparkContext.statusTracker()
