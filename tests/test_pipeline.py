@@ -51,6 +51,10 @@ def test_run_pipeline_writes_contract_reports(spark, fixture_refs):
         assert header == cols
         assert spark.read.option("header", True).csv(os.path.join(out, "reports", name)).count() > 0
     assert os.path.isdir(os.path.join(out, "tables", "fact_monthly"))
+    # Clean readings: the quarantine table is still written (typed, empty).
+    quarantine = spark.read.parquet(os.path.join(out, "tables", "dq_quarantine"))
+    assert quarantine.count() == 0 and quarantine.columns[0] == "rule_id"
+    assert os.path.isdir(os.path.join(out, "tables", "dq_flags"))
     u = {r.check_name: r for r in checks.check_unique([
         ("dim_site", b.dim_site, ["site_key"]),
         ("fact", b.fact_monthly, ["site_key", "date_key", "metric_key"]),
