@@ -74,3 +74,24 @@ def test_hot_key_report_and_latest_submission_are_exact(spark, fixture_refs):
     plan = _plan(latest)
     assert "partial_max" in plan          # combined map-side before the shuffle
     assert "partial_count" in _plan(q.dq_report(flagged))
+
+
+def test_fallback_beyond_broadcast_gives_same_results(spark, fixture_refs, monkeypatch):
+    """With the size caps forced to zero nothing is broadcast by us: lookups
+    and the exclusion become sort-merge joins, with identical results."""
+    rows = _hot_rows(600) + [reading(5, value="x"), reading(5), reading(6, site="999")]
+
+    def run():
+        raw = fixture_raw(fixture_refs, spark, rows)
+        flagged = q.flag_readings(raw["readings"], raw)
+        kept = q.quarantine_exclusion(raw["readings"], q.dq_quarantine(flagged))
+        return (sorted(map(tuple, q.dq_report(flagged).collect())),
+                sorted(r.reading_id for r in kept.collect()), _plan(kept))
+
+    report, kept, _ = run()
+    monkeypatch.setattr(q, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(q, "QUARANTINE_BROADCAST_MAX_ROWS", 0)
+    report2, kept2, plan2 = run()
+    assert report2 == report and kept2 == kept
+    assert "SortMergeJoin" in plan2
+    assert "5" not in kept                      # both copies of a bad id excluded
