@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,3 +97,13 @@ def attach(left: DataFrame, lookup: DataFrame, keys: Sequence[str], spread: str,
     dealt = left.withColumn("_salt", salt(F.col(spread), salts))
     parts = dealt.select(*keys, "_salt").distinct().join(lookup, list(keys), "inner")
     return dealt.join(parts, [*keys, "_salt"], how).drop("_salt")
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Larger Arrow batches for the eager jobs of narrow rows in this block."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, quality_rules, token_counts, toxicity
+from . import bpe_codec, exact_dedup, html_extract, minhash_dedup, mixing, quality_rules, token_counts, toxicity, warc
 from .common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,13 +38,31 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_dedup(read_table(spark, sf_dir, "documents"), minhash_dedup.Near(shingle=2))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe, op2_quality, op3_token_counts, op4_toxicity, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_quality, op3_token_counts, op4_toxicity, op6_minhash, op7_warc,
+                                   op8_mixing, op9_html, op10_exact_dedup)}
 
 
 OP10_SQL = """
@@ -57,5 +75,18 @@ FROM rows WINDOW same AS (PARTITION BY norm)
 """
 
 
+OP7_SQL = """
+WITH rows AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+kept AS (
+  SELECT page_id, payload, strlen(payload) AS payload_bytes,
+         CASE WHEN strlen(payload) >= 1000 THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS top
+  FROM rows)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM kept
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op7_warc": OP7_SQL, "op10_exact_dedup": OP10_SQL}
