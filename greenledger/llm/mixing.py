@@ -123,3 +123,14 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
     slot = F.floor(F.col("block") / F.col("shares")).cast("long") * h + F.col("offset")
     return (rows.join(F.broadcast(table), ["name", "turn"]).withColumn("slot", slot)
             .select("doc_id", "source", "block", "slot", (F.col("slot") * block + F.col("n") % block).alias("place"), "share"))
+
+
+def in_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, id_col: str = "doc_id",
+             source_col: str = "source", **options) -> DataFrame:
+    """All rows and columns of ``docs``, in ranges of the mix's places and sorted by
+    them, so that what is written is read in the mix's order. Rows that share an
+    id stand together at its first place; rows with a null id come first."""
+    mixed = mix_sources(docs, weights, id_col=id_col, source_col=source_col, **options)
+    places = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.min("place").alias("_place"))
+    rows = docs.join(places, docs[id_col].cast("long") == places["_id"], "left").drop("_id")
+    return rows.repartitionByRange("_place").sortWithinPartitions("_place").drop("_place")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, html_extract, minhash_dedup, mixing, quality_rules, token_counts, toxicity, warc
+from . import bpe_codec, exact_dedup, html_extract, minhash_dedup, mixing, quality_rules, suffix_dedup, token_counts, toxicity, warc
 from .common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_dedup(read_table(spark, sf_dir, "documents"), minhash_dedup.Near(shingle=2))
 
@@ -61,8 +65,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe, op2_quality, op3_token_counts, op4_toxicity, op6_minhash, op7_warc,
-                                   op8_mixing, op9_html, op10_exact_dedup)}
+    return {f.__name__: f for f in (
+        op1_bpe, op2_quality, op3_token_counts, op4_toxicity, op5_suffix_dedup, op6_minhash, op7_warc, op8_mixing,
+        op9_html, op10_exact_dedup)}
 
 
 OP10_SQL = """
