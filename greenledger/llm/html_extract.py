@@ -180,8 +180,9 @@ LABELLED = [
     (8, 0, 3, 0, 4, 0, 0, 0, 0), (6, 40, 5, 0, 3, 100, 0, 0, 0), (20, 55, 15, 60, 20, 50, 0, 0, 0),
     (3, 0, 10, 100, 8, 100, 0, 1, 0), (2, 0, 3, 100, 4, 100, 0, 1, 0), (7, 0, 4, 0, 5, 0, 0, 0, 0),
 ]
-# Blocks of the same shapes in a marked article are the article, whatever they look like.
-LABELLED += [(*row[:6], 1, row[7], 1) for row in LABELLED if row[6] == 0]
+# Blocks of the same shapes in a marked article are the article, and in a part
+# around it they are not, whatever they look like.
+LABELLED += [(*row[:6], place, row[7], int(place > 0)) for place in (1, -1) for row in LABELLED if row[6] == 0]
 
 
 @dataclass

@@ -190,7 +190,8 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
 def read_archives(manifest: DataFrame, folder: str, *, payloads: bool = True) -> DataFrame:
     """Records of the archives in the manifest: (page_id, url, record_type,
     refers_to, payload_bytes, payload_digest, payload). A response's digest is
-    computed anew and must be the recorded one; a revisit has no payload."""
+    computed anew and must be the recorded one, and an archive must have as many
+    whole records as were written; a revisit has no payload."""
     prepare(manifest.sparkSession)
     names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
@@ -198,8 +199,8 @@ def read_archives(manifest: DataFrame, folder: str, *, payloads: bool = True) ->
     def run(batches):
         fs, at = place(folder)
         for batch in batches:
-            for archive in batch.column(0).to_pylist():
-                rows, size = [], 0
+            for archive, records in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows, size, count = [], 0, 0
                 with fs.open_input_stream(f"{at}/{archive}", compression=None) as source:
                     for head, http, payload in read_archive(source):
                         recorded = base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:"))
@@ -211,12 +212,15 @@ def read_archives(manifest: DataFrame, folder: str, *, payloads: bool = True) ->
                                      _page(head.get("warc-refers-to")), int(http["content-length"]), recorded.hex(),
                                      payload if payloads and kind == "response" else None))
                         size += len(payload) if payloads else 0
+                        count += 1
                         if len(rows) >= 2000 or size >= 8 << 20:
                             yield _batch(rows, names, kinds)
                             rows, size = [], 0
+                if count != records:
+                    raise ValueError(f"{archive} has {count} whole records of {records}")
                 yield _batch(rows, names, kinds)
 
-    return manifest.select("archive").repartition("archive").mapInArrow(
+    return manifest.select("archive", "records").repartition("archive").mapInArrow(
         run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, "
              "payload_digest string, payload binary")
 
