@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from .operators.dims import ReportingWindow
 from .plans.pipeline import ReportingParams, run_pipeline
-from .session import ensure_checkpoint_dir
+from .session import shared_folder
 from .sources.raw import ingest_sources
 
 
@@ -31,11 +31,12 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("greenledger").getOrCreate()
-    ensure_checkpoint_dir(spark)
+    shared_folder(spark)
     raw = ingest_sources(spark, args.source_dir)
     build = run_pipeline(spark, raw, args.out_dir,
                          ReportingParams(window=ReportingWindow(args.start, args.months)))
-    for row in build.dq_report.collect():
+    report = spark.read.parquet(f"{args.out_dir.rstrip('/')}/tables/dq_report")
+    for row in report.orderBy("rule_id").collect():
         print(f"{row.rule_id} {row.severity:<5} checked={row.rows_checked} "
               f"failed={row.rows_failed} action={row.action_taken}  {row.rule_name}")
     print(f"reports written to {args.out_dir.rstrip('/')}/reports")

@@ -38,7 +38,7 @@ class ContractError(RuntimeError):
 def check_required(outputs: Mapping[str, DataFrame], required: Sequence[str]) -> None:
     missing = [name for name in required if name not in outputs]
     if missing:
-        raise ContractError("build incomplete - missing: " + ", ".join(missing))
+        raise ContractError("required outputs that were not built: " + ", ".join(missing))
 
 
 def check_columns(df: DataFrame, expected: Sequence[str], name: str = "output") -> None:

@@ -2,8 +2,9 @@
 
 All casts go through the dialect-exact helpers in ``greenledger.functions``.
 "Keep the best row per key" is a ``groupBy(key).agg(max(struct(...)))``:
-the aggregate is combined map-side, so a key holding a third of all rows
-costs one partial row per map task instead of one giant sort group.
+the aggregate is combined map-side (after a local sort, as a struct has no
+fixed-width buffer), so a key holding a third of all rows costs one partial
+row per map task instead of one giant sort group.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions import (blank_to_null, duck_bigint, duck_date, duck_double, duck_int,
                          duck_timestamp, month_start_of_period, ztrim)
-from .joins import broadcast_if_small, inherit_bound
 
 # Country spellings normalised to ISO codes (after trim/upper).
 COUNTRY_ALIASES = {"GERMANY": "DE", "USA": "US"}
@@ -35,7 +35,7 @@ def conform_sites(raw_sites: DataFrame) -> DataFrame:
     mapped = country
     for alias, code in COUNTRY_ALIASES.items():
         mapped = F.when(country == F.lit(alias), F.lit(code)).otherwise(mapped)
-    return inherit_bound(raw_sites.select(
+    return raw_sites.select(
         duck_int("site_id").alias("site_id"),
         ztrim("site_name").alias("site_name"),
         mapped.alias("country"),
@@ -44,25 +44,25 @@ def conform_sites(raw_sites: DataFrame) -> DataFrame:
         duck_int("headcount").alias("headcount"),
         duck_date("valid_from").alias("valid_from"),
         duck_date(blank_to_null("valid_to")).alias("valid_to"),
-    ), raw_sites)
+    )
 
 
 def conform_metrics(raw_metrics: DataFrame) -> DataFrame:
-    return inherit_bound(raw_metrics.select(
+    return raw_metrics.select(
         ztrim("metric_code").alias("metric_code"),
         ztrim("metric_name").alias("metric_name"),
         ztrim("category").alias("category"),
         ztrim("canonical_uom").alias("canonical_uom"),
         _yes("is_additive").alias("is_additive"),
-    ), raw_metrics)
+    )
 
 
 def conform_uom(raw_uom: DataFrame) -> DataFrame:
-    return inherit_bound(raw_uom.select(
+    return raw_uom.select(
         ztrim("from_uom").alias("from_uom"),
         ztrim("to_uom").alias("to_uom"),
         duck_double("factor").alias("conversion_factor"),
-    ), raw_uom)
+    )
 
 
 def typed_readings(readings: DataFrame) -> DataFrame:
@@ -84,10 +84,9 @@ def canonical_units(typed: DataFrame, stg_metrics: DataFrame, stg_uom: DataFrame
     """value x factor into the metric's canonical unit. Inner joins: a reading
     whose metric or unit pair is unknown does not reach the facts (such rows
     were quarantined by the quality rules already)."""
-    metrics = broadcast_if_small(stg_metrics, stg_metrics.select("metric_code", "canonical_uom"))
-    factors = broadcast_if_small(stg_uom, stg_uom.select(
-        F.col("from_uom").alias("source_uom"), F.col("to_uom").alias("canonical_uom"),
-        "conversion_factor"))
+    metrics = stg_metrics.select("metric_code", "canonical_uom")
+    factors = stg_uom.select(F.col("from_uom").alias("source_uom"),
+                             F.col("to_uom").alias("canonical_uom"), "conversion_factor")
     return (typed.join(metrics, "metric_code")
             .join(factors, ["source_uom", "canonical_uom"])
             .select("reading_id", "site_id", "period_start", "metric_code", "raw_value",

@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .joins import inherit_bound
 from .keys import dense_key
 
 
@@ -42,40 +41,33 @@ def dim_site(stg_sites: DataFrame) -> DataFrame:
     """One row per site version, ``site_key`` dense by (site_id, valid_from);
     a version with no end date is the current one."""
     keyed = dense_key(stg_sites, ["site_id", "valid_from"], "site_key")
-    return inherit_bound(keyed.select(*DIM_SITE_COLUMNS[:-1],
-                                      F.col("valid_to").isNull().alias("is_current")), keyed)
+    return keyed.select(*DIM_SITE_COLUMNS[:-1], F.col("valid_to").isNull().alias("is_current"))
 
 
 def dim_metric(stg_metrics: DataFrame) -> DataFrame:
     keyed = dense_key(stg_metrics, ["metric_code"], "metric_key")
-    return inherit_bound(keyed.select(*DIM_METRIC_COLUMNS), keyed)
+    return keyed.select(*DIM_METRIC_COLUMNS)
 
 
-def dim_date(spark: SparkSession, window: ReportingWindow) -> DataFrame:
-    """One row per month of the window (a generated spine, tiny by nature)."""
-    first = F.lit(window.first_month)
-    month = F.add_months(first, F.col("id").cast("int"))
-    return _date_columns(spark.range(0, window.months, 1, numPartitions=1)
-                         .select(month.alias("month_start")))
+def window_bounds(spark: SparkSession, window: ReportingWindow) -> DataFrame:
+    """One row: the first and last month of a given window."""
+    return spark.range(0, 1, 1, numPartitions=1).select(
+        F.lit(window.first_month).alias("first"), F.lit(window.last_month).alias("last"))
 
 
-def dim_date_ending_last_full_year(df: DataFrame, date_col: str, months: int) -> DataFrame:
-    """``dim_date`` for the ``months`` months that end with the last December
-    present in ``df[date_col]`` (the latest year the data reaches the end of).
-
-    The bound is one aggregate over the data (combined map-side); the spine
-    is then generated from it, so no value passes through the driver.
-    """
+def bounds_to_last_full_year(df: DataFrame, date_col: str, months: int) -> DataFrame:
+    """One row: the ``months`` months that end with the last December present in
+    ``df[date_col]``. One aggregate, combined map-side."""
     last = F.max(date_col)
-    last_full_year = F.when(F.month(last) == 12, F.year(last)).otherwise(F.year(last) - 1)
-    end = F.make_date(last_full_year, F.lit(12), F.lit(1))
-    bounds = df.agg(F.add_months(end, -(months - 1)).alias("first"), end.alias("last"))
-    spine = bounds.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH")))
-                          .alias("month_start"))
-    return _date_columns(spine)
+    full_year = F.when(F.month(last) == 12, F.year(last)).otherwise(F.year(last) - 1)
+    end = F.make_date(full_year, F.lit(12), F.lit(1))
+    return df.agg(F.add_months(end, -(months - 1)).alias("first"), end.alias("last"))
 
 
-def _date_columns(spine: DataFrame) -> DataFrame:
+def dim_date(bounds: DataFrame) -> DataFrame:
+    """One row per month from ``first`` to ``last``, both inclusive."""
+    spine = bounds.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH")))
+                          .alias("month_start"))
     return spine.select(
         F.date_format("month_start", "yyyyMM").cast("int").alias("date_key"),
         "month_start",

@@ -1,9 +1,9 @@
 """Facts: monthly metric values and incidents on surrogate keys.
 
 Both facts look a site version up by (site_id, date inside validity). The
-equi part (site_id) drives a broadcast hash join of the size-checked site
-dimension and the validity bounds are a residual predicate, so the large
-side streams through without a shuffle; no nested-loop join appears.
+equi part (site_id) drives a hash or sort-merge join, as the planner chooses
+by the dimension's bytes, and the validity bounds are a residual predicate;
+no nested-loop join appears.
 """
 
 from __future__ import annotations
@@ -11,14 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
-
 FACT_MONTHLY_COLUMNS = ["site_key", "date_key", "metric_key", "reading_id", "value", "uom",
                         "source_system", "submitted_at", "is_restatement", "is_estimated"]
 FACT_INCIDENT_COLUMNS = ["incident_id", "site_key", "date_key", "incident_date",
                          "incident_type", "severity", "is_recordable", "lost_days",
                          "reported_by"]
-VALUE_COLUMNS = ["reading_id", "site_id", "reporting_month", "metric_code", "metric_value",
+VALUE_COLUMNS = ["reading_id", "site_id", "value_month", "metric_code", "month_value",
                  "canonical_uom", "source_system", "submitted_at", "is_restatement",
                  "is_estimated"]
 
@@ -26,45 +24,31 @@ OPEN_END = "9999-12-31"
 QUARTER_MONTHS = 3
 
 
-def _values(df: DataFrame, offset, divisor, estimated) -> DataFrame:
-    return df.select(
-        "reading_id", "site_id",
-        F.add_months("period_start", -offset).alias("reporting_month"),
-        "metric_code",
-        (F.col("canonical_value") / divisor).alias("metric_value")
-        if divisor is not None else F.col("canonical_value").alias("metric_value"),
-        "canonical_uom", "source_system", "submitted_at", "is_restatement",
-        estimated.alias("is_estimated"))
-
-
-def quarterly_allocation(stg_readings: DataFrame) -> DataFrame:
-    """A quarterly row is labelled with the quarter's last month; it becomes
-    three monthly rows (that month and the two before), each a third of the
-    value, flagged as estimated. Done with ``explode(sequence)``, no join."""
-    q = stg_readings.where(F.col("period_type") == F.lit("Q")).withColumn(
-        "_k", F.explode(F.sequence(F.lit(0), F.lit(QUARTER_MONTHS - 1))))
-    return _values(q, F.col("_k"), F.lit(float(QUARTER_MONTHS)), F.lit(True))
-
-
 def monthly_values(stg_readings: DataFrame) -> DataFrame:
-    """Monthly rows as they are plus allocated quarterly rows. Equivalent to
-    ``monthly UNION ALL quarterly_allocation`` but a single scan: each row
-    explodes to one offset (M) or three (Q)."""
+    """One row per reading and month it counts for, in a single scan. A monthly
+    row is kept as it is; a quarterly row is labelled with the quarter's last
+    month and becomes three rows (that month and the two before), each a third
+    of the value and flagged as estimated."""
     is_q = F.col("period_type") == F.lit("Q")
-    kept = stg_readings.where(F.col("period_type").isin("M", "Q"))
-    offsets = F.when(is_q, F.sequence(F.lit(0), F.lit(QUARTER_MONTHS - 1))) \
+    back = F.when(is_q, F.sequence(F.lit(0), F.lit(QUARTER_MONTHS - 1))) \
         .otherwise(F.array(F.lit(0)))
-    exploded = kept.withColumn("_k", F.explode(offsets))
-    return exploded.select(
+    rows = (stg_readings.where(F.col("period_type").isin("M", "Q"))
+            .withColumn("_back", F.explode(back)))
+    return rows.select(
         "reading_id", "site_id",
-        F.add_months("period_start", -F.col("_k")).alias("reporting_month"),
+        F.add_months("period_start", -F.col("_back")).alias("value_month"),
         "metric_code",
         F.when(is_q, F.col("canonical_value") / F.lit(float(QUARTER_MONTHS)))
-        .otherwise(F.col("canonical_value")).alias("metric_value"),
+        .otherwise(F.col("canonical_value")).alias("month_value"),
         "canonical_uom", "source_system", "submitted_at", "is_restatement",
         is_q.alias("is_estimated"))
 
 
+def quarterly_allocation(stg_readings: DataFrame) -> DataFrame:
+    """The allocated rows of the quarterly readings alone."""
+    return monthly_values(stg_readings.where(F.col("period_type") == F.lit("Q")))
+
+
 def _month_bounds(dim_site: DataFrame) -> DataFrame:
     return dim_site.select(
         "site_key", F.col("site_id").alias("_sid"),
@@ -76,18 +60,16 @@ def fact_monthly(values: DataFrame, dim_site: DataFrame, dim_date: DataFrame,
                  dim_metric: DataFrame) -> DataFrame:
     """Site version valid in the month (month-truncated, inclusive bounds),
     month inside the reporting window, metric known."""
-    sites = broadcast_if_small(dim_site, _month_bounds(dim_site))
-    dates = broadcast_if_small(dim_date, dim_date.select("date_key",
-                                                         F.col("month_start").alias("_m")))
-    metrics = broadcast_if_small(dim_metric, dim_metric.select(
-        "metric_key", F.col("metric_code").alias("_c")))
+    sites = _month_bounds(dim_site)
+    dates = dim_date.select("date_key", F.col("month_start").alias("_m"))
+    metrics = dim_metric.select("metric_key", F.col("metric_code").alias("_c"))
     v = values
     j = (v.join(sites, (v["site_id"] == sites["_sid"])
-                & (v["reporting_month"] >= sites["_lo"]) & (v["reporting_month"] <= sites["_hi"]))
-         .join(dates, F.col("reporting_month") == F.col("_m"))
+                & (v["value_month"] >= sites["_lo"]) & (v["value_month"] <= sites["_hi"]))
+         .join(dates, F.col("value_month") == F.col("_m"))
          .join(metrics, F.col("metric_code") == F.col("_c")))
     return j.select("site_key", "date_key", "metric_key", "reading_id",
-                    F.col("metric_value").alias("value"), F.col("canonical_uom").alias("uom"),
+                    F.col("month_value").alias("value"), F.col("canonical_uom").alias("uom"),
                     "source_system", "submitted_at", "is_restatement", "is_estimated")
 
 
@@ -95,11 +77,10 @@ def fact_incident(stg_incidents: DataFrame, dim_site: DataFrame,
                   dim_date: DataFrame) -> DataFrame:
     """Site version valid on the incident's day (day granularity, inclusive),
     bucketed to its month's ``date_key``."""
-    sites = broadcast_if_small(dim_site, dim_site.select(
+    sites = dim_site.select(
         "site_key", F.col("site_id").alias("_sid"), F.col("valid_from").alias("_lo"),
-        F.coalesce("valid_to", F.lit(OPEN_END).cast("date")).alias("_hi")))
-    dates = broadcast_if_small(dim_date, dim_date.select("date_key",
-                                                         F.col("month_start").alias("_m")))
+        F.coalesce("valid_to", F.lit(OPEN_END).cast("date")).alias("_hi"))
+    dates = dim_date.select("date_key", F.col("month_start").alias("_m"))
     i = stg_incidents
     j = (i.join(sites, (i["site_id"] == sites["_sid"])
                 & (i["incident_date"] >= sites["_lo"]) & (i["incident_date"] <= sites["_hi"]))

@@ -1,12 +1,10 @@
 """Dense integer surrogate keys without a single-partition window.
 
 ``row_number() OVER (ORDER BY ...)`` funnels every row through one task.
-Here the rows are range-partitioned and sorted by the key order in
-parallel, the sorted frame is checkpointed to the shared checkpoint folder
-(so partition contents are fixed even if an executor is lost and the sort
-would sample differently), per-partition row counts (one number per
-partition) give each partition its starting offset, and each row's key is
-``offset + position inside its partition``. Keys are 1..N, dense, and
+Here the rows are range-partitioned and sorted in parallel and written to
+the shared folder with their partition and position, so both are fixed
+whatever happens to an executor. The row counts of the partitions (one
+number each) give each partition its first key. Keys are 1..N, dense, and
 follow the requested order, ascending with NULLs last.
 """
 
@@ -15,45 +13,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, reliable_checkpoint
-from .joins import BROADCAST_MAX_ROWS, inherit_bound, is_small
-
-
-def _asc(c: str | Column) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return col.asc_nulls_last()
+from ..session import written
 
 
 def dense_key(df: DataFrame, order: Sequence[str], key_name: str,
-              partitions: int | None = None,
-              small_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """Add ``key_name`` (int, 1..N) numbering rows by ``order``; the other
-    columns, in frame order, break ties so keys are deterministic. Frames
-    of at most ``small_rows`` rows are numbered in one task."""
+    columns, in frame order, break ties so keys are deterministic."""
     spark = df.sparkSession
     ties = [c for c in df.columns if c not in order]
-    sort_cols = [_asc(c) for c in list(order) + ties]
-    if small_rows > 0 and is_small(df, small_rows):
-        # Proven small (a dimension): one sorted partition, keys are the
-        # positions. The sort is total, so the numbering is deterministic.
-        one = df.coalesce(1).sortWithinPartitions(*sort_cols)
-        key = (F.monotonically_increasing_id() + 1).cast("int").alias(key_name)
-        return inherit_bound(one.select(key, *df.columns), df)
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    ranged = df.repartitionByRange(max(1, n), *sort_cols).sortWithinPartitions(*sort_cols)
-    fixed = reliable_checkpoint(ranged)
-    counts = {r["pid"]: r["n"] for r in
-              fixed.groupBy(F.spark_partition_id().alias("pid"))
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_parts = max(counts, default=-1) + 1
-    sizes = [counts.get(i, 0) for i in range(n_parts)]
-    starts = [0] + list(accumulate(sizes))[:-1]
+    by = [F.col(c).asc_nulls_last() for c in [*order, *ties]]
+    ranged = (df.repartitionByRange(partitions, *by) if partitions
+              else df.repartitionByRange(*by)).sortWithinPartitions(*by)
     pid = F.spark_partition_id()
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    offset = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts]), pid + 1)
-    key = (offset + position + 1).cast("int").alias(key_name)
-    return fixed.select(key, *df.columns)
+    placed = written(ranged.select("*", pid.alias("_pid"), position.alias("_pos")), "dense-key")
+    sizes = sorted((r["_pid"], r["n"]) for r in
+                   placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    starts = [0, *accumulate(n for _, n in sizes)]
+    first = spark.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)],
+                                  "_pid int, _first bigint")  # one row a partition
+    key = (F.col("_first") + F.col("_pos") + 1).cast("int").alias(key_name)
+    return placed.join(first, "_pid").select(key, *df.columns)

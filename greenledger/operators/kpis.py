@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .dims import ReportingWindow
 from .facts import OPEN_END
-from .joins import broadcast_if_small
 
 # KPI constants.
 TRIR_BASIS = 200000.0        # recordable incidents per 200,000 hours worked
@@ -39,7 +38,7 @@ def active_spine(dim_site: DataFrame, dim_date: DataFrame, window: ReportingWind
                     F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
     sites = dim_site.select("site_key", "site_id", "site_name", "business_unit", "region",
                             F.explode(months).alias("month_start"))
-    dates = broadcast_if_small(dim_date, dim_date.select("date_key", "month_start", "period"))
+    dates = dim_date.select("date_key", "month_start", "period")
     return sites.join(dates, "month_start").select(*SPINE_COLUMNS)
 
 
@@ -50,8 +49,7 @@ def metric_pivot(fact: DataFrame, dim_metric: DataFrame,
     ``measures`` (code, alias) and ``max(column)`` for each ``flags`` entry
     (code, column, alias). Only the listed codes are read."""
     codes = sorted({c for c, _ in measures} | {c for c, _, _ in flags})
-    metrics = broadcast_if_small(dim_metric, dim_metric.where(
-        F.col("metric_code").isin(*codes)).select("metric_key", "metric_code"))
+    metrics = dim_metric.where(F.col("metric_code").isin(*codes)).select("metric_key", "metric_code")
     f = fact.join(metrics, "metric_key")
     aggs = [F.max(F.when(F.col("metric_code") == F.lit(code), F.col("value"))).alias(alias)
             for code, alias in measures]
@@ -77,13 +75,13 @@ def kpi_energy_intensity(spine: DataFrame, fact: DataFrame, dim_metric: DataFram
     ``is_estimated``: the hours came from a quarterly allocation."""
     p = metric_pivot(fact, dim_metric,
                      [("ENERGY_CONS", "energy_mwh"), ("HOURS_WORKED", "hours_worked")],
-                     [("HOURS_WORKED", "is_estimated", "hours_are_estimated")])
+                     [("HOURS_WORKED", "is_estimated", "hours_allocated")])
     j = spine.join(p, ["site_key", "date_key"], "left")
     e, h = F.col("energy_mwh"), F.col("hours_worked")
     ratio = F.when(e.isNotNull() & h.isNotNull() & (h != 0), e * F.lit(basis) / h)
     return j.select("period", "site_id", "site_name", "energy_mwh", "hours_worked",
                     ratio.alias("mwh_per_1000_hours"),
-                    F.coalesce("hours_are_estimated", F.lit(False)).alias("is_estimated"))
+                    F.coalesce("hours_allocated", F.lit(False)).alias("is_estimated"))
 
 
 def monthly_recordables(fact_incident: DataFrame) -> DataFrame:
@@ -94,8 +92,7 @@ def monthly_recordables(fact_incident: DataFrame) -> DataFrame:
 
 def monthly_hours(fact: DataFrame, dim_metric: DataFrame) -> DataFrame:
     """Hours-worked fact rows, not aggregated (one per fact row)."""
-    m = broadcast_if_small(dim_metric, dim_metric.where(
-        F.col("metric_code") == F.lit("HOURS_WORKED")).select("metric_key"))
+    m = dim_metric.where(F.col("metric_code") == F.lit("HOURS_WORKED")).select("metric_key")
     return fact.join(m, "metric_key").select("site_key", "date_key",
                                              F.col("value").alias("hours_worked"))
 
@@ -119,17 +116,17 @@ def rolling_12m(spine: DataFrame, recordables: DataFrame, hours: DataFrame,
         "period", "month_start", "site_key", "site_id", "site_name",
         F.sum("recordable_incidents").over(w).cast("bigint").alias("recordable_incidents_r12"),
         F.sum("hours_worked").over(w).alias("hours_worked_r12"),
-        F.count(F.lit(1)).over(w).alias("months_in_window"),
-        F.count("hours_worked").over(w).alias("months_with_hours"))
+        F.count(F.lit(1)).over(w).alias("window_rows"),
+        F.count("hours_worked").over(w).alias("hours_rows"))
 
 
 def kpi_trir(rolling: DataFrame, basis: float = TRIR_BASIS,
              months: int = ROLLING_MONTHS) -> DataFrame:
     """Rolling TRIR = incidents x basis / hours, published only for a full
     window with hours in every month; the sums are shown regardless."""
-    full = (F.col("months_in_window") == months) & (F.col("months_with_hours") == months)
+    full = (F.col("window_rows") == months) & (F.col("hours_rows") == months)
     h = F.col("hours_worked_r12")
-    rate = F.when((F.col("months_in_window") >= months) & (F.col("months_with_hours") >= months)
+    rate = F.when((F.col("window_rows") >= months) & (F.col("hours_rows") >= months)
                   & h.isNotNull() & (h != 0),
                   F.col("recordable_incidents_r12") * F.lit(basis) / h)
     return rolling.select("period", "site_id", "site_name", "recordable_incidents_r12",

@@ -1,8 +1,8 @@
 """Declarative data-quality rules, evaluated in one distributed pass.
 
 A rule is data: an id, a plain-language name, a severity, an action, a
-check and (optionally) the reason written next to each offending row. A
-sustainability controller can read ``DEFAULT_RULES`` without reading code.
+check and (optionally) the reason written next to each offending row, so the
+rule book below reads as a table.
 
 Execution compiles every rule into columns of ONE enriched frame:
 
@@ -10,8 +10,8 @@ Execution compiles every rule into columns of ONE enriched frame:
   (usually 0/1; a lookup that fans out contributes its fan-out, exactly as
   the equivalent SQL join would count it);
 * reference data (sites, metrics, unit pairs) is pre-aggregated to one row
-  per join key and broadcast behind a size check, so enrichment is a
-  map-side pipeline with no shuffle and no row multiplication;
+  per join key, so enrichment multiplies no rows; how each lookup is joined
+  is the planner's choice by its bytes;
 * the report is a two-level aggregate: first by the duplicate-submission
   key (which also yields the group sizes the "multiple submissions" rule
   needs, combined map-side), then a global sum; one scan, one shuffle;
@@ -33,8 +33,6 @@ from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, duck_date, duck_double, duck_timestamp, \
     month_start_of_period
-from .joins import (BROADCAST_MAX_ROWS, bounded_count, broadcast_if_small, prefetch_counts,
-                    small_ref)
 
 Severity = Literal["ERROR", "WARN", "INFO"]
 Action = Literal["BLOCK", "QUARANTINE", "COERCE", "FLAG"]
@@ -52,7 +50,6 @@ class Lookup:
     name: str
     frame: DataFrame
     on: tuple[tuple[str, str], ...]  # (reading column, lookup column)
-    sources: tuple[str, ...] = ()    # reference tables bounding its row count
 
 
 @dataclass(frozen=True)
@@ -196,14 +193,12 @@ class ConvertibleUnit(Check):
         c = (refs["uom_conversions"].where(F.col("from_uom").isNotNull()
                                            & F.col("to_uom").isNotNull())
              .groupBy("from_uom", "to_uom").agg(F.count(F.lit(1)).alias("c_n")))
-        c = broadcast_if_small(refs["uom_conversions"], c)
         pairs = (m.join(c, m["canonical_uom"] == c["to_uom"])
                  .groupBy(F.col("metric_code").alias("_code"), F.col("from_uom").alias("_unit"))
                  .agg(F.sum("m_n").alias("matched"),
                       F.sum(F.col("m_n") * F.col("c_n")).alias("matched_rows")))
         return [Lookup("unit_pairs", pairs,
-                       ((self.code_column, "_code"), (self.unit_column, "_unit")),
-                       ("metric_definitions", "uom_conversions"))]
+                       ((self.code_column, "_code"), (self.unit_column, "_unit")))]
 
     def _parts(self, p: str) -> tuple[Column, Column, Column]:
         total = _kcol("metric_definitions", "metric_code", self.code_column, "rows")
@@ -224,10 +219,13 @@ class ConvertibleUnit(Check):
 class WithinValidity(Check):
     """The reading's month lies inside the site's validity, both ends
     truncated to the month and inclusive; an open end never fails. Checked
-    once per matching site version; readings of unknown sites are not in
-    scope. Comparisons with an unparseable month or date are not failures."""
+    once per matching site version, and every version that the month is outside
+    of is a failure; with ``any_version`` a reading is checked once and fails
+    only outside of all versions. Readings of unknown sites are not in scope.
+    Comparisons with an unparseable month or date are not failures."""
     site_column: str = "site_id"
     period_column: str = "period"
+    any_version: bool = False
     unit_checked = False
 
     def keyed_aggs(self):
@@ -245,13 +243,29 @@ class WithinValidity(Check):
 
     def checked(self, p: str) -> Column:
         v = self._versions(p)
-        return F.when(v.isNull(), F.lit(0)).otherwise(F.size(v))
+        n = F.lit(1) if self.any_version else F.size(v)
+        return F.when(v.isNull(), F.lit(0)).otherwise(n)
 
     def failed(self, p: str) -> Column:
         v = self._versions(p)
         month = F.col(_month(self.period_column))
         outside = F.filter(v, lambda x: (month < x["lo"]) | (x["closed"] & (month > x["hi"])))
-        return F.when(v.isNull(), F.lit(0)).otherwise(F.size(outside))
+        n = F.size(outside)
+        if self.any_version:
+            n = F.when(n == F.size(v), F.lit(1)).otherwise(F.lit(0))
+        return F.when(v.isNull(), F.lit(0)).otherwise(n)
+
+
+@dataclass(frozen=True)
+class ValidPeriod(Check):
+    """The reading's ``column`` is a month."""
+    column: str = "period"
+
+    def parsed(self):
+        return {_month(self.column): month_start_of_period(self.column)}
+
+    def failed(self, p: str) -> Column:
+        return _flag(F.col(_month(self.column)).isNull())
 
 
 @dataclass(frozen=True)
@@ -311,10 +325,16 @@ DEFAULT_RULES: tuple[Rule, ...] = (
          IsTimestamp("submitted_at"), "submitted_at is not a valid timestamp"),
 )
 
-_P = "_lk_"  # prefix of lookup columns in the enriched frame
+# Rules that a build may add: readings with no month to count for, which the
+# rule book above lets pass and the facts then leave out, and the validity of
+# sites with several versions.
+PERIOD_RULE = Rule("DQ010", "reading period is a month", "ERROR", "QUARANTINE", ValidPeriod(),
+                   "period is not a month")
+ANY_VERSION_RULE = Rule("DQ005", "reading period is within the site consolidation period", "ERROR",
+                        "QUARANTINE", WithinValidity(any_version=True),
+                        "reading is outside the site consolidation period")
 
-# Largest quarantine whose distinct ids are broadcast for the exclusion join.
-QUARANTINE_BROADCAST_MAX_ROWS = 1_000_000
+_P = "_lk_"  # prefix of lookup columns in the enriched frame
 
 
 def _w(rule: Rule, kind: str) -> str:
@@ -326,13 +346,10 @@ def flag_readings(readings: DataFrame, refs: Mapping[str, DataFrame],
                   rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
     """Raw readings plus, per row rule, ``checked``/``failed`` weights.
 
-    Every lookup is one row per key and broadcast behind a size check, so
-    this is a narrow (shuffle-free) transformation of the readings scan.
+    Every lookup is one row per key; reference tables that no rule reads are
+    not touched.
     """
     df = readings
-    refs = {name: frame for name, frame in refs.items() if name != "readings"}
-    prefetch_counts(refs.values())
-    refs = {name: small_ref(frame) for name, frame in refs.items()}
     merged: dict[str, KeyedAgg] = {}
     for rule in rules:
         for spec in rule.check.keyed_aggs():
@@ -344,7 +361,7 @@ def flag_readings(readings: DataFrame, refs: Mapping[str, DataFrame],
                       refs[spec.table].where(F.col(spec.key).isNotNull())
                       .groupBy(F.col(spec.key).alias("_k"))
                       .agg(*[a.alias(n) for n, a in spec.aggs]),
-                      ((spec.column, "_k"),), (spec.table,))
+                      ((spec.column, "_k"),))
                for spec in merged.values()]
     for rule in rules:
         lookups += rule.check.lookups(refs)
@@ -357,11 +374,6 @@ def flag_readings(readings: DataFrame, refs: Mapping[str, DataFrame],
         right = lk.frame.select(
             *[F.col(r).alias(f"{_P}{lk.name}_on_{i}") for i, (_, r) in enumerate(lk.on)],
             *[F.col(c).alias(f"{_P}{lk.name}_{c}") for c in cols])
-        bound = 1
-        for src in lk.sources or ():
-            bound *= bounded_count(refs[src])
-        if lk.sources and bound <= BROADCAST_MAX_ROWS:
-            right = F.broadcast(right)
         cond = None
         for i, (left, _) in enumerate(lk.on):
             term = df[left] == right[f"{_P}{lk.name}_on_{i}"]
@@ -405,6 +417,17 @@ def _not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def _submissions(rows: DataFrame, keys: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
+    """Rows per submission key (combined map-side), with sums of other columns."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                   *[F.sum(c).cast("bigint").alias(c) for c in sums])
+
+
+def _repeated(keys: Sequence[str]) -> Column:
+    """Of a row of ``_submissions``: several rows share a key without NULLs."""
+    return _not_null(keys) & (F.col("_n") > 1)
+
+
 def dq_report(flagged: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
     """``rule_id, rule_name, severity, rows_checked, rows_failed, action_taken``.
 
@@ -422,22 +445,21 @@ def dq_report(flagged: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> Data
     if group_rules:
         first = group_rules[0]
         keys = list(first.check.group_keys)
-        level1 = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                            *[F.sum(c).cast("bigint").alias(c) for c in sums])
+        level1 = _submissions(flagged, keys, sums)
         rows = F.coalesce(F.sum("_n"), F.lit(0))
         totals = level1.agg(
             *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
             *[rows.alias(c) for c in unit],
             rows.alias(_w(first, "chk")),
-            F.coalesce(F.sum(F.when(_not_null(keys) & (F.col("_n") > 1), F.col("_n"))),
-                       F.lit(0)).alias(_w(first, "fail")))
+            F.coalesce(F.sum(F.when(_repeated(keys), F.col("_n"))), F.lit(0))
+            .alias(_w(first, "fail")))
         parts.append(_report_rows(totals, row_rules + [first], order_of))
         for rule in group_rules[1:]:
             gk = list(rule.check.group_keys)
-            g = flagged.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n")).agg(
+            g = _submissions(flagged, gk).agg(
                 F.coalesce(F.sum("_n"), F.lit(0)).alias(_w(rule, "chk")),
-                F.coalesce(F.sum(F.when(_not_null(gk) & (F.col("_n") > 1), F.col("_n"))),
-                           F.lit(0)).alias(_w(rule, "fail")))
+                F.coalesce(F.sum(F.when(_repeated(gk), F.col("_n"))), F.lit(0))
+                .alias(_w(rule, "fail")))
             parts.append(_report_rows(g, [rule], order_of))
     else:
         rows = F.count(F.lit(1))
@@ -486,9 +508,8 @@ def duplicate_submissions(readings: DataFrame,
     with the group size. Group sizes are combined map-side; the join back
     is a plain equi join (AQE splits a hot key)."""
     keys = list(keys)
-    sizes = (readings.where(_not_null(keys))
-             .groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
-             .where(F.col("group_rows") > 1))
+    sizes = (_submissions(readings, keys).where(_repeated(keys))
+             .withColumnRenamed("_n", "group_rows"))
     return readings.select(*DETAIL_COLUMNS).join(sizes, keys)
 
 
@@ -504,14 +525,29 @@ def has_blocking_failures(report: DataFrame) -> bool:
     return bool(dq_gate(report).first()["is_blocked"])
 
 
+def own_failure(rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
+    """Of a flagged reading: a rule with a reason failed on this very row."""
+    hit = F.lit(False)
+    for rule in rules:
+        if rule.reason is not None and not rule.is_group_rule:
+            hit = hit | (F.col(_w(rule, "fail")) > 0)
+    return hit
+
+
 def quarantine_exclusion(readings: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Readings whose ``reading_id`` (as submitted) is not quarantined. All
-    copies of a quarantined id go; NULL ids never match and stay.
-
-    When the quarantine is proven small the id set is broadcast and the
-    readings stream through without a shuffle; otherwise it is a
-    sort-merge anti join (AQE splits a hot id)."""
+    copies of a quarantined id go; NULL ids never match and stay."""
     ids = quarantine.select(F.col("reading_id").alias("_qid")).where(
         F.col("_qid").isNotNull()).distinct()
-    ids = broadcast_if_small(quarantine, ids, QUARANTINE_BROADCAST_MAX_ROWS)
     return readings.join(ids, readings["reading_id"] == ids["_qid"], "left_anti")
+
+
+def kept_readings(flagged: DataFrame, columns: Sequence[str],
+                  rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
+    """``quarantine_exclusion`` on flagged readings: rows that fail by themselves
+    go without a join; what is left is joined only to find other copies of a
+    failing id."""
+    own = own_failure(rules)
+    failing = flagged.where(own).select("reading_id")
+    rest = flagged.where(~own | F.col("reading_id").isNull()).select(*columns)
+    return quarantine_exclusion(rest, failing)

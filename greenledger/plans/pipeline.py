@@ -10,15 +10,15 @@ every consumer and survives executor loss.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks, conform, dims, facts, kpis, quality
 from ..operators.dims import ReportingWindow
-from ..operators.joins import inherit_bound
 from ..sources.sinks import export_report
 
 Materialize = Callable[[str, DataFrame], DataFrame]
@@ -41,8 +41,8 @@ class ReportingBuild:
 
     # Layers read by more than one consumer: materialised when asked to.
     SHARED = ("dq_flags", "dq_quarantine", "stg_readings", "stg_incidents", "dim_site", "dim_metric",
-              "dim_date", "fact_monthly", "fact_incident", "active_spine",
-              "kpi_emissions")
+              "dim_date", "fact_eqs_monthly", "fact_incident", "active_spine",
+              *checks.KPI_CONTRACT)
 
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame],
                  params: ReportingParams | None = None,
@@ -55,7 +55,7 @@ class ReportingBuild:
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.SHARED:
             return df
-        return inherit_bound(self._materialize(name, df), df)
+        return self._materialize(name, df)
 
     # ------------------------------------------------------------ quality
     @cached_property
@@ -76,8 +76,7 @@ class ReportingBuild:
 
     @cached_property
     def kept_readings(self) -> DataFrame:
-        readings = self.flagged.select(*self.raw["readings"].columns)
-        return quality.quarantine_exclusion(readings, self.dq_quarantine)
+        return quality.kept_readings(self.flagged, self.raw["readings"].columns, self.params.rules)
 
     # ------------------------------------------------------------ staging
     @cached_property
@@ -123,7 +122,8 @@ class ReportingBuild:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._keep("dim_date", dims.dim_date(self.spark, self.params.window))
+        return self._keep("dim_date", dims.dim_date(
+            dims.window_bounds(self.spark, self.params.window)))
 
     @cached_property
     def monthly_values(self) -> DataFrame:
@@ -131,7 +131,7 @@ class ReportingBuild:
 
     @cached_property
     def fact_monthly(self) -> DataFrame:
-        return self._keep("fact_monthly", facts.fact_monthly(
+        return self._keep("fact_eqs_monthly", facts.fact_monthly(
             self.monthly_values, self.dim_site, self.dim_date, self.dim_metric))
 
     @cached_property
@@ -152,8 +152,8 @@ class ReportingBuild:
 
     @cached_property
     def kpi_energy_intensity(self) -> DataFrame:
-        return kpis.kpi_energy_intensity(self.active_spine, self.fact_monthly,
-                                         self.dim_metric)
+        return self._keep("kpi_energy_intensity", kpis.kpi_energy_intensity(
+            self.active_spine, self.fact_monthly, self.dim_metric))
 
     @cached_property
     def monthly_recordables(self) -> DataFrame:
@@ -170,8 +170,8 @@ class ReportingBuild:
 
     @cached_property
     def kpi_trir(self) -> DataFrame:
-        return kpis.kpi_trir(self.rolling_12m, self.params.trir_basis,
-                             self.params.rolling_months)
+        return self._keep("kpi_trir", kpis.kpi_trir(
+            self.rolling_12m, self.params.trir_basis, self.params.rolling_months))
 
     @cached_property
     def yoy_rollup(self) -> DataFrame:
@@ -179,27 +179,46 @@ class ReportingBuild:
 
     @cached_property
     def kpi_yoy(self) -> DataFrame:
-        return kpis.kpi_yoy(self.yoy_rollup)
+        return self._keep("kpi_yoy", kpis.kpi_yoy(self.yoy_rollup))
 
     # ------------------------------------------------------------- outputs
     def marts(self) -> dict[str, DataFrame]:
         """The marts under their contract names (``checks.REQUIRED_MARTS``)."""
-        layers = [self.dim_site, self.dim_metric, self.dim_date, self.fact_monthly,
-                  self.fact_incident]
-        return dict(zip(checks.REQUIRED_MARTS, layers))
+        return {"dim_site": self.dim_site, "dim_metric": self.dim_metric,
+                "dim_date": self.dim_date, "fact_eqs_monthly": self.fact_monthly,
+                "fact_incident": self.fact_incident}
 
     def kpi_tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in checks.KPI_CONTRACT}
 
-    def validate_contracts(self) -> None:
-        """Structural contract: required outputs and KPI columns in order."""
-        checks.check_required(self.marts(), checks.REQUIRED_MARTS)
-        tables = self.kpi_tables()
-        checks.check_required(tables, list(checks.KPI_CONTRACT))
+    def validate_columns(self) -> None:
+        """KPI and report columns in contract order."""
         for name, cols in checks.KPI_CONTRACT.items():
-            checks.check_columns(tables[name], cols, name)
+            checks.check_columns(self.kpi_tables()[name], cols, name)
         checks.check_columns(self.dq_report, checks.DQ_REPORT_COLUMNS, "dq_report")
 
+    def data_checks(self) -> dict[str, DataFrame]:
+        """The data part of the contract, one small frame per check."""
+        marts, w = self.marts(), self.params.window
+        fact, incident = marts["fact_eqs_monthly"], marts["fact_incident"]
+        return {
+            "check_unique": checks.check_unique([
+                ("dim_site", self.dim_site, ["site_key"]),
+                ("dim_metric", self.dim_metric, ["metric_key"]),
+                ("dim_date", self.dim_date, ["date_key"]),
+                ("fact_eqs_monthly", fact, ["site_key", "date_key", "metric_key"]),
+                ("fact_incident", incident, ["incident_id"])]),
+            "check_orphans": checks.check_orphans([
+                ("fact_eqs_monthly", fact, self.dim_site, "site_key"),
+                ("fact_eqs_monthly", fact, self.dim_metric, "metric_key"),
+                ("fact_eqs_monthly", fact, self.dim_date, "date_key"),
+                ("fact_incident", incident, self.dim_site, "site_key"),
+                ("fact_incident", incident, self.dim_date, "date_key")]),
+            "check_ranges": checks.check_ranges({**marts, **self.kpi_tables()}, w.start,
+                                                w.last_month.strftime("%Y-%m")),
+            "check_dq_report": checks.check_dq_report(self.dq_report),
+        }
+
 
 class TableStore:
     """Materialise layers as Parquet tables under one (shared) folder."""
@@ -215,6 +234,16 @@ class TableStore:
         self.written[name] = path
         return self.spark.read.parquet(path)
 
+    def present(self, names: Sequence[str]) -> dict[str, DataFrame]:
+        """Those of the named tables that can be read from the folder."""
+        found = {}
+        for name in names:
+            try:
+                found[name] = self.spark.read.parquet(f"{self.root}/{name}")
+            except AnalysisException:  # no such folder, or nothing in it
+                continue
+        return found
+
 
 # Sort keys for the published reports (the contract's natural order).
 REPORT_ORDER = {
@@ -225,15 +254,36 @@ REPORT_ORDER = {
 }
 
 
+class PublicationBlocked(RuntimeError):
+    """A failing rule with the BLOCK action stops the reports."""
+
+
 def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str,
-                 params: ReportingParams | None = None) -> ReportingBuild:
-    """Build every layer, write marts/KPIs as Parquet and the five reports
-    as CSV under ``out_dir``; return the build (layers read back)."""
+                 params: ReportingParams | None = None, gate: bool = False) -> ReportingBuild:
+    """Build every layer, write marts, KPIs and contract checks as Parquet and the
+    five reports as CSV under ``out_dir``; return the build (layers read back).
+
+    A required table that is missing from the folder, a duplicated key or an
+    orphaned fact row is an error; the other checks are written for the reader.
+    With ``gate`` a failing rule with the BLOCK action stops the KPI reports
+    after the quality report has been written."""
     store = TableStore(spark, f"{out_dir.rstrip('/')}/tables")
     build = ReportingBuild(spark, raw, params, materialize=store)
-    build.validate_contracts()
+    build.validate_columns()
+    build.marts()
+    _ = build.dq_quarantine  # written for the reader; nothing below needs it
+    required = [*checks.REQUIRED_MARTS, *checks.KPI_CONTRACT]
+    checks.check_required(store.present(required), required)
+    found = {name: store(name, df) for name, df in build.data_checks().items()}
+    bad = [r.asDict() for r in found["check_unique"].where("duplicate_keys > 0").collect()]
+    bad += [r.asDict() for r in found["check_orphans"].where("orphan_rows > 0").collect()]
+    if bad:
+        raise checks.ContractError(f"keys do not hold: {bad}")
     reports = f"{out_dir.rstrip('/')}/reports"
-    export_report(build.dq_report, checks.DQ_REPORT_COLUMNS, f"{reports}/dq_report", [])
+    report = store("dq_report", build.dq_report)
+    export_report(report, checks.DQ_REPORT_COLUMNS, f"{reports}/dq_report", ["rule_id"])
+    if gate and quality.has_blocking_failures(report):
+        raise PublicationBlocked("a blocking rule failed; see the quality report")
     for name, cols in checks.KPI_CONTRACT.items():
         export_report(getattr(build, name), cols, f"{reports}/{name}", REPORT_ORDER[name])
     return build

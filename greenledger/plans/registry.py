@@ -10,12 +10,13 @@ the oracle comparison does not trip over summation order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import checks, conform, dims, facts, kpis, quality
+from ..operators import checks, dims, facts, kpis, quality
 from ..operators.dims import ReportingWindow
 from ..session import scratch_path
 from ..sources import adapter
@@ -24,6 +25,9 @@ from .pipeline import ReportingBuild, ReportingParams
 
 ADAPTER_PARAMS = ReportingParams(window=ReportingWindow(*adapter.ADAPTER_WINDOW))
 
+# The rule that the gate query makes a blocking one.
+BLOCKING_RULE = "DQ001"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -58,7 +62,8 @@ def _rule(rule_id: str) -> Query:
 
 def q_ingest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Round-trip the adapted readings through a CSV file with a header and
-    read them back as all-string columns."""
+    read them back as all-string columns. The copy goes when the application
+    ends."""
     readings = adapter.raw_tables(spark, sf_dir)["readings"]
     path = scratch_path(spark, "ingest-readings")
     (readings.write.mode("overwrite").option("header", True)
@@ -76,7 +81,21 @@ def q_dq_multiple_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.dq_gate(build(spark, sf_dir).dq_report)
+    """The gate of a rule book in which numeric values are a blocking rule."""
+    rules = tuple(replace(r, action="BLOCK") if r.rule_id == BLOCKING_RULE else r
+                  for r in quality.DEFAULT_RULES)
+    return quality.dq_gate(_with_rules(spark, sf_dir, rules).dq_report)
+
+
+def _with_rules(spark: SparkSession, sf_dir: str, rules: tuple) -> ReportingBuild:
+    return ReportingBuild(spark, adapter.raw_tables(spark, sf_dir), replace(ADAPTER_PARAMS, rules=rules))
+
+
+def _one_rule(rule: quality.Rule) -> Query:
+    """Rows that one optional rule quarantines, the rule alone being the book."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _with_rules(spark, sf_dir, (rule,)).dq_quarantine
+    return run
 
 
 def q_quarterly_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +106,8 @@ def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month spine of the reporting window derived from the data: the last
     ``months`` months ending with the last complete calendar year of orders."""
     orders = adapter.read_table(spark, sf_dir, "orders")
-    return dims.dim_date_ending_last_full_year(orders, "o_orderdate",
-                                               ADAPTER_PARAMS.window.months)
+    return dims.dim_date(dims.bounds_to_last_full_year(orders, "o_orderdate",
+                                                       ADAPTER_PARAMS.window.months))
 
 
 def q_metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +115,7 @@ def q_metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable(kpis.metric_pivot(
         b.fact_monthly, b.dim_metric,
         [("ENERGY_CONS", "energy_mwh"), ("HOURS_WORKED", "hours_worked")],
-        [("HOURS_WORKED", "is_estimated", "hours_are_estimated")]))
+        [("HOURS_WORKED", "is_estimated", "hours_allocated")]))
 
 
 def q_strict_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,33 +129,25 @@ def q_rolling_12m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = build(spark, sf_dir)
-    return checks.check_unique([
-        ("dim_site", b.dim_site, ["site_key"]),
-        ("fact_monthly", b.fact_monthly, ["site_key", "date_key", "metric_key"]),
-        ("fact_incident", b.fact_incident, ["incident_id"]),
-    ])
+    return build(spark, sf_dir).data_checks()["check_unique"]
 
 
 def q_check_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The build's checks, and raw readings against their catalogues, where there
+    are orphans to be found."""
     b = build(spark, sf_dir)
-    return checks.check_orphans([
-        ("fact_monthly", b.fact_monthly, b.dim_site, "site_key"),
-        ("fact_monthly", b.fact_monthly, b.dim_metric, "metric_key"),
-        ("fact_monthly", b.fact_monthly, b.dim_date, "date_key"),
-        ("fact_incident", b.fact_incident, b.dim_site, "site_key"),
-    ])
+    raw = checks.check_orphans([
+        ("raw_readings", b.raw["readings"], b.raw["sites"], "site_id"),
+        ("raw_readings", b.raw["readings"], b.raw["metric_definitions"], "metric_code")])
+    return b.data_checks()["check_orphans"].unionByName(raw)
 
 
 def q_check_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = build(spark, sf_dir)
-    w = ADAPTER_PARAMS.window
-    outputs = {**b.marts(), **b.kpi_tables()}
-    return stable(checks.check_ranges(outputs, w.start, w.last_month.strftime("%Y-%m")))
+    return stable(build(spark, sf_dir).data_checks()["check_ranges"])
 
 
 def q_check_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.check_dq_report(build(spark, sf_dir).dq_report)
+    return build(spark, sf_dir).data_checks()["check_dq_report"]
 
 
 def queries() -> dict[str, Query]:
@@ -155,6 +166,8 @@ def queries() -> dict[str, Query]:
         "dq_multiple_submissions": q_dq_multiple_submissions,
         "dq_domain": _rule("DQ008"),
         "dq_timestamp": _rule("DQ009"),
+        "dq_period": _one_rule(quality.PERIOD_RULE),
+        "dq_validity_any_version": _one_rule(quality.ANY_VERSION_RULE),
         "dq_quarantine": _layer("dq_quarantine"),
         "dq_gate": q_dq_gate,
         "quarantine_exclusion": _layer("kept_readings"),

@@ -1,5 +1,5 @@
-"""Session helpers: a local session for tests/bench, and the shared folder
-used to cut lineage (``spark.checkpoint.dir``)."""
+"""Session helpers: a local session for tests and the bench, and tables in the
+shared folder that ``spark.checkpoint.dir`` names."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session built here gets; a cluster session keeps its own.
 LOCAL_CONF = {
@@ -32,64 +32,42 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    shared_folder(spark)
     return spark
 
 
-def num_partitions(df) -> int | None:
-    """Partition count of a DataFrame's plan, or None where the session does
-    not expose it (e.g. a Spark Connect client)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view in this session type
-        return None
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, named by ``spark.checkpoint.dir``.
 
-
-def default_parallelism(spark: SparkSession) -> int | None:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
-
-    ``spark.checkpoint.dir`` is honoured when set. Only when it is unset
-    (local tests, the bench) do we pick a private scratch folder. A session
-    without a driver-side context (Spark Connect) keeps its server's setting.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="greenledger-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    Only a session with a local master gets a private folder where the setting
+    is missing; any other session must name one."""
+    sc = spark.sparkContext
+    named = (spark.conf.get("spark.checkpoint.dir", None)
+             or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir())
+    if named:
+        return named.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all "
+                           "executors share")
+    if sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: executors share no private folder")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="greenledger-", dir="/tmp"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-path of the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    if not base:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def reliable_checkpoint(df):
-    """``df.checkpoint(eager=True)`` without computing ``df`` twice: writing
-    the checkpoint files re-runs the plan unless it is persisted, so it is
-    persisted for the duration of the checkpoint only. The result reads
-    the files in the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.persist()
-    try:
-        return kept.checkpoint(eager=True)
-    finally:
-        kept.unpersist()
+    """A fresh path in the shared folder, deleted when the application ends."""
+    base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{base}/data"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: its lineage is cut,
+    a lost executor takes nothing with it, and Spark knows its size in bytes."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

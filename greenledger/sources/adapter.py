@@ -1,14 +1,14 @@
 """Deterministic adapter: the driver's TPC-H style tables -> the five raw
 shapes of the reporting pipeline (all columns strings).
 
-nation -> sites, lineitem x supplier -> readings, orders -> incidents, and
-the metric and unit catalogues are the line slots and units that occur in
-lineitem, described by fixed attributes. Dirt is injected by modular rules
-on integer keys so Spark and the SQL oracle build identical strings:
-country aliases and stray spaces, mid-window acquisitions and divestments,
-an unknown site (nation 24), an undefined metric (line 7), unparseable
-periods, values and timestamps, negative values, unknown units, bad period
-types, quarterly hours, restatements and duplicated incident reports.
+nation -> sites (every nation; some with two versions), lineitem x supplier
+-> readings (every line), orders -> incidents, part -> the metric catalogue
+(one metric per brand) and, with it, the units. Dirt is made by relabelling,
+never by leaving rows out: modular rules on integer keys, so that Spark and
+the SQL oracle build identical strings, give country aliases and stray
+spaces, acquisitions and divestments, unlisted sites, an undefined metric,
+unparseable periods, values and timestamps, negative values, unknown units,
+bad period types, quarterly hours, restatements and repeated incidents.
 """
 
 from __future__ import annotations
@@ -16,20 +16,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism, ensure_checkpoint_dir, num_partitions
-
-# Metric catalogue, line slot -> (code, name, category, canonical
-# unit, additive flag).
-METRIC_SLOTS = [
-    (1, "SCOPE1_GHG", "Scope 1 GHG Emissions", "Emissions", "t", "Y"),
-    (2, "SCOPE2_GHG", "Scope 2 GHG Emissions (market-based)", "Emissions", "t", "Y"),
-    (3, "ENERGY_CONS", "Total Energy Consumption", "Energy", "MWh", "Y"),
-    (4, "WATER_WD", "Water Withdrawal", "Water", "m3", "Y"),
-    (5, "WASTE_TOTAL", "Total Waste Generated", "Waste", "t", "Y"),
-    (6, "HOURS_WORKED", "Hours Worked", "Safety", "hours", "Y"),
+# Metrics that the KPIs read, in the order of the brands that
+# stand for them: code, category, canonical unit.
+CORE_METRICS = [
+    ("SCOPE1_GHG", "Air", "t"),
+    ("SCOPE2_GHG", "Air", "t"),
+    ("ENERGY_CONS", "Power", "MWh"),
+    ("WATER_WD", "Water", "m3"),
+    ("WASTE_TOTAL", "Residues", "t"),
+    ("HOURS_WORKED", "People", "hours"),
 ]
 
-# Unit conversions (from, to, factor as text).
+# Unit conversions (from, to, factor as text). Litres are listed
+# twice, so one lookup fans out.
 UNIT_FACTORS = [
     ("kWh", "MWh", "0.001"),
     ("MWh", "MWh", "1"),
@@ -38,46 +37,25 @@ UNIT_FACTORS = [
     ("t", "t", "1"),
     ("m3", "m3", "1"),
     ("l", "m3", "0.001"),
+    ("l", "m3", "0.0010"),
     ("hours", "hours", "1"),
 ]
 
-# Source units a line slot reports in (the adapter's unit rule
-# below, apart from the injected unknown unit).
-SLOT_UNITS = [
-    (1, "t"), (1, "kg"), (2, "t"), (2, "kg"), (3, "kWh"), (3, "MWh"), (3, "GJ"),
-    (4, "m3"), (4, "l"), (5, "t"), (5, "kg"), (6, "hours"),
-]
-
 # The adapter's reporting window (first month, number of months).
 ADAPTER_WINDOW = ("1999-01", 24)
 
-TABLES = ["region", "nation", "supplier", "lineitem", "orders"]
-
+TABLES = ["region", "nation", "supplier", "lineitem", "orders", "part"]
 
-# Tables big enough to be worth spreading over all cores when the file layout
-# gives fewer input splits than that (one row group per file, as in the test
-# data, is read by a single task whatever the byte splits say).
-FACT_SOURCES = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+# Tasks that lineitem and orders are dealt out to by their key, for inputs of
+# one large row group; not set, they are read as they lie.
+DEAL_OUT = "spark.greenledger.adapter.partitions"
+DEALT = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in FACT_SOURCES:
-        df = spread(df, FACT_SOURCES[name])
-    return df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute a source on its (uniform) key over the default
-    parallelism, but only when it arrives in fewer partitions than that. A
-    large input (many files, many row groups) is already parallel and is
-    left untouched, so this never adds a shuffle at scale. Hashing on a key
-    is deterministic on retry without the local sort round-robin needs."""
-    parallelism = default_parallelism(df.sparkSession)
-    parts = num_partitions(df)
-    if parallelism and parts is not None and parts < parallelism:
-        return df.repartition(parallelism, key)
-    return df
+    n = spark.conf.get(DEAL_OUT, None)
+    return df.repartition(int(n), DEALT[name]) if n and name in DEALT else df
 
 
 def _s(c: Column) -> Column:
@@ -86,11 +64,23 @@ def _s(c: Column) -> Column:
 
 def adapt_sites(nation: DataFrame, region: DataFrame) -> DataFrame:
     n = F.col("n_nationkey")
-    j = nation.filter(n < 24).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    j = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     country = (F.when(n % 5 == 0, F.lit("Germany"))
                .when(n % 5 == 1, F.lit(" usa "))
                .when(n % 5 == 2, F.lit("germany "))
                .otherwise(F.concat(F.lit("C"), _s(n))))
+    until = (F.when(n % 8 == 5, F.lit("2000-06-30")).when(n % 8 == 6, F.lit("2000-09-17"))
+             .otherwise(F.lit("")))
+    since = F.when(n % 8 == 3, F.lit("1999-04-15")).otherwise(F.lit("1995-01-01"))
+
+    def version(extra: int, valid_from: Column, valid_to: Column) -> Column:
+        return F.struct(_s(n * 50 + 200 + extra).alias("headcount"),
+                        valid_from.alias("valid_from"), valid_to.alias("valid_to"))
+
+    # nations that were reorganised have a closed and an open version
+    versions = F.when(n % 8 == 2, F.array(
+        version(0, F.lit("1995-01-01"), F.lit("1999-09-30")),
+        version(25, F.lit("1999-10-01"), F.lit("")))).otherwise(F.array(version(0, since, until)))
     return j.select(
         _s(n + 101).alias("site_id"),
         F.when(n % 7 == 1, F.concat(F.col("n_name"), F.lit(" "))).otherwise(F.col("n_name"))
@@ -98,38 +88,37 @@ def adapt_sites(nation: DataFrame, region: DataFrame) -> DataFrame:
         country.alias("country"),
         F.lower(F.col("r_name")).alias("region"),
         F.concat(F.lit("BU"), _s(n % 4)).alias("business_unit"),
-        _s(n * 50 + 200).alias("headcount"),
-        F.when(n % 8 == 3, F.lit("1999-04-15")).otherwise(F.lit("1995-01-01")).alias("valid_from"),
-        F.when(n % 8 == 5, F.lit("2000-06-30")).when(n % 8 == 6, F.lit("2000-09-17"))
-        .otherwise(F.lit("")).alias("valid_to"),
-    )
+        F.explode(versions).alias("v"),
+    ).select("site_id", "site_name", "country", "region", "business_unit", "v.headcount",
+             "v.valid_from", "v.valid_to")
 
 
-def used_slots(lineitem: DataFrame) -> DataFrame:
-    """Metric slots (line numbers 1..6) that occur in lineitem: one column,
-    distinct combined map-side, then checkpointed (a handful of rows) so the
-    catalogues built on it never rescan lineitem."""
-    used = (lineitem.select(F.col("l_linenumber").alias("slot"))
-            .filter(F.col("slot").between(1, 6)).distinct())
-    return used.checkpoint(eager=True)
+def adapt_metric_definitions(part: DataFrame) -> DataFrame:
+    """One metric per brand: the first brands are the core metrics, the others the
+    output of that brand."""
+    brand = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
+    core = F.col("no").between(1, len(CORE_METRICS))
 
+    def pick(i: int) -> Column:
+        return F.element_at(F.array(*[F.lit(m[i]) for m in CORE_METRICS]), F.col("no"))
 
-def adapt_metric_definitions(spark: SparkSession, slots: DataFrame) -> DataFrame:
-    """The metric catalogue: fixed attributes of every used slot."""
-    attrs = spark.createDataFrame(
-        METRIC_SLOTS,
-        "slot int, metric_code string, metric_name string, category string, "
-        "canonical_uom string, is_additive string")
-    return (slots.join(F.broadcast(attrs), "slot")
-            .select("metric_code", "metric_name", "category", "canonical_uom", "is_additive"))
+    return (part.select("p_brand", brand.alias("no")).distinct().select(
+        F.when(core, pick(0)).otherwise(F.concat(F.lit("OUTPUT_"), _s(F.col("no")))).alias("metric_code"),
+        F.concat(F.lit(" Total of "), F.col("p_brand")).alias("metric_name"),
+        F.when(core, pick(1)).otherwise(F.lit("Output")).alias("category"),
+        F.when(core, pick(2)).otherwise(F.lit("pieces")).alias("canonical_uom"),
+        F.when(core | (F.col("no") % 2 == 0), F.lit("Y")).otherwise(F.lit("n")).alias("is_additive")))
 
 
-def adapt_uom_conversions(spark: SparkSession, slots: DataFrame) -> DataFrame:
-    """The unit catalogue: factors of every unit a used slot reports in."""
-    units = spark.createDataFrame(SLOT_UNITS, "slot int, from_uom string")
+def adapt_uom_conversions(spark: SparkSession, metrics: DataFrame, part: DataFrame) -> DataFrame:
+    """Factors into the units of the catalogue, and packs of each part type, whose
+    size is the smallest of that type."""
     factors = spark.createDataFrame(UNIT_FACTORS, "from_uom string, to_uom string, factor string")
-    used = slots.join(F.broadcast(units), "slot").select("from_uom").distinct()
-    return used.join(F.broadcast(factors), "from_uom").select("from_uom", "to_uom", "factor")
+    units = metrics.select(F.col("canonical_uom").alias("to_uom")).distinct()
+    packs = part.groupBy("p_type").agg(F.min("p_size").alias("size"))
+    return (factors.join(units, "to_uom").select("from_uom", "to_uom", "factor")
+            .unionByName(packs.select(F.concat(F.lower("p_type"), F.lit(" pack")).alias("from_uom"),
+                                      F.lit("pieces").alias("to_uom"), _s(F.col("size")).alias("factor"))))
 
 
 def _reading_keys(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
@@ -150,48 +139,46 @@ def _reading_keys(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def _unit(k: Column, ln: Column) -> Column:
+def _unit(k: Column, slot: Column) -> Column:
     return (F.when(k % 227 == 0, F.lit("gal"))
-            .when(ln.isin(1, 2, 5), F.when(k % 2 == 0, F.lit("t")).otherwise(F.lit("kg")))
-            .when(ln == 3, F.when(k % 3 == 0, F.lit("kWh"))
+            .when(slot.isin(1, 2, 5), F.when(k % 2 == 0, F.lit("t")).otherwise(F.lit("kg")))
+            .when(slot == 3, F.when(k % 3 == 0, F.lit("kWh"))
                   .when(k % 3 == 1, F.lit("MWh")).otherwise(F.lit("GJ")))
-            .when(ln == 4, F.when(k % 2 == 0, F.lit("m3")).otherwise(F.lit("l")))
+            .when(slot == 4, F.when(k % 2 == 0, F.lit("m3")).otherwise(F.lit("l")))
             .otherwise(F.lit("hours")))
 
 
-def _kept(k: Column, n: Column, ln: Column, y: Column, m: Column) -> Column:
-    return (((ln < 7) | (k % 50 == 0))
-            & ~((ln == 6) & (n % 6 == 0) & (m % 3 != 0))
-            & ((n * 31 + y * 84 + m * 7 + ln) % 509 != 0))
-
-
 def adapt_readings(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
-    r = _reading_keys(lineitem, supplier)
-    k, n, ln, q = F.col("k"), F.col("n"), F.col("ln"), F.col("q")
-    codes = F.array(*[F.lit(c) for _, c, *_ in METRIC_SLOTS])
-    code = F.when(ln.between(1, len(METRIC_SLOTS)), F.element_at(codes, ln.cast("int"))) \
-        .otherwise(F.lit("UNDEFINED"))
+    """One reading per line. Lines of the seventh slot report one of the first five
+    metrics or, one in fifty, an undefined one; hours of every sixth nation are
+    reported by quarter; all lines of some (nation, month, slot) cells name an
+    unlisted site, which leaves gaps."""
+    k, n, ln, q, m = (F.col(c) for c in ("k", "n", "ln", "q", "m"))
+    slot = (F.when(ln < 7, ln).when(k % 50 == 0, F.lit(7)).otherwise(k % 5 + 1)).cast("int")
+    r = _reading_keys(lineitem, supplier).withColumn("slot", slot)
+    slot, quarterly = F.col("slot"), (F.col("slot") == 6) & (n % 6 == 0)
+    codes = F.array(*[F.lit(code) for code, *_ in CORE_METRICS])
+    unlisted = (n * 31 + F.col("y") * 84 + m * 7 + slot) % 509 == 0
+    month = F.when(quarterly, F.ceil(m / 3) * 3).otherwise(m)
     value = (F.when(k % 211 == 0, F.lit("n/a"))
              .when(k % 223 == 0, F.concat(F.lit("-"), _s(q)))
-             .when(ln == 6, _s(q * 400))
+             .when(slot == 6, _s(q * 400))
              .otherwise(_s(q)))
-    return (r.filter(_kept(k, n, ln, F.col("y"), F.col("m")))
-            .select(
-                _s(F.col("rid")).alias("reading_id"),
-                _s(n + 101).alias("site_id"),
-                F.when(k % 239 == 0, F.lit("bad"))
-                .otherwise(F.date_format("ship", "yyyy-MM")).alias("period"),
-                code.alias("metric_code"),
-                value.alias("value"),
-                _unit(k, ln).alias("uom"),
-                F.when(k % 229 == 0, F.lit("X"))
-                .when((ln == 6) & (n % 6 == 0), F.lit("Q")).otherwise(F.lit("M"))
-                .alias("period_type"),
-                F.lit("PORTAL").alias("source_system"),
-                F.when(k % 233 == 0, F.lit("not-a-date"))
-                .otherwise(F.concat(F.date_format("ship", "yyyy-MM-dd"), F.lit(" 08:00:00")))
-                .alias("submitted_at"),
-            ))
+    return r.select(
+        _s(F.col("rid")).alias("reading_id"),
+        _s(F.when(unlisted, n + 901).otherwise(n + 101)).alias("site_id"),
+        F.when(k % 239 == 0, F.lit("bad"))
+        .otherwise(F.concat(_s(F.col("y")), F.lit("-"), F.lpad(_s(month), 2, "0"))).alias("period"),
+        F.when(slot == 7, F.lit("UNDEFINED")).otherwise(F.get(codes, slot - 1)).alias("metric_code"),
+        value.alias("value"),
+        _unit(k, slot).alias("uom"),
+        F.when(k % 229 == 0, F.lit("X")).when(quarterly, F.lit("Q")).otherwise(F.lit("M"))
+        .alias("period_type"),
+        F.lit("PORTAL").alias("source_system"),
+        F.when(k % 233 == 0, F.lit("not-a-date"))
+        .otherwise(F.concat(F.date_format("ship", "yyyy-MM-dd"), F.lit(" 08:00:00")))
+        .alias("submitted_at"),
+    )
 
 
 def adapt_incidents(orders: DataFrame) -> DataFrame:
@@ -202,7 +189,7 @@ def adapt_incidents(orders: DataFrame) -> DataFrame:
     def shape(extra_days: int, reporter: str) -> list[Column]:
         return [
             _s(key).alias("incident_id"),
-            _s(F.col("o_custkey") % 24 + 101).alias("site_id"),
+            _s(F.col("o_custkey") % 25 + 101).alias("site_id"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("incident_date"),
             F.concat(F.lit("T"), _s(key % 6)).alias("incident_type"),
             F.col("o_orderpriority").alias("severity"),
@@ -219,17 +206,12 @@ def adapt_incidents(orders: DataFrame) -> DataFrame:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five raw (all-string) tables derived from the driver's tables."""
-    ensure_checkpoint_dir(spark)
     t = {name: read_table(spark, sf_dir, name) for name in TABLES}
-    # A single-column distinct needs no rebalancing: read lineitem as is.
-    slots = used_slots(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
-    # The three reference tables are tiny joins of tiny inputs, read by many
-    # stages (rule lookups, staging, dimensions): checkpoint them once so each
-    # use is a plain scan instead of re-running their joins and broadcasts.
+    metrics = adapt_metric_definitions(t["part"])
     return {
-        "sites": adapt_sites(t["nation"], t["region"]).checkpoint(eager=True),
-        "metric_definitions": adapt_metric_definitions(spark, slots).checkpoint(eager=True),
-        "uom_conversions": adapt_uom_conversions(spark, slots).checkpoint(eager=True),
+        "sites": adapt_sites(t["nation"], t["region"]),
+        "metric_definitions": metrics,
+        "uom_conversions": adapt_uom_conversions(spark, metrics, t["part"]),
         "readings": adapt_readings(t["lineitem"], t["supplier"]),
         "incidents": adapt_incidents(t["orders"]),
     }

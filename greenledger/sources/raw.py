@@ -76,7 +76,7 @@ def ingest_sources(spark: SparkSession, directory: str,
             else:
                 raise
     if missing:
-        raise FileNotFoundError("Missing source file(s): " + ", ".join(missing))
+        raise FileNotFoundError("sources that cannot be found: " + ", ".join(missing))
     return frames
 
 

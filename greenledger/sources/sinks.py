@@ -24,10 +24,3 @@ def export_report(df: DataFrame, contract: Sequence[str], path: str,
      .option("dateFormat", "yyyy-MM-dd")
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .csv(path))
-
-
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

@@ -76,42 +76,3 @@ def compare(name: str, spark_df, con, sql: str) -> Comparison:
         detail = (f"cols spark={sorted(s_cols)} oracle={sorted(o_cols)}; "
                   f"only_spark={sorted(a - b, key=repr)[:3]} only_oracle={sorted(b - a, key=repr)[:3]}")
     return Comparison(name, len(s_rows), len(o_rows), cols_ok, vals_ok, detail)
-
-
-def main(argv: list[str] | None = None) -> int:
-    """``python -m greenledger.plans.compare SF_DIR [KEY ...]``: run registered
-    queries against their oracle the way the driver does; exit 1 on any
-    mismatch."""
-    import sys
-    import time
-
-    from ..session import local_session
-    from .oracle import oracle_sql
-    from .registry import queries
-
-    args = list(sys.argv[1:] if argv is None else argv)
-    sf_dir, only = args[0], set(args[1:])
-    spark = local_session()
-    con = duck_connection(sf_dir)
-    sql = oracle_sql()
-    failures = 0
-    for name, query in queries().items():
-        if only and name not in only:
-            continue
-        started = time.perf_counter()
-        try:
-            result = compare(name, query(spark, sf_dir), con, sql[name])
-            ok = result.ok
-            detail = "" if ok else result.detail[:300]
-            rows = f"{result.spark_rows}/{result.oracle_rows}"
-        except Exception as exc:  # noqa: BLE001 - report and continue
-            ok, detail, rows = False, repr(exc)[:300], "-"
-        failures += not ok
-        print(f"{'OK  ' if ok else 'FAIL'} {name:<26} rows {rows:<14} "
-              f"{time.perf_counter() - started:6.1f}s {detail}", flush=True)
-    print(f"failures: {failures}")
-    return 1 if failures else 0
-
-
-if __name__ == "__main__":
-    raise SystemExit(main())

@@ -21,41 +21,42 @@ def _month(i):  # i = 0 -> 2024-01
 
 def test_dimensions_and_spine_goldens(spark, fixture_refs):
     b = _build(spark, fixture_refs, [reading(1)])
-    assert b.dim_site.count() == 12
+    assert b.dim_site.count() == 14
     assert b.dim_date.count() == 24
     assert b.dim_metric.count() == 6
     keys = sorted(r.site_key for r in b.dim_site.collect())
-    assert keys == list(range(1, 13))
+    assert keys == list(range(1, 15))
     by_site = {r.site_id: r.site_key for r in b.dim_site.collect()}
-    assert [by_site[s] for s in sorted(by_site)] == list(range(1, 13))
+    assert [by_site[s] for s in sorted(by_site)] == list(range(1, 15))
     assert [r.metric_code for r in b.dim_metric.orderBy("metric_key").collect()] == sorted(
         ["SCOPE1_GHG", "SCOPE2_GHG", "ENERGY_CONS", "WATER_WD", "WASTE_TOTAL", "HOURS_WORKED"])
     d = b.dim_date.orderBy("date_key").collect()
     assert (d[0].date_key, d[0].period, d[0].quarter, d[0].month_name) == \
         (202401, "2024-01", 1, "January")
-    assert b.active_spine.count() == 276
-    assert b.kpi_emissions.count() == 276
-    assert b.kpi_yoy.count() == 120
+    # nine sites for 24 months, the others for 10, 14, 17, 17 and 22
+    assert b.active_spine.count() == 296
+    assert b.kpi_emissions.count() == 296
+    assert b.kpi_yoy.count() == 24 * 6                        # the group and five units
 
 
 def test_fact_incident_day_level_validity(spark, fixture_refs):
     b = _build(spark, fixture_refs, [reading(1)])
     ids = {r.incident_id: r for r in b.fact_incident.collect()}
-    assert len(ids) == 15
-    assert sum(r.is_recordable for r in ids.values()) == 10
-    assert 7009 in ids and 7015 in ids and 7016 in ids       # boundary days kept
-    assert not {7010, 7011, 7012, 7013} & set(ids)            # outside validity / window
-    assert ids[7005].lost_days == 14
+    assert len(ids) == 11
+    assert sum(r.is_recordable for r in ids.values()) == 8
+    assert {8105, 8107, 8110, 8112, 8117} <= set(ids)         # boundary days kept
+    assert not {8106, 8108, 8109, 8113, 8114, 8115, 8116} & set(ids)  # outside validity / window
+    assert ids[8111].lost_days == 17
 
 
 def test_month_level_validity_for_readings_vs_day_level_for_incidents(spark, fixture_refs):
-    rows = [reading(1, site="207", period="2025-06", code="HOURS_WORKED", value="100",
+    rows = [reading(1, site="207", period="2025-02", code="HOURS_WORKED", value="100",
                     uom="hours"),
-            reading(2, site="207", period="2025-07", code="HOURS_WORKED", value="100",
+            reading(2, site="207", period="2025-03", code="HOURS_WORKED", value="100",
                     uom="hours")]
     b = _build(spark, fixture_refs, rows)
     months = {r.date_key for r in b.fact_monthly.collect()}
-    assert months == {202506}
+    assert months == {202502}
 
 
 def test_quarterly_allocation_fans_out_to_three_estimated_months(spark, fixture_refs):
@@ -90,7 +91,7 @@ def test_trir_gating(spark, fixture_refs):
     assert t[(201, "2024-11")].trir_r12 is None and not t[(201, "2024-11")].has_full_window
     full = t[(201, "2024-12")]
     assert full.has_full_window and full.hours_worked_r12 == 12000.0
-    assert full.recordable_incidents_r12 == 1                       # 7001 (7002 not recordable)
+    assert full.recordable_incidents_r12 == 1                       # 8102 (8103 not recordable)
     assert full.trir_r12 == pytest.approx(1 * 200000.0 / 12000.0)
     gap = t[(202, "2024-12")]
     assert not gap.has_full_window and gap.trir_r12 is None and gap.hours_worked_r12 == 11000.0
@@ -100,9 +101,9 @@ def test_trir_gating(spark, fixture_refs):
 
 def test_strict_rollup_and_yoy(spark, fixture_refs):
     rows = []
-    for site in ("201", "202", "204", "212"):                     # business unit Power Systems
+    for site in ("201", "202", "204", "209"):                     # business unit Paper
         for i in range(24):
-            if site == "212" and i == 13:
+            if site == "209" and i == 13:
                 continue                                          # one gap in 2025-02
             rows.append(reading(f"{site}1{i:03d}", site=site, period=_month(i),
                                 code="SCOPE1_GHG", value="10"))
@@ -110,11 +111,11 @@ def test_strict_rollup_and_yoy(spark, fixture_refs):
                                 code="SCOPE2_GHG", value="0" if i < 12 else "5"))
     b = _build(spark, fixture_refs, rows)
     y = {(r.period, r.grouping_level, r.grouping_value): r for r in b.kpi_yoy.collect()}
-    ps = y[("2025-01", "BUSINESS_UNIT", "Power Systems")]
+    ps = y[("2025-01", "BUSINESS_UNIT", "Paper")]
     assert ps.total_tco2e == 60.0 and ps.total_tco2e_ly == 40.0
     assert ps.yoy_abs == 20.0 and ps.yoy_pct == pytest.approx(0.5)
-    assert y[("2025-02", "BUSINESS_UNIT", "Power Systems")].total_tco2e is None
-    assert y[("2024-05", "BUSINESS_UNIT", "Power Systems")].total_tco2e_ly is None
+    assert y[("2025-02", "BUSINESS_UNIT", "Paper")].total_tco2e is None
+    assert y[("2024-05", "BUSINESS_UNIT", "Paper")].total_tco2e_ly is None
     assert y[("2025-01", "GROUP", "GROUP")].total_tco2e is None      # other BUs missing
     levels = {k[1] for k in y}
     assert levels == {"GROUP", "BUSINESS_UNIT"}

@@ -21,12 +21,13 @@ def test_single_pass_monthly_values_equal_union_of_monthly_and_allocated(spark,
         reading(2, period="2024-03", code="SCOPE1_GHG", value="4"),
         reading(3, period="2024-05", code="SCOPE2_GHG", value="6", ptype="Q")])
     stg = b.stg_readings
-    monthly = facts._values(stg.where("period_type = 'M'"), 0, None,
-                            __import__("pyspark.sql.functions", fromlist=["lit"]).lit(False))
-    union = monthly.unionByName(facts.quarterly_allocation(stg))
-    assert sorted(map(tuple, facts.monthly_values(stg).collect())) == \
-        sorted(map(tuple, union.collect()))
-    months = sorted(r.reporting_month for r in facts.quarterly_allocation(stg)
+    rows = {(r.reading_id, r.value_month, r.month_value, r.is_estimated)
+            for r in facts.monthly_values(stg).collect()}
+    assert (2, dt.date(2024, 3, 1), 4.0, False) in rows and len(rows) == 7
+    assert rows - {(2, dt.date(2024, 3, 1), 4.0, False)} == {
+        (r.reading_id, r.value_month, r.month_value, r.is_estimated)
+        for r in facts.quarterly_allocation(stg).collect()}
+    months = sorted(r.value_month for r in facts.quarterly_allocation(stg)
                     .where("reading_id = 3").collect())
     assert months == [dt.date(2024, 3, 1), dt.date(2024, 4, 1), dt.date(2024, 5, 1)]
 
@@ -63,11 +64,11 @@ def test_rollups_keep_null_business_unit_apart(spark):
 
 def test_dim_date_ending_last_full_year(spark):
     df = spark.createDataFrame([(dt.date(2001, 8, 2),), (dt.date(1999, 5, 1),)], "d date")
-    got = dims.dim_date_ending_last_full_year(df, "d", 24).orderBy("date_key").collect()
+    got = dims.dim_date(dims.bounds_to_last_full_year(df, "d", 24)).orderBy("date_key").collect()
     assert len(got) == 24 and got[0].date_key == 199901 and got[-1].date_key == 200012
     assert got[-1].month_name == "December" and got[-1].quarter == 4
     full = spark.createDataFrame([(dt.date(2000, 12, 31),)], "d date")
-    last = dims.dim_date_ending_last_full_year(full, "d", 12).agg({"date_key": "max"}).first()
+    last = dims.dim_date(dims.bounds_to_last_full_year(full, "d", 12)).agg({"date_key": "max"}).first()
     assert last[0] == 200012
 
 
@@ -82,3 +83,28 @@ def test_energy_intensity_guards_zero_and_missing(spark, fixture_refs):
     assert e["2024-01"].hours_worked == 0.0 and e["2024-01"].mwh_per_1000_hours is None
     assert e["2024-02"].hours_worked is None and e["2024-02"].mwh_per_1000_hours is None
     assert e["2024-03"].mwh_per_1000_hours == 2.0 and e["2024-03"].is_estimated is False
+
+
+def test_a_session_without_a_shared_folder_is_refused_off_the_local_master():
+    import pytest
+
+    from greenledger.session import shared_folder
+
+    class Unset:
+        def get(self, *_):
+            return None
+
+    def session(master):
+        class Context:
+            def getConf(self):
+                return Unset()
+
+            def getCheckpointDir(self):
+                return None
+
+        Context.master = master
+        return type("Session", (), {"conf": Unset(), "sparkContext": Context()})()
+
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))

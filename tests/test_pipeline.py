@@ -16,8 +16,8 @@ from greenledger.sources.raw import RAW_COLUMNS, ingest_raw, ingest_sources, sou
 def test_ingest_checks_header_and_keeps_spaces(spark):
     df = ingest_raw(spark, str(FIXTURES / "sites.csv"), RAW_COLUMNS["sites"])
     rows = {r.site_id: r for r in df.collect()}
-    assert len(rows) == 12
-    assert rows["203"].country == "germany " and rows["203"].site_name == "Lakeside Hub "
+    assert len(rows) == 14
+    assert rows["214"].country == "germany " and rows["203"].site_name == "Birch Lane Depot "
     assert rows["201"].valid_to is None          # blank cell, CRLF line ending stripped
     wrong = ingest_raw(spark, str(FIXTURES / "sites.csv"), RAW_COLUMNS["incidents"])
     with pytest.raises(Exception):
@@ -32,7 +32,7 @@ def test_missing_source_file_is_an_error(spark):
 
 def test_source_counts(spark, fixture_refs):
     got = {r.table_name: r.row_count for r in source_counts(fixture_refs).collect()}
-    assert got == {"sites": 12, "metric_definitions": 6, "uom_conversions": 8, "incidents": 20}
+    assert got == {"sites": 14, "metric_definitions": 6, "uom_conversions": 8, "incidents": 19}
 
 
 def test_run_pipeline_writes_contract_reports(spark, fixture_refs):
@@ -50,25 +50,56 @@ def test_run_pipeline_writes_contract_reports(spark, fixture_refs):
         header = open(sorted(parts)[0]).readline().strip().split(",")
         assert header == cols
         assert spark.read.option("header", True).csv(os.path.join(out, "reports", name)).count() > 0
-    assert os.path.isdir(os.path.join(out, "tables", "fact_monthly"))
+    assert os.path.isdir(os.path.join(out, "tables", "fact_eqs_monthly"))
     # Clean readings: the quarantine table is still written (typed, empty).
     quarantine = spark.read.parquet(os.path.join(out, "tables", "dq_quarantine"))
     assert quarantine.count() == 0 and quarantine.columns[0] == "rule_id"
     assert os.path.isdir(os.path.join(out, "tables", "dq_flags"))
-    u = {r.check_name: r for r in checks.check_unique([
-        ("dim_site", b.dim_site, ["site_key"]),
-        ("fact", b.fact_monthly, ["site_key", "date_key", "metric_key"]),
-        ("incident", b.fact_incident, ["incident_id"])]).collect()}
-    assert all(r.duplicate_keys == 0 for r in u.values())
-    o = checks.check_orphans([("fact", b.fact_monthly, b.dim_site, "site_key")]).first()
-    assert o.orphan_rows == 0
-    rng = checks.check_ranges({**b.marts(), **b.kpi_tables()}, "2024-01", "2025-12").first()
+    table = lambda n: spark.read.parquet(os.path.join(out, "tables", n))
+    for name in [*checks.REQUIRED_MARTS, *checks.KPI_CONTRACT]:
+        table(name)
+    assert all(r.duplicate_keys == 0 for r in table("check_unique").collect())
+    assert {r.check_name for r in table("check_unique").collect()} == set(checks.REQUIRED_MARTS)
+    assert all(r.orphan_rows == 0 for r in table("check_orphans").collect())
+    rng = table("check_ranges").first()
     assert rng.covers_window and rng.yoy_both_levels and rng.kpis_not_empty
-    assert rng.dim_site_rows == 12 and rng.dim_date_rows == 24 and rng.dim_metric_rows == 6
-    dq = checks.check_dq_report(b.dq_report).first()
+    assert rng.dim_site_rows == 14 and rng.dim_date_rows == 24 and rng.dim_metric_rows == 6
+    dq = table("check_dq_report").first()
     assert dq.rules == 9 and dq.all_rules_checked_rows
 
 
+def test_a_missing_required_table_is_an_error(spark, fixture_refs, monkeypatch):
+    from greenledger.plans import pipeline
+
+    raw = fixture_raw(fixture_refs, spark, [reading(1)])
+    out = tempfile.mkdtemp(prefix="greenledger-test-", dir="/tmp")
+    real = pipeline.TableStore.__call__
+
+    def lose(self, name, df):
+        return df if name == "fact_eqs_monthly" else real(self, name, df)
+
+    monkeypatch.setattr(pipeline.TableStore, "__call__", lose)
+    with pytest.raises(checks.ContractError, match="fact_eqs_monthly"):
+        run_pipeline(spark, raw, out, ReportingParams(window=ReportingWindow("2024-01", 24)))
+
+
+def test_the_gate_stops_the_kpi_reports_only(spark, fixture_refs):
+    from dataclasses import replace
+
+    from greenledger.operators import quality
+    from greenledger.plans.pipeline import PublicationBlocked
+
+    raw = fixture_raw(fixture_refs, spark, [reading(1), reading(2, value="many")])
+    rules = tuple(replace(r, action="BLOCK") if r.rule_id == "DQ001" else r for r in quality.DEFAULT_RULES)
+    params = ReportingParams(window=ReportingWindow("2024-01", 24), rules=rules)
+    out = tempfile.mkdtemp(prefix="greenledger-test-", dir="/tmp")
+    with pytest.raises(PublicationBlocked):
+        run_pipeline(spark, raw, out, params, gate=True)
+    assert sorted(os.listdir(os.path.join(out, "reports"))) == ["dq_report"]
+    run_pipeline(spark, raw, out, params)
+    assert len(os.listdir(os.path.join(out, "reports"))) == 5
+
+
 def test_contract_violation_is_reported(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     with pytest.raises(checks.ContractError):

@@ -76,10 +76,10 @@ def test_rules_compare_raw_untrimmed_values(spark, fixture_refs):
 
 def test_validity_rule_month_truncated_and_unparseable_period_passes(spark, fixture_refs):
     raw = fixture_raw(fixture_refs, spark, [
-        reading(1, site="207", period="2025-06"),   # month of divestment: inside
-        reading(2, site="207", period="2025-07"),   # after: outside
-        reading(3, site="211", period="2024-03"),   # before acquisition: outside
-        reading(4, site="211", period="2024-04"),
+        reading(1, site="207", period="2025-02"),   # month of divestment: inside
+        reading(2, site="207", period="2025-03"),   # after: outside
+        reading(3, site="211", period="2024-07"),   # before acquisition: outside
+        reading(4, site="211", period="2024-08"),
         reading(5, site="211", period="bad"),       # no rule catches it
     ])
     _, rep = _report(raw)
@@ -123,3 +123,30 @@ def test_gate_blocks_only_on_block_action(spark, fixture_refs):
     flagged = q.flag_readings(raw["readings"], raw, blocking)
     gate = q.dq_gate(q.dq_report(flagged, blocking)).first()
     assert gate.is_blocked and gate.blocking_rules == 1
+
+
+def test_any_version_and_period_rules(spark, fixture_refs):
+    raw = fixture_raw(fixture_refs, spark, [
+        reading(1, period="2024-06"), reading(2, period="2025-06"), reading(3, period="2030-01"),
+        reading(4, period="soon"), reading(5, site="999", period="2024-06")])
+    sites = raw["sites"]
+    row = sites.where("site_id = '201'")
+    raw["sites"] = sites.where("site_id <> '201'").unionByName(
+        row.selectExpr(*[c for c in sites.columns if c != "valid_to"], "'2024-12-31' AS valid_to")).unionByName(
+        row.selectExpr(*[c for c in sites.columns if not c.startswith("valid")], "'2025-01-01' AS valid_from",
+                       "'2025-12-31' AS valid_to"))
+    counts = {}
+    for name, rules in (("each", q.DEFAULT_RULES), ("any", (q.ANY_VERSION_RULE, q.PERIOD_RULE))):
+        flagged = q.flag_readings(raw["readings"], raw, rules)
+        counts[name] = {r.rule_id: (r.rows_checked, r.rows_failed) for r in q.dq_report(flagged, rules).collect()}
+    assert counts["each"]["DQ005"] == (8, 4)          # two versions a reading; the third is outside of both
+    assert counts["any"] == {"DQ005": (4, 1), "DQ010": (5, 1)}
+
+
+def test_kept_readings_are_those_of_the_exclusion(spark, fixture_refs):
+    raw = fixture_raw(fixture_refs, spark, [
+        reading(1), reading(1, value="x"), reading(2), reading(None, value="x"), reading(None), reading(3, ptype="Z")])
+    flagged = q.flag_readings(raw["readings"], raw)
+    kept = q.kept_readings(flagged, raw["readings"].columns)
+    want = q.quarantine_exclusion(raw["readings"], q.dq_quarantine(flagged))
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, want.collect())) and kept.count() == 3

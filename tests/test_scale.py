@@ -18,21 +18,20 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-def test_distributed_dense_key_matches_single_task_numbering(spark):
+def test_dense_key_numbers_like_a_window(spark):
     df = spark.range(0, 5000).selectExpr(
         "CAST(id % 997 AS INT) AS a", "CAST((id * 7919) % 1013 AS INT) AS b",
         "IF(id % 50 = 0, NULL, CAST(id AS STRING)) AS c")
-    small = {(r.a, r.b, r.c): r.k for r in dense_key(df, ["a", "b"], "k").collect()}
-    big = dense_key(df, ["a", "b"], "k", partitions=7, small_rows=0)
-    rows = big.collect()
-    assert sorted(r.k for r in rows) == list(range(1, 5001))
-    assert {(r.a, r.b, r.c): r.k for r in rows} == small
+    got = {(r.a, r.b, r.c): r.k for r in dense_key(df, ["a", "b"], "k", partitions=7).collect()}
+    assert sorted(got.values()) == list(range(1, 5001))
+    assert {(r.a, r.b, r.c): r.k for r in dense_key(df, ["a", "b"], "k").collect()} == got
+    assert dense_key(df.limit(0), ["a", "b"], "k").collect() == []
     con = duckdb.connect()
     con.register("t", df.toPandas())
     want = dict(((a, b, c), k) for a, b, c, k in con.execute(
         "SELECT a, b, c, row_number() OVER (ORDER BY a NULLS LAST, b NULLS LAST, "
         "c NULLS LAST) FROM t").fetchall())
-    assert {(a, b, None if c != c else c): k for (a, b, c), k in want.items()} == small
+    assert {(a, b, None if c != c else c): k for (a, b, c), k in want.items()} == got
 
 
 def _hot_rows(n=3000):
@@ -76,22 +75,31 @@ def test_hot_key_report_and_latest_submission_are_exact(spark, fixture_refs):
     assert "partial_count" in _plan(q.dq_report(flagged))
 
 
-def test_fallback_beyond_broadcast_gives_same_results(spark, fixture_refs, monkeypatch):
-    """With the size caps forced to zero nothing is broadcast by us: lookups
-    and the exclusion become sort-merge joins, with identical results."""
+def test_results_do_not_depend_on_how_lookups_are_joined(spark, fixture_refs):
+    """The same build with Spark's broadcast threshold off: every lookup is a
+    sort-merge join, from the rules to the KPIs."""
+    from greenledger.operators.dims import ReportingWindow
+    from greenledger.plans.pipeline import ReportingBuild, ReportingParams
+
     rows = _hot_rows(600) + [reading(5, value="x"), reading(5), reading(6, site="999")]
 
     def run():
-        raw = fixture_raw(fixture_refs, spark, rows)
-        flagged = q.flag_readings(raw["readings"], raw)
-        kept = q.quarantine_exclusion(raw["readings"], q.dq_quarantine(flagged))
-        return (sorted(map(tuple, q.dq_report(flagged).collect())),
-                sorted(r.reading_id for r in kept.collect()), _plan(kept))
-
-    report, kept, _ = run()
-    monkeypatch.setattr(q, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(q, "QUARANTINE_BROADCAST_MAX_ROWS", 0)
-    report2, kept2, plan2 = run()
-    assert report2 == report and kept2 == kept
-    assert "SortMergeJoin" in plan2
-    assert "5" not in kept                      # both copies of a bad id excluded
+        b = ReportingBuild(spark, fixture_raw(fixture_refs, spark, rows),
+                           ReportingParams(window=ReportingWindow("2024-01", 24)))
+        frames = [b.dq_report, b.kept_readings, b.fact_monthly, b.fact_incident, b.kpi_emissions, b.kpi_trir]
+        return [sorted(map(repr, f.collect())) for f in frames], _plan(b.fact_monthly)
+
+    first, plan = run()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        second, merged = run()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        if adaptive is not None:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive)
+    assert first == second
+    assert "SortMergeJoin" in merged and "BroadcastHashJoin" not in merged

@@ -9,13 +9,13 @@ from greenledger.operators import conform
 
 def test_conform_sites_aliases_trim_and_open_end(fixture_refs):
     rows = {r.site_id: r for r in conform.conform_sites(fixture_refs["sites"]).collect()}
-    assert len(rows) == 12
-    assert rows[202].country == "DE" and rows[203].country == "DE"
-    assert rows[205].country == "US"
-    assert rows[203].site_name == "Lakeside Hub"
+    assert len(rows) == 14
+    assert rows[202].country == "US" and rows[203].country == "US"
+    assert rows[204].country == "DE" and rows[214].country == "DE"
+    assert rows[203].site_name == "Birch Lane Depot"
     assert rows[201].valid_to is None
-    assert rows[207].valid_to == dt.date(2025, 6, 30)
-    assert rows[211].valid_from == dt.date(2024, 4, 1)
+    assert rows[207].valid_to == dt.date(2025, 2, 28)
+    assert rows[211].valid_from == dt.date(2024, 8, 1)
 
 
 def test_conform_metrics_flag_defaults_false(spark):
@@ -75,10 +75,10 @@ def test_latest_submission_wins_with_reading_id_tie_break(spark, fixture_refs):
 
 def test_incident_dedup_prefers_most_lost_days_then_reporter(spark, fixture_refs):
     typed = conform.typed_incidents(fixture_refs["incidents"])
-    assert typed.count() == 20
+    assert typed.count() == 19
     staged = {r.incident_id: r for r in conform.dedupe_priority(typed).collect()}
-    assert len(staged) == 19
-    assert staged[7005].lost_days == 14 and staged[7005].reported_by == "EHS Officer"
+    assert len(staged) == 18
+    assert staged[8111].lost_days == 17 and staged[8111].reported_by == "EHS Officer"
     tie = spark.createDataFrame(
         [("1", "201", "2024-01-01", "T", "Low", "Y", "3", "Line Manager"),
          ("1", "201", "2024-01-01", "T", "Low", "Y", "3", "EHS Officer")],
