@@ -103,7 +103,7 @@ def measure(text: str, rules: Rules = Rules()) -> dict:
                 size = upto[k:] - upto[:-k]
                 whole = np.add.reduceat(size[order], starts)
                 # overlapping occurrences must not count a character twice
-                best = order[starts[np.argmax(whole)]]
+                best = order[starts[whole == whole.max()]].min()  # of equal ones the first
                 top = int(chars[covered(h == h[best], k, n)].sum())
                 out["top_chars"] = max(out["top_chars"], top)
                 failed |= top > TOP_LIMITS[k] * word_chars and n > 2 * k and (h == h[best]).sum() > 2

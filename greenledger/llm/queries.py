@@ -93,5 +93,98 @@ FROM kept
 """
 
 
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+OP6_SQL = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w
+                                 ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT doc_id, y FROM reached JOIN both_ways ON x = other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
+def _op2_sql() -> str:
+    """The measures and the verdict with the limits of quality_rules."""
+    rules = quality_rules.Rules()
+    ctes, repeat, top = [], [], []
+    for k in range(2, max(quality_rules.REPEAT_LIMITS) + 1):
+        if k not in quality_rules.TOP_LIMITS and k not in quality_rules.REPEAT_LIMITS:
+            continue
+        ctes.append(f"""g{k} AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS m FROM (
+    SELECT doc_id, i, array_to_string(w[i:i + {k - 1}], ' ') AS g
+    FROM texts, range(1, len(w) - {k - 2}) AS p(i)))""")
+        inside = f"max({{}}) OVER (PARTITION BY t.doc_id ORDER BY t.i ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+        if k in quality_rules.REPEAT_LIMITS:
+            ctes.append(f"""r{k} AS (
+  SELECT doc_id, sum(c) FILTER (again) AS chars, count(*) FILTER (again) AS n_inside FROM (
+    SELECT t.doc_id, t.c, {inside.format("coalesce(m, 0)")} > 1 AS again
+    FROM words t LEFT JOIN g{k} g ON g.doc_id = t.doc_id AND g.i = t.i) GROUP BY doc_id)""")
+            repeat.append((k, quality_rules.REPEAT_LIMITS[k]))
+        if k in quality_rules.TOP_LIMITS:
+            ctes.append(f"""b{k} AS (
+  SELECT doc_id, g, m FROM (SELECT doc_id, g, m, min(i) AS first, m * (length(g) - {k - 1}) AS total
+                            FROM g{k} GROUP BY doc_id, g, m)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY total DESC, first) = 1),
+t{k} AS (
+  SELECT doc_id, sum(c) FILTER (here) AS chars, any_value(m) AS times FROM (
+    SELECT t.doc_id, t.c, b.m, {inside.format("coalesce(g.g = b.g, false)::INTEGER")} = 1 AS here
+    FROM words t JOIN b{k} b ON b.doc_id = t.doc_id LEFT JOIN g{k} g ON g.doc_id = t.doc_id AND g.i = t.i)
+  GROUP BY doc_id),
+any{k} AS (SELECT doc_id, max(m) > 1 AS some FROM g{k} GROUP BY doc_id)""")
+            top.append((k, quality_rules.TOP_LIMITS[k]))
+    over = [f"coalesce(r{k}.chars, 0) > {limit}::DOUBLE * word_chars" for k, limit in repeat]
+    over += [f"coalesce(any{k}.some AND t{k}.chars > {limit}::DOUBLE * word_chars AND n_words > {2 * k} AND t{k}.times > 2, false)"
+             for k, limit in top]
+    over += [f"coalesce(l.n_dup_lines > {rules.line_share}::DOUBLE * n_lines, false)",
+             f"coalesce(dup_chars > {rules.line_char_share}::DOUBLE * line_chars, false)",
+             f"n_symbols > {rules.symbol_share}::DOUBLE * word_chars",
+             f"shouted > {rules.upper_share}::DOUBLE * greatest(1, word_chars)"]
+    joins = " ".join(f"LEFT JOIN r{k} ON r{k}.doc_id = d.doc_id" for k, _ in repeat) + " " + " ".join(
+        f"LEFT JOIN t{k} ON t{k}.doc_id = d.doc_id LEFT JOIN any{k} ON any{k}.doc_id = d.doc_id" for k, _ in top)
+    widest = ", ".join(f"coalesce(r{k}.chars, 0)" for k, _ in repeat)
+    tops = ", ".join(f"CASE WHEN any{k}.some THEN t{k}.chars ELSE 0 END" for k, _ in top)
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+words AS (SELECT doc_id, i, w[i] AS word, length(w[i]) AS c FROM texts, range(1, len(w) + 1) AS p(i)),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines, sum(length(line)) AS line_chars,
+         sum(length(line)) - list_sum(list_transform(list_distinct(list(line)), lambda x: length(x))) AS dup_chars
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '{_WORDS}') GROUP BY doc_id),
+{", ".join(ctes)},
+d AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         CASE WHEN upper(text) = text THEN length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) ELSE 0 END AS shouted
+  FROM texts),
+measured AS (
+  SELECT d.*, n_lines, line_chars, dup_chars, coalesce(l.n_dup_lines, 0) AS n_dup_lines,
+         coalesce(r5.n_inside, 0) AS n_repeat_words, greatest({widest}) AS repeat_chars,
+         coalesce(greatest({tops}), 0) AS top_chars, {" OR ".join(over)} AS failed
+  FROM d LEFT JOIN lines l ON l.doc_id = d.doc_id {joins})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, repeat_chars::BIGINT AS repeat_chars,
+       top_chars::BIGINT AS top_chars, base_failed, NOT base_failed AND NOT failed AS kept
+FROM (SELECT *, n_words < {rules.least_words} OR 100 * n_repeat_words > {rules.repeat_words_pct} * n_words AS base_failed
+      FROM measured)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc": OP7_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op2_quality": _op2_sql(), "op6_minhash": OP6_SQL, "op7_warc": OP7_SQL, "op10_exact_dedup": OP10_SQL}
