@@ -5,17 +5,22 @@ are computed per document; every pair of a hash from the first and a hash from
 the second collection is a table key. bands * bands keys thus cost only
 2 * bands * rows minhashes. Documents that share a key are candidates.
 
-Candidates are never expanded into all pairs: in each key's bucket every member
-is compared with one leader on the full shingle sets. Components of the confirmed
-links follow; then only members of one bucket that are still in different
-components are compared with each other. So every candidate pair is either
-confirmed, refuted or already connected.
+Candidates are never expanded into all pairs. A few rounds compare each document
+with one leader of its buckets, on the full shingle sets, and connect what is
+similar; a document is only ever compared with a leader of another component.
+Then the members of one bucket that are still in different components are
+compared with each other, each pair once, in the first bucket it shares. So every
+candidate pair is confirmed, refuted or already connected. A bitmap of each set refutes most pairs
+without their texts: two sets differ in at least as many elements as the parity
+bits of their elements do, so no pair that is similar enough is lost by it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import string
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_vocab import Remembered
-from .common import SALTS, arrow_rows, attach, prepare, salt, staged
+from .common import SALTS, arrow_rows, attach, prepare, salt, scratch, staged
 from .components import connected_components
 
-#: Parts that the members of one bucket are dealt out to for the last comparison.
-PARTS = 8
+#: Rounds of comparisons with one leader, and words of 64 bits of a set's bitmap.
+ROUNDS, BITMAP = 3, 32
 
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -96,74 +101,99 @@ class Sketch:
         return out.view(np.int64)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each bit of the bitmap whether an odd number of elements falls on it."""
+    size = 64 * BITMAP
+    odd = np.bincount((hashes % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_sets(docs: DataFrame, near: Near) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, hashes) of every row."""
+    """(doc_id, n_shingles, digest of the set, hashes, bitmap) of every row."""
 
     def run(batches):
         sketch = Sketch(near)
         for batch in batches:
-            sizes, digests, keys = [], [], []
+            sizes, digests, keys, bits = [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = sketch.hashes(words_of(text))
                 sizes.append(len(h))
                 digests.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
                 keys.append(sketch.collections(h) if len(h) else None)
+                bits.append(parities(h) if len(h) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "hashes"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "digest", "hashes", "bits"])
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, hashes array<long>, bits array<long>")
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, hashes array<long>")
+
+def key_of(u: str, v: str, i: str, j: str) -> str:
+    return f"xxhash64({u}, {v}, {i}, {j})"
 
 
 def bucket_members(nodes: DataFrame, near: Near) -> DataFrame:
-    """(key, node, n, leader, edge) of every key that two nodes may share. Keys are
+    """(key, node, leader, edge) of every key that two nodes may share. Keys are
     dealt out in ranges of (key, node), so that a hot key spans several tasks:
-    each has its own leader, and the leaders at a task's edges are marked."""
-    bands = near.bands
-    tensor = F.expr(f"flatten(transform(slice(hashes, 1, {bands}), (x, i) -> transform("
-                    f"slice(hashes, {bands + 1}, {bands}), (y, j) -> xxhash64(x, y, i, j))))")
-    rows = nodes.select(F.explode(tensor).alias("key"), F.xxhash64("node").alias("ord"), "node", "n")
-    rows = rows.repartitionByRange("key", "ord", "node").sortWithinPartitions("key", "ord", "node")
+    each has its own leader, its least node there, and the leaders at a task's
+    edges are marked."""
+    t = near.bands
+    tensor = F.expr(f"flatten(transform(slice(hashes, 1, {t}), (x, i) -> transform("
+                    f"slice(hashes, {t + 1}, {t}), (y, j) -> {key_of('x', 'y', 'i', 'j')})))")
+    rows = nodes.select(F.explode(tensor).alias("key"), "node")
+    rows = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
 
     def run(batches):
-        leader, last, first = None, None, True  # of the run that the previous batch ended in
-        held = None  # the start of that run, not yet given out
-        names = ["key", "node", "n", "leader", "edge"]
+        leader, last = None, None  # of the run that the previous batch ended in
+        held = None  # the only row so far of that run, not yet given out: (key, node, first of the task)
 
-        def out(key, node, n, leader, edge):
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(n), pa.array(leader),
-                                               pa.array(edge)], names)
+        def out(key, node, leader, edge):
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(leader), pa.array(edge)],
+                                              ["key", "node", "leader", "edge"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, _, node, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            key, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             new = np.r_[last is None or key[0] != last, key[1:] != key[:-1]]
             start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
             leaders = np.where(start >= 0, node[np.maximum(start, 0)], leader if leader is not None else 0)
-            if held is not None:
-                if first or not new[0]:  # shared with this batch, or the first of the task
-                    yield out(*([x] for x in held[:4]), [first])
-                held = None
-                first = False
+            if held is not None and (held[2] or not new[0]):  # the task's first run, or it goes on here
+                yield out([held[0]], [held[1]], [held[1]], [held[2]])
+            held = None
             shared = ~new
             shared[:-1] |= ~new[1:]
             edge = np.zeros(len(key), dtype=bool)
             if last is None:
                 shared[0] = edge[0] = True
-            tail = new[-1]  # whether its run goes on is not known yet
-            if tail:
-                held = (key[-1], node[-1], n[-1], node[-1])
-                first = last is None and len(key) == 1
+            if new[-1]:  # whether its run goes on is not known yet
+                held = (key[-1], node[-1], bool(edge[-1]))
                 shared[-1] = False
             last, leader = key[-1], leaders[-1]
-            yield out(key[shared], node[shared], n[shared], leaders[shared], edge[shared])
+            yield out(key[shared], node[shared], leaders[shared], edge[shared])
         if held is not None:
-            yield out(*([x] for x in held[:4]), [True])
+            yield out([held[0]], [held[1]], [held[1]], [True])
         elif last is not None:  # the last run's leader once more, as an edge
-            yield out([last], [leader], [-1], [leader], [True])
+            yield out([last], [leader], [leader], [True])
+
+    return rows.mapInArrow(run, "key long, node long, leader long, edge boolean")
+
 
-    return rows.mapInArrow(run, "key long, node long, n long, leader long, edge boolean")
+@contextmanager
+def by_id(docs: DataFrame, ids: DataFrame):
+    """The texts of ``ids`` as a table bucketed by id in the shared folder, so that
+    joins with it move the other side only; the name goes with the block."""
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"llm_texts_{uuid.uuid4().hex[:12]}"
+    rows = docs.repartition(n, "doc_id").join(ids.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    (rows.write.bucketBy(n, "doc_id").option("path", scratch(spark, "texts") + "/table")
+     .option("compression", "zstd").saveAsTable(name))
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
@@ -210,24 +240,12 @@ def near_dedup(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
                       .withColumnsRenamed({"doc_id": "node", "n_shingles": "n"}), "sketches")
     with arrow_rows(spark, 20_000):
         members = staged(bucket_members(sketches, near), "buckets")
-    similar_size = f"100 * least(n, m) >= {near.percent} * greatest(n, m)"
-
     # The leaders of one key's ranges, at the edges of tasks: two rows a task.
     edges = members.filter("edge").select("key", F.col("leader").alias("node"))
-    across = (edges.join(edges.groupBy("key").agg(F.min("node").alias("a")), "key")
-              .filter("a <> node").select("a", F.col("node").alias("b")))
-    sizes = sketches.select(F.col("node").alias("leader"), F.col("n").alias("m"))
-    first = members.filter("leader <> node").select("leader", "node", "n").distinct()
-    first = attach(first, sizes, ["leader"], "node").filter(similar_size).select(
-        F.col("leader").alias("a"), F.col("node").alias("b"))
-    links = staged(confirmed(first.union(across).distinct(), texts, near), "links")
-    labels = connected_components(links)
-
-    rest = _unsettled(members, labels, similar_size)
-    rest = staged(rest, "unsettled")
-    if not rest.isEmpty():
-        more = staged(confirmed(rest, texts, near), "links")
-        labels = connected_components(links.union(more))
+    across = edges.join(edges.groupBy("key").agg(F.min("node").alias("leader")), "key").select("leader", "node")
+    offers = members.select("leader", "node").union(across).filter("leader <> node")
+    with by_id(texts, sketches) as texts:
+        labels = _components(offers, members, sketches, texts, near)
     by_digest = sketches.join(labels, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component_id"))
     joined = attach(linked.select("doc_id", "n_shingles", "digest"), by_digest, ["digest"], "doc_id")
@@ -237,22 +255,67 @@ def near_dedup(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _unsettled(members: DataFrame, labels: DataFrame, similar_size: str) -> DataFrame:
-    """Pairs (a, b) of one bucket that are in different components and have not
-    been compared: one of them is outside of its leader's component."""
-    sized = members.filter("n >= 0").select("key", "node", "n", "leader").distinct()
-    rows = (sized.join(labels, "node", "left").withColumn("own", F.coalesce("component", "node")).drop("component"))
+def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, texts: DataFrame,
+                near: Near) -> DataFrame:
+    """(node, component) of all nodes with links."""
+    links = labels = None
+    for k in range(ROUNDS):
+        pairs = staged(_one_leader(offers, labels, k), "leaders")
+        if pairs.isEmpty():
+            break
+        found = staged(confirmed(pairs, texts, near), "links")
+        links = found if links is None else links.union(found)
+        labels = connected_components(links)
+    rest = staged(_unsettled(members, sketches, labels, near), "unsettled")
+    if not rest.isEmpty():
+        more = staged(confirmed(rest, texts, near), "links")
+        labels = connected_components(more if links is None else links.union(more))
+    if labels is None:
+        labels = sketches.select("node", F.col("node").alias("component")).limit(0)
+    return labels
+
+
+def _owned(rows: DataFrame, labels: DataFrame | None, column: str, spread: str, name: str) -> DataFrame:
+    """``rows`` with the component of ``column``; one without links is its own."""
+    if labels is None:
+        return rows.withColumn(name, F.col(column))
+    known = labels.select(F.col("node").alias(column), F.col("component").alias(name))
+    return attach(rows, known, [column], spread, "left").withColumn(name, F.coalesce(name, column))
+
+
+def _one_leader(offers: DataFrame, labels: DataFrame | None, k: int) -> DataFrame:
+    """(a, b): for each node one of its leaders in another component, in the first
+    round the least, then another one each round."""
+    if labels is not None:
+        offers = _owned(_owned(offers, labels, "leader", "node", "_theirs"), labels, "node", "leader", "_own")
+        offers = offers.filter("_theirs <> _own")
+    order = F.xxhash64("leader", F.lit(k)) if k else F.col("leader")
+    return offers.groupBy("node").agg(F.min(F.struct(order.alias("o"), "leader")).alias("x")).select(
+        F.col("x.leader").alias("a"), F.col("node").alias("b"))
+
+
+def _unsettled(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, near: Near) -> DataFrame:
+    """Pairs (a, b) of one bucket that are in different components, each pair in the
+    first bucket that it shares only."""
+    rows = _owned(members.select("key", "node").distinct(), labels, "node", "key", "own")
     counts = rows.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size"))
-    mixed = counts.groupBy("key").agg(F.max_by("own", "size").alias("main"), F.count(F.lit(1)).alias("parts"),
-                                      F.sum("size").alias("size"))
-    # buckets of two have been compared whole
-    mixed = mixed.filter("parts > 1 AND size > 2").select("key", "main")
-    rows = staged(attach(rows, mixed, ["key"], "node"), "mixed")
+    mixed = counts.groupBy("key").agg(F.max_by("own", "size").alias("main"), F.count(F.lit(1)).alias("parts"))
+    rows = attach(rows, mixed.filter("parts > 1").select("key", "main"), ["key"], "node")
+    rows = rows.join(sketches.select("node", "n", "hashes", "bits"), "node")
+    rows = staged(rows, "mixed")
     # of two different components one at least is not the main one
     outside = rows.filter("own <> main").select(
         "key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("own").alias("own_a"),
-        F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
-    others = rows.select("key", "node", "n", "own", "main", "leader", salt(F.col("node"), PARTS).alias("part"))
-    pairs = outside.join(others, ["key", "part"]).filter(
-        f"own <> own_a AND a <> leader AND (own = main OR node < a) AND {similar_size}")
-    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        F.col("hashes").alias("other"), F.col("bits").alias("other_bits"))
+    t = near.bands
+
+    def first(offset: int) -> str:
+        return f"get(filter(sequence(0, {t - 1}), i -> hashes[i + {offset}] = other[i + {offset}]), 0)"
+
+    i, j = first(0), first(t)
+    here = key_of(f"get(hashes, {i})", f"get(hashes, {j} + {t})", i, j)
+    differ = "aggregate(zip_with(bits, other_bits, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    pairs = outside.join(rows, "key").filter(
+        f"own <> own_a AND (own = main OR node < a) AND 100 * least(n, m) >= {near.percent} * greatest(n, m) "
+        f"AND key = {here} AND (100 + {near.percent}) * {differ} <= (100 - {near.percent}) * (n + m)")
+    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
