@@ -160,8 +160,10 @@ def revisits(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
 
 def write_archives(rows: DataFrame, folder: str) -> DataFrame:
     """Write (page_id, url, payload, refers_to) to archives in ``folder``; gives the
-    manifest (archive, records)."""
+    manifest (archive, records). Small partitions, as splits of skewed joins are,
+    are written by one task, so that they share archives and dictionaries."""
     prepare(rows.sparkSession)
+    rows = rows.coalesce(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
         fs, at = place(folder)
