@@ -3,15 +3,19 @@
 A source of weight w out of a cycle of H slots gives its i-th block the release
 time floor(i H / w) and the deadline ceil((i + 1) H / w). In every slot the
 released block of the earliest deadline is taken. Up to any slot each source has
-then had its weight's share of blocks to within less than one block. The
-schedule repeats every cycle, so only one cycle is computed; each document finds
-its slot from its number within its source.
+then had its weight's share of blocks to within less than one block. The cycle is
+FINE times the whole run, so that rounding the targets to whole shares moves no
+source by more than 1 / FINE of a block. One task walks the slots, holding one
+block of each source; each document finds its slot from its number within its
+source.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -20,42 +24,86 @@ from pyspark.sql import functions as F
 
 from .common import arrow_rows, prepare, staged
 
-#: Documents of a block, and slots of a cycle (at least one for each source).
+#: Documents of a block, and slots of a cycle at least.
 BLOCK, CYCLE = 8, 1000
 
-#: Sources that may be mixed; their counts and one cycle are held by the driver.
+#: Slots of a cycle for each slot of the run.
+FINE = 1000
+
+#: Sources that may be mixed; their counts and shares are held by the driver.
 MOST_SOURCES = 100_000
 
+#: Empty slots that are walked beyond the number of filled ones.
+EMPTY = 1 << 16
+
 
 def whole_shares(weights: Mapping[str, float], cycle: int) -> dict[str, int]:
     """Slots of each source in a cycle: by largest remainder, one at least."""
     cycle = max(cycle, len(weights))
     if not weights or min(weights.values()) < 0 or sum(weights.values()) <= 0:
         raise ValueError("weights must not be negative and one must be positive")
-    free, total = cycle - len(weights), sum(weights.values())
-    exact = {s: free * w / total for s, w in weights.items()}
-    shares = {s: 1 + int(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:cycle - sum(shares.values())]:
-        shares[s] += 1
+    each = cycle / sum(map(Fraction, weights.values()))
+    exact = {s: each * Fraction(w) for s, w in weights.items()}
+    shares = {s: max(1, int(x)) for s, x in exact.items()}
+    behind = [(shares[s] - x, s) for s, x in exact.items()]
+    more = cycle - sum(shares.values())
+    if more > 0:
+        for _, s in heapq.nsmallest(more, behind):
+            shares[s] += 1
+    elif more < 0:  # sources below one slot were given one: the others give it, those most ahead first
+        ahead = [(-x, s) for x, s in behind if shares[s] > 1]
+        heapq.heapify(ahead)
+        for _ in range(-more):
+            x, s = heapq.heappop(ahead)
+            shares[s] -= 1
+            if shares[s] > 1:
+                heapq.heappush(ahead, (x + 1, s))
     return shares
 
 
-def schedule(shares: Mapping[str, int]) -> list[str]:
-    """The source of each slot of one cycle: earliest deadline first."""
+def run_shares(weights: Mapping[str, float], blocks: Mapping[str, int], cycle: int) -> dict[str, int]:
+    """Whole shares that stay at the targets to 1 / FINE of a block until each
+    source has had all its blocks. Sources of weight 0 share one slot in ``cycle``."""
+    total = sum(map(Fraction, weights.values()))
+    none = sum(not w for w in weights.values())
+    exact = {s: Fraction(w) or Fraction(total, cycle * none) for s, w in weights.items()}
+    whole = sum(exact.values())
+    slots = max((-(-blocks[s] * whole // w) for s, w in exact.items() if w), default=0)
+    if slots * FINE >= 1 << 55:
+        raise ValueError("the least weight is too small: slots are beyond a long")
+    return whole_shares(exact, max(cycle, slots * FINE))
+
+
+def walk(shares: Mapping[str, int], blocks: Mapping[str, int]) -> Iterator[tuple[int, str, int]]:
+    """(slot, source, block) of all blocks: earliest deadline first. A source that
+    has run out keeps its slots, as far as EMPTY allows; without them the others
+    still meet their deadlines."""
     cycle = sum(shares.values())
     waiting = [(0, s, 0) for s in sorted(shares) if shares[s]]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []  # deadline, source, block
-    out = []
-    for slot in range(cycle):
+    left, empty, slot = sum(blocks[s] for s in shares if shares[s]), -EMPTY, 0
+    while left:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, s, i = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(i + 1) * cycle // shares[s]), s, i))
         _, s, i = heapq.heappop(ready)
-        out.append(s)
-        if i + 1 < shares[s]:
+        if i < blocks[s]:
+            yield slot, s, i
+            left -= 1
+            empty -= 1
+        else:
+            empty += 1
+        if i + 1 < blocks[s] or empty < 0:
             heapq.heappush(waiting, ((i + 1) * cycle // shares[s], s, i + 1))
-    return out
+        slot += 1
+
+
+def schedule(shares: Mapping[str, int]) -> list[str]:
+    """The source of each slot of one cycle: earliest deadline first."""
+    return [s for _, s, _ in walk(shares, shares)]
 
 
 def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
@@ -93,12 +141,15 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
                 source_col: str = "source", block: int = BLOCK, cycle: int = CYCLE, power: float = 0.5) -> DataFrame:
     """(doc_id, source, block, slot, place, share) of every row; ``place`` orders the mix.
 
-    ``weights`` gives each source its target; a source that it does not name gets
-    the least share of one slot a cycle. Without it the target is the source's
-    number of rows to the ``power``. Every row has a place: a source that has run
-    out leaves its slots empty and the others go on in their proportions. A null
-    source is a source of its own; repeated rows and ids are rows of their own;
-    other columns are ignored; an empty table gives an empty result."""
+    ``weights`` gives each source its target; sources that it does not name, or
+    names with 0, share one slot a ``cycle``. Without it the target is the source's
+    number of rows to the ``power``. ``share`` is the target in whole slots of the
+    run's cycle, which is as long as rounding to less than 1 / FINE of a block over
+    the run takes, and ``cycle`` slots at least. Every row has a place: a source
+    that has run out leaves its slots empty and the others go on in their
+    proportions. A null source is a source of its own; repeated rows and ids are
+    rows of their own; other columns are ignored; an empty table gives an empty
+    result."""
     spark = docs.sparkSession
     rows = numbered(docs, id_col, source_col)
     sizes = {r["name"]: r["n"] for r in rows.groupBy("name").agg(F.max("n").alias("n")).limit(MOST_SOURCES + 1).collect()}
@@ -109,19 +160,21 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
     else:
         named = {"" if s is None else f"={s}": w for s, w in weights.items()}
         target = {s: named.get(s, 0.0) for s in sizes}
-    shares = whole_shares(target, cycle) if target else {}
-    seen: dict[str, int] = dict.fromkeys(shares, 0)
-    slots = []
-    for slot, s in enumerate(schedule(shares)):
-        slots.append((s, seen[s], slot, shares[s]))
-        seen[s] += 1
-    table = spark.createDataFrame(slots, "name string, turn long, offset long, share long")  # one row a slot
-    per = spark.createDataFrame([*shares.items()], "name string, shares long")
-    h = max(1, sum(shares.values()))
-    rows = rows.join(F.broadcast(per), "name").withColumn("block", F.floor(F.col("n") / block).cast("long"))
-    rows = rows.withColumn("turn", F.col("block") % F.col("shares"))
-    slot = F.floor(F.col("block") / F.col("shares")).cast("long") * h + F.col("offset")
-    return (rows.join(F.broadcast(table), ["name", "turn"]).withColumn("slot", slot)
+    blocks = {s: n // block + 1 for s, n in sizes.items()}
+    shares = run_shares(target, blocks, cycle) if target else {}
+
+    def slots(batches):
+        for batch in batches:
+            found = walk(shares, blocks) if batch.num_rows else iter(())
+            while some := list(islice(found, 20_000)):
+                at, names, turns = zip(*some, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.string()), pa.array(turns, pa.int64()), pa.array(at, pa.int64()),
+                     pa.array([shares[s] for s in names], pa.int64())], ["name", "block", "slot", "share"])
+
+    table = staged(spark.range(0, 1, 1, 1).mapInArrow(slots, "name string, block long, slot long, share long"), "slots")
+    rows = rows.withColumn("block", F.floor(F.col("n") / block).cast("long"))
+    return (rows.join(table, ["name", "block"])
             .select("doc_id", "source", "block", "slot", (F.col("slot") * block + F.col("n") % block).alias("place"), "share"))
 
 

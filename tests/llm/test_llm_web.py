@@ -217,3 +217,25 @@ def test_in_order(documents):
     got = mixing.in_order(df)
     assert got.columns == df.columns
     assert [place[r.doc_id] for r in got.collect()] == sorted(place.values())
+
+
+@pytest.mark.parametrize("weights", [{"hot": 0.5} | {f"s{i}": 0.5 / 999 for i in range(999)}, {"a": 0.33, "b": 0.67},
+                                     {"hot": 0.5} | {f"s{i}": 0.5 / 99 for i in range(99)}, {"a": 1, "b": 1e-6}])
+def test_targets_are_met_over_the_whole_run(weights):
+    blocks = {s: max(1, int(3000 * w)) for s, w in weights.items()}
+    shares = mixing.run_shares(weights, blocks, mixing.CYCLE)
+    total, done, filled = sum(map(Fraction, weights.values())), dict.fromkeys(weights, 0), []
+    for slot, s, i in mixing.walk(shares, blocks):
+        assert i == done[s]
+        due = slot * Fraction(weights[s]) / total
+        assert i - due < 1 + 2 / mixing.FINE and due - i < 1 + 2 / mixing.FINE, s
+        done[s] += 1
+        filled.append(slot)
+    assert done == blocks and filled == sorted(set(filled))
+
+
+def test_a_hot_source_among_many_has_its_weight(documents):
+    rows = [(i, "t", "hot" if i < 1500 else f"s{i % 1500}") for i in range(3000)]
+    got = mixing.mix_sources(documents(rows), {"hot": 0.5} | {f"s{i}": 0.5 / 1500 for i in range(1500)}, block=1).collect()
+    first = sorted(got, key=lambda r: r.place)[:1000]
+    assert 490 <= sum(r.source == "hot" for r in first) <= 510
