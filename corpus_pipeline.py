@@ -2,7 +2,8 @@
 
 Each stage works on all rows that the one before kept, written as Parquet in
 between: toxic documents go, exact copies go, of near copies one stays, the rest
-is put into the order of a mix of its sources, and is encoded.
+is put into the order of a mix of its sources, and is encoded. The result has each
+document's place in the mix, so that its order outlasts the stages' files.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm import bpe_codec, exact_dedup, minhash_dedup, mixing, queries, toxicity
-from greenledger.llm.common import prepare, read_table, staged
+from greenledger.llm.common import attach, prepare, read_table, staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +45,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document and their digests."""
-    return bpe_codec.token_digests(docs, queries.VOCABULARY)
+    """Token ids' number and digests of each document, and its slot and place in the
+    mix. Rows that share an id, or have none, stand at the first place of these."""
+    keys = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_null")]
+    first = mixing.mix_sources(docs).groupBy(*keys).agg(F.min("slot").alias("slot"), F.min("place").alias("place"))
+    tokens = bpe_codec.token_digests(docs, queries.VOCABULARY)
+    return attach(tokens.select("*", *keys), first, ["_id", "_null"], "ids_sha256").select(*tokens.columns, "slot", "place")
 
 
 def _only(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -32,6 +32,34 @@ def test_pipeline_is_its_stages_by_brute_force(spark, small):
     assert got == {i: len(tok.encode(t or "", add_special_tokens=False).ids) for i, t in kept}
 
 
+def test_the_result_has_the_places_of_the_mix(spark, small):
+    import corpus_pipeline as p
+    from greenledger.llm import mixing
+    from test_llm_web import mix_brute
+
+    got = p.run(spark, "/root/testdata/sf0.01").collect()
+    source = {r.doc_id: r.source for r in small("documents").collect()}
+    rows = [(r.doc_id, f"={source[r.doc_id]}" if source[r.doc_id] is not None else "") for r in got]
+    sizes = {s: sum(t == s for _, t in rows) for _, s in rows}
+    blocks = {s: -(-n // mixing.BLOCK) for s, n in sizes.items()}
+    shares = mixing.run_shares({s: n ** 0.5 for s, n in sizes.items()}, blocks, mixing.CYCLE)
+    want = mix_brute(rows, shares, mixing.schedule(shares), mixing.BLOCK)
+    for s in sizes:
+        places = sorted(r.place for r, (_, t) in zip(got, rows, strict=True) if t == s)
+        assert places == sorted(at for (t, _), at in want.items() if t == s)
+    assert len({r.place for r in got}) == len(got)
+    assert all(r.slot == r.place // mixing.BLOCK for r in got)
+
+
+def test_places_of_rows_without_an_id_of_their_own(spark, documents):
+    import corpus_pipeline as p
+
+    rows = [(i, f"t {i}", "a" if i % 3 else "b") for i in range(60)] + [(0, "u", "a"), (None, "v", "b"), (None, "w", "a")]
+    got = p.encode(spark, documents(rows), "").collect()
+    assert sorted(r.doc_id or 0 for r in got) == sorted(r[0] or 0 for r in rows)
+    assert len({r.place for r in got}) == 61 and all(r.place is not None and r.slot == r.place // 8 for r in got)
+
+
 def test_stages_keep_columns_and_bear_odd_rows(spark, documents, tmp_path):
     import corpus_pipeline as p
 
