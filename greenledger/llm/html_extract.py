@@ -20,7 +20,8 @@ from .common import prepare
 
 # --- blocks -----------------------------------------------------------------
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<([/!?]?)([a-zA-Z\[][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>?"""
+# Quotes only delimit after "="; a tag in which they do not end goes to the next ">".
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<([/!?]?)([a-zA-Z\[][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)|[^>])*+)>"""
                   r"""|<([/!?]?)([a-zA-Z\[][^\s/>]*)([^>]*)>?""", re.S)
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)

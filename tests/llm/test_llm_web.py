@@ -129,6 +129,13 @@ def test_odd_pages():
     assert html_extract.main_text(deep, tree) == "x"
 
 
+@pytest.mark.parametrize("tag", ['<p class=lead">', "<p title=it's>", '<p "x>', "<p class='a' '>", '<p class="a>b" id=c>',
+                                 "<p title=a='b>", "<p title = 'a > b'>", '<p class="lead>'])
+def test_a_stray_quote_ends_with_its_tag(tag):
+    page = f"<article>{tag}Text one</p><p>don't stop</p><p>Last</p></article><footer>me</footer>"
+    assert html_extract.main_text(page, html_extract.train()) == "Text one\ndon't stop\nLast"
+
+
 def test_the_labelled_table_is_learned():
     tree = html_extract.train()
     for *row, label in html_extract.LABELLED:
