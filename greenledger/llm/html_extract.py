@@ -23,8 +23,8 @@ from .common import prepare
 # Quotes only delimit after "="; a tag in which they do not end goes to the next ">".
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<([/!?]?)([a-zA-Z\[][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)|[^>])*+)>"""
                   r"""|<([/!?]?)([a-zA-Z\[][^\s/>]*)([^>]*)>?""", re.S)
-_NAME = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_NOT_SHOWN = re.compile(r"(?:\A|;)\s*display\s*:\s*none\b")
 _PARTS = re.compile(r"[a-z]+")
 
 #: Elements whose content is no text of the page.
@@ -67,16 +67,32 @@ class Block:
 
 def _place(name: str, attributes: str, outer: int) -> int:
     """Where an element's content stands, given where the element stands."""
-    if outer < 0 or _HIDDEN.search(attributes):
+    if outer < 0:
         return -1
-    words: set[str] = set()
-    for _, value in _NAME.findall(attributes):
-        words.update(_PARTS.findall(value.lower()))
-    if name in WITHIN:
-        return -1 if words & AROUND_WORDS and not words & WITHIN_WORDS else 1
-    if name in AROUND or name == "header" and outer < 1 or name not in ("body", "html") and words & AROUND_WORDS:
+    found: dict[str, str] = {}
+    for key, value in _ATTRIBUTE.findall(attributes.lower()):
+        found.setdefault(key, value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] else value)
+    if (found.get("hidden", "false") != "false" or found.get("aria-hidden") == "true"
+            or _NOT_SHOWN.search(found.get("style", ""))):
+        return -1
+    if name in AROUND or name == "header" and outer < 1:
         return -1
-    return 1 if words & WITHIN_WORDS and name not in ("body", "html") else outer
+    if name in ("body", "html"):
+        return outer
+    around = within = weak = part = False
+    for word in " ".join(found.get(k, "") for k in ("class", "id", "role")).split():
+        parts = set(_PARTS.findall(word))
+        around |= bool(parts) and parts <= AROUND_WORDS  # the whole name says so
+        within |= word in WITHIN_WORDS
+        weak |= not parts.isdisjoint(AROUND_WORDS)
+        part |= not parts.isdisjoint(WITHIN_WORDS)
+    if name in WITHIN:
+        within = within or not weak
+    if around or within:
+        return int(within) - int(around)
+    if weak:
+        return 0  # has-sidebar is no sidebar: words and links decide
+    return 1 if part else outer
 
 
 def blocks(page: str) -> list[Block]:

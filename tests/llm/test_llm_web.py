@@ -136,6 +136,24 @@ def test_a_stray_quote_ends_with_its_tag(tag):
     assert html_extract.main_text(page, html_extract.train()) == "Text one\ndon't stop\nLast"
 
 
+LONG = " ".join(["This is running text of an article that goes on for a good number of words and has no links in it."] * 2)
+
+
+@pytest.mark.parametrize("tag", ['div class="overflow-hidden"', 'div style="overflow:hidden"', 'div class="md:hidden x"',
+                                 'div title="hidden gems"', 'div class="post has-sidebar"', 'main class="with-sidebar"',
+                                 'div data-x="display:none"', 'div class="has-sidebar"', 'body class="overflow-hidden"'])
+def test_a_word_in_an_attribute_does_not_empty_the_page(tag):
+    page = f"<html><{tag}><p>{LONG}</p><p>{LONG}</p></{tag.split()[0]}><nav><a href=1>One</a></nav></html>"
+    assert html_extract.main_text(page, html_extract.train()) == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("tag", ["div hidden", 'div hidden=""', 'div style="color:red; display: none"', 'div aria-hidden="true"',
+                                 'div class="sidebar"', 'div class="x cookie-notice"', "div id=comments", 'div role="navigation"'])
+def test_marked_and_hidden_parts_are_not_the_article(tag):
+    page = f"<article><p>{LONG}</p><{tag}><p>{LONG} Not this.</p></div></article>"
+    assert html_extract.main_text(page, html_extract.train()) == LONG
+
+
 def test_the_labelled_table_is_learned():
     tree = html_extract.train()
     for *row, label in html_extract.LABELLED:
