@@ -119,8 +119,7 @@ def measure(text: str, rules: Rules = Rules()) -> dict:
         failed |= len(repeats) > rules.line_share * len(lines)
         failed |= sum(map(len, repeats)) > rules.line_char_share * sum(map(len, lines))
     failed |= symbols > rules.symbol_share * word_chars
-    letters = sum(map(str.isalpha, text)) if text.upper() == text else 0
-    failed |= letters > rules.upper_share * max(1, word_chars)
+    failed |= sum(map(str.isupper, text)) > rules.upper_share * max(1, word_chars)
     out["kept"] = not out["base_failed"] and not failed
     return out
 

@@ -50,6 +50,20 @@ def test_repetition_fails_and_prose_stays():
     assert q.measure(prose + "\n" + " ".join(words[:12]))["kept"]
 
 
+def test_capitals_are_counted_and_scripts_without_case_stay():
+    rng = random.Random(2)
+
+    def prose(letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(300))
+
+    for letters in ("ابتثجحخدذرزسشصضطظعغ", "אבגדהוזחטיכלמנסעפצקרשת", "कखगघचछजझटठडढणतथदधन", "가나다라마바사아자차카타파하", "あいうえおかきくけこさしすせそ"):
+        assert q.measure(prose(letters))["kept"], letters
+    text = prose("aeioulnrst")
+    assert not q.measure(text.upper() + " a")["kept"]
+    assert not q.measure("".join(c if i % 5 > 1 else c.lower() for i, c in enumerate(text.upper())))["kept"]
+    assert q.measure("".join(c if i % 5 > 2 else c.lower() for i, c in enumerate(text.upper())))["kept"]
+
+
 def test_labelled_rows(small):
     rows = small("documents").join(small("labels"), "doc_id").collect()
     kept = {r.doc_id: q.measure(r.text)["kept"] for r in rows}
