@@ -45,7 +45,7 @@ FEATURES = ["log_words", "hits", "hit_density", "hit_kinds", "disguised", "you_d
             "stretched", "spaced_out"]
 
 _WORD = re.compile(r"\w+")
-_MIXED = re.compile(r"\w*(?:[^\W\d_]\d|\d[^\W\d_]|[^\W\d_][@$!*][^\W\d_])\w*")
+_MIXED = re.compile(r"(?<!\w)\w*(?:[^\W\d_]\d|\d[^\W\d_]|[^\W\d_][@$!*][^\W\d_])\w*")
 _STRETCHED = re.compile(r"(\w)\1{3,}")
 _SPACED_OUT = re.compile(r"(?:\b\w[ .\-*_]){4,}")
 
@@ -76,7 +76,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     n, size = max(1, len(words)), max(1, len(text))
     toxic = {w for w in set(words) if w in lexicon}
     at = [i for i, w in enumerate(words) if w in toxic] if toxic else []
-    mixed = _MIXED.findall(text.lower()) if at or any(map(text.__contains__, "0134@$!")) else []
+    mixed = _MIXED.findall(text.lower())
     disguised = sum(any(w in lexicon for w in _WORD.findall(m.translate(DISGUISE))) for m in mixed)
     you = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near = sum(any(abs(i - j) <= 5 for j in you) for i in at) if you else 0

@@ -36,6 +36,16 @@ def test_features_see_what_they_are_named_for():
     assert len(t.features("", lexicon)) == len(t.FEATURES)
 
 
+def test_words_in_any_disguise_are_seen_without_a_plain_one():
+    lexicon = t.Lexicon(frozenset({"stupid", "twit"}))
+    for text, disguised in (("so 5tupid", 1), ("a 7wit", 1), ("5tupid 7wi7", 2), ("what a st*pid", 0), ("six 6ix", 0)):
+        row = dict(zip(t.FEATURES, t.features(text, lexicon), strict=True))
+        assert row["hits"] == 0 and row["mixed_words"] > 0, text
+        assert round(row["disguised"] * len(t._WORD.findall(text))) == disguised, text
+    row = dict(zip(t.FEATURES, t.features("w" * 200_000, lexicon), strict=True))
+    assert row["mixed_words"] == 0
+
+
 def auc(score, y):
     order = np.argsort(score, kind="stable")
     rank = np.empty(len(score))
