@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import os
 import sys
 from pathlib import Path
 
@@ -10,9 +9,7 @@ ROOT = Path(__file__).resolve().parents[1]
 if str(ROOT) not in sys.path:
     sys.path.insert(0, str(ROOT))
 
-FIXTURES = Path(__file__).resolve().parent / "fixtures"
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
+from helpers import FIXTURES  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -29,27 +26,6 @@ def fixtures_dir() -> Path:
     return FIXTURES
 
 
-def have_testdata(sf_dir: str) -> bool:
-    return os.path.exists(os.path.join(sf_dir, "lineitem.parquet"))
-
-
-READING_COLS = ["reading_id", "site_id", "period", "metric_code", "value", "uom",
-                "period_type", "source_system", "submitted_at"]
-
-
-def reading(rid, site="201", period="2024-01", code="SCOPE1_GHG", value="10", uom="t",
-            ptype="M", submitted="2024-02-05 08:00:00", source="PORTAL"):
-    """One raw reading row (all strings, None allowed)."""
-    return (None if rid is None else str(rid), site, period, code, value, uom, ptype, source,
-            submitted)
-
-
-def readings_frame(spark, rows):
-    from greenledger.sources.raw import string_schema
-
-    return spark.createDataFrame(list(rows), string_schema(READING_COLS))
-
-
 @pytest.fixture(scope="session")
 def fixture_refs(spark):
     """Sites, metrics, units and incidents ingested from the CRLF fixtures."""
@@ -57,9 +33,3 @@ def fixture_refs(spark):
 
     return {name: ingest_raw(spark, str(FIXTURES / f"{name}.csv"), RAW_COLUMNS[name])
             for name in ("sites", "metric_definitions", "uom_conversions", "incidents")}
-
-
-def fixture_raw(fixture_refs, spark, rows):
-    raw = dict(fixture_refs)
-    raw["readings"] = readings_frame(spark, rows)
-    return raw

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import fixture_raw, reading
+from helpers import fixture_raw, reading
 
 from greenledger.operators.dims import ReportingWindow
 from greenledger.plans.pipeline import ReportingBuild, ReportingParams

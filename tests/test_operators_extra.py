@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import fixture_raw, reading
+from helpers import fixture_raw, reading
 
 from greenledger.operators import dims, facts, kpis
 from greenledger.operators.dims import ReportingWindow

@@ -3,7 +3,7 @@ driver compares them: row count, column names, order-insensitive values.
 All keys run."""
 
 import pytest
-from conftest import SF_SMALL, have_testdata
+from helpers import SF_SMALL, have_testdata
 
 import __spark_entry__ as entry_module
 from greenledger.plans import oracle, registry

@@ -5,7 +5,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import FIXTURES, fixture_raw, reading
+from helpers import FIXTURES, fixture_raw, reading
 
 from greenledger.operators import checks
 from greenledger.operators.dims import ReportingWindow
@@ -111,7 +111,7 @@ def test_contract_violation_is_reported(spark):
 def test_command_line_build(spark, tmp_path):
     import shutil
 
-    from conftest import READING_COLS
+    from helpers import READING_COLS
 
     from greenledger.__main__ import main
 

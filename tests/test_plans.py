@@ -7,7 +7,7 @@ import io
 import re
 
 import pytest
-from conftest import SF_SMALL, have_testdata
+from helpers import SF_SMALL, have_testdata
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -1,6 +1,6 @@
 """Data-quality rules: one pass, rules as data, quarantine and exclusion."""
 
-from conftest import fixture_raw, reading
+from helpers import fixture_raw, reading
 
 from greenledger.operators import quality as q
 

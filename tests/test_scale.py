@@ -5,7 +5,7 @@ import contextlib
 import io
 
 import duckdb
-from conftest import fixture_raw, reading
+from helpers import fixture_raw, reading
 
 from greenledger.operators import conform, quality as q
 from greenledger.operators.keys import dense_key
