@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, html_extract, minhash_dedup, mixing, quality_rules, suffix_dedup, token_counts, toxicity, warc
+from . import (
+    bpe_codec, exact_dedup, html_extract, kd_shards, merkle, minhash_dedup, mixing, quality_rules, spelling, suffix_dedup,
+    token_counts, toxicity, warc)
 from .common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
 TOXIC_FROM = 0.7
+SHARDS = 16
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,10 +67,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes near equal: the law is ``bytes``; a k-d tree has no shard that only takes."""
+    placed = kd_shards.kd_shards(read_table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_bpe, op2_quality, op3_token_counts, op4_toxicity, op5_suffix_dedup, op6_minhash, op7_warc, op8_mixing,
-        op9_html, op10_exact_dedup)}
+        op9_html, op10_exact_dedup, op11_spelling, op12_kd_shards, op13_merkle)}
 
 
 OP10_SQL = """
@@ -186,5 +204,154 @@ FROM (SELECT *, n_words < {rules.least_words} OR 100 * n_repeat_words > {rules.r
 """
 
 
+def _crc_table() -> str:
+    """The 256 steps of the crc32 of a byte, from its polynomial."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ 0xEDB88320 * (c & 1)
+        table.append(str(c))
+    return f"[{', '.join(table)}]::BIGINT[]"
+
+
+def _crc(text: str) -> str:
+    """crc32 of the UTF-8 bytes of an SQL expression."""
+    return (f"xor(list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT), "
+            f"lambda c, b: xor(c >> 8, ({_crc_table()})[1 + (xor(c, b) & 255)]), 4294967295::BIGINT), 4294967295)")
+
+
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = f"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, {_LOWERED.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+'))")} AS run FROM documents),
+runs AS (SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= {spelling.LEAST_LENGTH} GROUP BY ALL),
+hashed AS (SELECT *, {_crc("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs),
+written AS (
+  SELECT CASE WHEN h % {spelling.DAMAGE} = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+              ELSE run END AS word, n FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM written WHERE length(word) >= {spelling.LEAST_LENGTH}
+  GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+cuts AS (
+  SELECT DISTINCT word, n, length(word) AS len, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b, a.n AS n_a, b.n AS n_b FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest
+    AND a.word < b.word AND a.len = b.len
+  UNION SELECT a.word, b.word, a.n, b.n FROM words a JOIN cuts b ON a.word = b.rest),
+near AS (
+  SELECT a AS word, b AS other, n_b AS other_n FROM pairs UNION ALL SELECT b, a, n_a FROM pairs),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, struct_pack(r := -other_n, w := encode(other))) AS other,
+         max(other_n) AS other_n
+  FROM near GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= {spelling.TIMES} * n THEN other END AS form,
+         CASE WHEN other_n >= {spelling.TIMES} * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+steps(word, form_at) AS (
+  SELECT word, word FROM words
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.form_at WHERE f.form IS NOT NULL),
+roots AS (SELECT s.word, s.form_at AS root FROM steps s JOIN forms f ON f.word = s.form_at WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+
+def _op12_sql() -> str:
+    """The tree level by level: nodes, their widest axis, and bytes ahead in its order."""
+    def text_axis(name: str) -> str:
+        return f"('0x' || rpad(left(hex(encode({name})), {2 * kd_shards.AXIS_BYTES}), {2 * kd_shards.AXIS_BYTES}, '0'))::BIGINT::DOUBLE"
+
+    ctes, axes = [], ["x0", "x1", "x2"]
+    ctes.append(f"""c0 AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {_crc("coalesce(text, '')")} AS text_crc32,
+         {text_axis("source")} AS x0, {text_axis("lang")} AS x1, n_chars::DOUBLE AS x2, row_number() OVER () AS tie
+  FROM documents)""")
+    scaled = ", ".join(
+        f"CASE WHEN max({a}) OVER () > min({a}) OVER () THEN coalesce(({a} - min({a}) OVER ()) / "
+        f"(max({a}) OVER () - min({a}) OVER ()), 0.0) ELSE 0.0 END AS {a}" for a in axes)
+    ctes.append(f"l0 AS (SELECT doc_id, size, text_crc32, tie, {scaled}, 0 AS shard, {SHARDS} AS leaves FROM c0)")
+    level, most = 0, SHARDS
+    while most > 1:
+        wide = [f"(max({a}) OVER node - min({a}) OVER node)" for a in axes]
+        along = " ".join(f"WHEN w{k} >= greatest(w0, w1, w2) THEN {a}" for k, a in enumerate(axes))
+        ctes.append(f"""w{level} AS (
+  SELECT *, {", ".join(f"{w} AS w{k}" for k, w in enumerate(wide))} FROM l{level} WINDOW node AS (PARTITION BY shard)),
+s{level} AS (
+  SELECT *, sum(size) OVER (PARTITION BY shard) AS total,
+         sum(size) OVER (PARTITION BY shard ORDER BY CASE {along} END, x0, x1, x2, doc_id NULLS FIRST, tie) - size AS before
+  FROM w{level}),
+l{level + 1} AS (
+  SELECT doc_id, size, text_crc32, tie, x0, x1, x2, shard + CASE WHEN far THEN leaves // 2 ELSE 0 END AS shard,
+         CASE WHEN far THEN leaves - leaves // 2 ELSE leaves // 2 END AS leaves
+  FROM (SELECT *, (2.0::DOUBLE * before::DOUBLE + size::DOUBLE) * leaves > 2.0::DOUBLE * total::DOUBLE * (leaves // 2) AS far
+        FROM s{level}))""")
+        level, most = level + 1, -(-most // 2)
+    return f"""
+WITH {", ".join(ctes)}
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, tie) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM l{level}
+"""
+
+
+#: Levels that the SQL of op13_merkle climbs: enough for 16 ** 8 leaves.
+_LEVELS = 8
+
+
+def _climb_sql(first: str, into: str) -> str:
+    """From ``first`` (tree, i, d, s, p): each node with its digest, the digest that a
+    tampered leaf gives, and its leaf's siblings so far, level by level to the root."""
+    ctes = [f"{into}0 AS (SELECT tree, i, d, count(*) OVER (PARTITION BY tree) AS width FROM {first})"]
+    for k in range(_LEVELS):
+        ctes.append(f"""{into}{k + 1} AS (
+  SELECT tree, i // 16 AS i, CASE WHEN any_value(width) > 1 THEN sha256(string_agg(d, '' ORDER BY i)) ELSE any_value(d) END AS d,
+         (any_value(width) + 15) // 16 AS width
+  FROM {into}{k} GROUP BY tree, i // 16)""")
+    return ", ".join(ctes)
+
+
+def _siblings_sql(start: str, into: str, out: str) -> str:
+    """``start`` (id, tree, i, f, p): fold f up the tree ``into``; p collects the siblings."""
+    ctes, last = [], start
+    for k in range(_LEVELS):
+        ctes.append(f"""{out}{k + 1} AS (
+  SELECT x.id, x.tree, x.i // 16 AS i, CASE WHEN r.width > 1 THEN sha256(r.before || x.f || r.after) ELSE x.f END AS f,
+         CASE WHEN r.width > 1 THEN x.p || r.before || r.after ELSE x.p END AS p
+  FROM {last} x JOIN (
+    SELECT tree, i, width, coalesce(string_agg(d, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+           coalesce(string_agg(d, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM {into}{k} WINDOW run AS (PARTITION BY tree, i // 16 ORDER BY i)) r ON r.tree = x.tree AND r.i = x.i)""")
+        last = f"{out}{k + 1}"
+    return ", ".join(ctes)
+
+
+def _op13_sql() -> str:
+    def field(x: str) -> str:
+        return f"coalesce(strlen({x}) || ':' || {x}, '-')"
+
+    head = " || ".join(field(f"{c}::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars"))
+    return f"""
+WITH given AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce('=' || source, '') AS tree, sha256({head} || {field("text")}) AS leaf,
+         CASE WHEN coalesce({_crc("doc_id::VARCHAR")} % 5 = 0, false)
+              THEN sha256({head} || {field(_LOWERED.format("text"))}) ELSE leaf END AS start
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS d FROM given),
+{_climb_sql("leaves", "a")},
+tops AS (SELECT tree AS source, '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, d FROM a{_LEVELS}),
+{_climb_sql("tops", "b")},
+x0 AS (SELECT id, tree, i, start AS f, '' AS p FROM leaves),
+{_siblings_sql("x0", "a", "x")},
+y0 AS (SELECT x.id, '' AS tree, t.i, x.f, x.p FROM x{_LEVELS} x JOIN tops t ON t.source = x.tree),
+{_siblings_sql("y0", "b", "y")}
+SELECT g.doc_id, g.leaf, t.d AS subroot, r.d AS root, sha256(y.p) AS proof_sha256, y.f AS folded_root, y.f = r.d AS verified
+FROM y{_LEVELS} y JOIN given g ON g.id = y.id JOIN tops t ON t.source = g.tree CROSS JOIN b{_LEVELS} r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality": _op2_sql(), "op6_minhash": OP6_SQL, "op7_warc": OP7_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op2_quality": _op2_sql(), "op6_minhash": OP6_SQL, "op7_warc": OP7_SQL, "op10_exact_dedup": OP10_SQL,
+            "op11_spelling": OP11_SQL, "op12_kd_shards": _op12_sql(), "op13_merkle": _op13_sql()}
