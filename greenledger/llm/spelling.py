@@ -8,16 +8,20 @@ disjoint bigrams of its prefix, its pivots, chosen to be rarest together by dyna
 programming, are looked up in the prefixes of all words. Position limits are
 strict: around an untouched bigram the single edit lies wholly before or wholly
 behind it, so one side, up to the bigram, is the same in both words, and their
-lengths differ by one at most. Side and length are part of the key; what is found is
-verified by edit distance.
+lengths differ by one at most. The other side is cut into a few parts: the edit lies in
+one of them, and the others are the same too. All this is part of the key; what is
+found is verified by edit distance.
 """
 
 from __future__ import annotations
 
 import string
 from collections.abc import Mapping, Sequence
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +36,8 @@ LEAST_LENGTH, LEAST_COUNT, TIMES = 7, 2, 10
 #: Every so many occurrences, by a checksum of document and run, lose a letter.
 DAMAGE = 31
 
-#: The edits a pair may differ by, and the letters of a gram.
-EDITS, GRAM = 1, 2
+#: The edits a pair may differ by, the letters of a gram, and the parts of a side.
+EDITS, GRAM, PARTS = 1, 2, 3
 
 
 def word_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", damage: int | None = DAMAGE,
@@ -62,24 +66,30 @@ def gram_order(words: DataFrame) -> dict[str, int]:
     return {r["gram"]: r["n"] for r in sorted(counts.collect(), key=lambda r: (r["n"], r["gram"]))}
 
 
-def pivots(grams: Sequence[tuple[int, int]], k: int = EDITS + 1) -> list[int]:
-    """Places of the ``k`` disjoint grams of least total cost out of (place, cost) in
-    the order of places: best[j][i] is the choice of j grams among the first i."""
-    best: list[list[tuple[int, list[int]] | None]] = [[(0, [])] * (len(grams) + 1)]
-    for j in range(1, k + 1):
-        row: list[tuple[int, list[int]] | None] = [None]
-        for i, (place, cost) in enumerate(grams):
-            before = i
-            while before and grams[before - 1][0] > place - GRAM:
-                before -= 1
-            rest = best[j - 1][before]
-            taken = None if rest is None else (rest[0] + cost, [*rest[1], place])
-            row.append(min((x for x in (row[-1], taken) if x is not None), default=None))
-        best.append(row)
-    found = best[k][-1]
-    if found is None:
+def pivots(grams: Sequence[tuple[int, int]], k: int = EDITS + 1) -> tuple[int, ...]:
+    """Places of the ``k`` disjoint grams of least total cost out of (place, cost) in the
+    order of places. ready[j] is the best choice of j grams that end before the next
+    one begins; choices that end later wait until it does."""
+    ready: list[tuple[int, tuple[int, ...]] | None] = [(0, ()), *[None] * k]
+    waiting: list[tuple[int, int, tuple[int, tuple[int, ...]]]] = []
+
+    def settle(before: float) -> None:
+        while waiting and waiting[0][0] < before:
+            _, j, choice = waiting.pop(0)
+            held = ready[j]
+            if held is None or choice < held:
+                ready[j] = choice
+
+    for place, cost in grams:
+        settle(place - GRAM + 1)
+        for j in range(k):
+            held = ready[j]
+            if held is not None:
+                waiting.append((place, j + 1, (held[0] + cost, (*held[1], place))))
+    settle(float("inf"))
+    if ready[k] is None:
         raise ValueError("a word is too short for disjoint grams")
-    return found[1]
+    return ready[k][1]
 
 
 class Grams:
@@ -95,19 +105,37 @@ class Grams:
         last = sorted(ranks)[GRAM * EDITS]
         return last, [i for i, r in enumerate(ranks) if r <= last]
 
-    def keys(self, word: str) -> tuple[int, list[str], list[str]]:
-        """(last rank, keys that the word is indexed by, keys that its pivots look up)."""
-        last, places = self.prefix(word)
-        size = len(word)
-        index = [key for p in places for key in (f"<{size}{word[:p + GRAM]}", f">{size}{word[p:]}")]
-        probe = []
-        for p in pivots([(p, self.counts[word[p:p + GRAM]]) for p in places]):
-            for other in range(size - EDITS, size + EDITS + 1):
-                if p + GRAM < size or other > size:  # something behind the gram to edit
-                    probe.append(f"<{other}{word[:p + GRAM]}")
-                if p or other > size:
-                    probe.append(f">{other}{word[p:]}")
-        return last, index, probe
+    def index(self, word: str) -> list[str]:
+        """Keys that the word is found by: those of each gram of its prefix, read from
+        the left and from the right."""
+        size, out = len(word), []
+        for p in self.prefix(word)[1]:
+            out += side_keys("<", word, p, size) + side_keys(">", word[::-1], size - p - GRAM, size)
+        return out
+
+    def probe(self, word: str) -> list[str]:
+        """Keys that its pivots look up: the other word has one letter less, as many or one more."""
+        size, out = len(word), []
+        for p in pivots([(p, self.counts[word[p:p + GRAM]]) for p in self.prefix(word)[1]]):
+            for side, text, at in (("<", word, p), (">", word[::-1], size - p - GRAM)):
+                for other in range(size - EDITS, size + EDITS + 1):
+                    if at + GRAM < size or other > size:  # there is something on the other side to edit
+                        out += side_keys(side, text, at, other)
+        return out
+
+
+def side_keys(side: str, text: str, p: int, size: int) -> list[str]:
+    """Keys of the gram at place ``p`` for an indexed word of ``size`` letters. ``text`` is
+    that word, or one that is the same up to the gram and one edit apart behind it. What
+    stands behind it in the indexed word is cut into PARTS parts; a key leaves one out."""
+    start, rest, behind = p + GRAM, size - p - GRAM, len(text) - size
+    if rest < 2:
+        return [f"{side}{size}{text[:start]}"] if rest >= 0 else []
+    n, out = min(PARTS, rest), []
+    for k in range(n):
+        a, b = start + rest * k // n, start + rest * (k + 1) // n
+        out.append(f"{side}{size}{text[:a]}-{text[b + behind:]}")
+    return out
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -116,25 +144,25 @@ def near_words(words: DataFrame) -> DataFrame:
     of LETTERS at least."""
     grams = Grams(gram_order(words))
 
-    def run(batches):
-        for batch in batches:
-            found = [grams.keys(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([x[0] for x in found], pa.int32()),
-                 pa.array([x[1] for x in found], pa.list_(pa.string())), pa.array([x[2] for x in found], pa.list_(pa.string()))],
-                ["word", "n", "last", "index", "probe"])
+    def keyed(kind: str, word: str, n: str) -> DataFrame:
+        def run(batches):
+            keys_of = getattr(grams, kind)
+            for batch in batches:
+                keys = [[xxhash.xxh3_64_intdigest(k) for k in keys_of(w)] for w in batch.column(0).to_pylist()]
+                sizes = np.fromiter(map(len, keys), dtype=np.int64, count=len(keys))
+                flat = np.fromiter(chain.from_iterable(keys), dtype=np.uint64, count=int(sizes.sum())).view(np.int64)
+                of = pa.array(np.repeat(np.arange(len(keys)), sizes))
+                yield pa.RecordBatch.from_arrays([pa.array(flat), batch.column(0).take(of), batch.column(1).take(of)], ["key", word, n])
 
-    with arrow_rows(words.sparkSession, 10_000):
-        signed = staged(words.select("word", "n").mapInArrow(
-            run, "word string, n long, last int, index array<string>, probe array<string>"), "spelling-grams")
+        return words.select("word", "n").mapInArrow(run, f"key long, {word} string, {n} long")
 
-    def keyed(column: str, word: str, n: str, last: str) -> DataFrame:
-        return signed.select(F.explode(column).alias("key"), F.col("word").alias(word), F.col("n").alias(n),
-                             F.col("last").alias(last)).withColumn("key", F.xxhash64("key"))
-
-    found = keyed("probe", "a", "n_a", "last_a").join(keyed("index", "b", "n_b", "last_b"), "key").filter(
-        (F.struct("last_a", "a") < F.struct("last_b", "b")) & (F.levenshtein("a", "b", EDITS) == EDITS))
-    return found.select("a", "n_a", "b", "n_b").distinct()
+    with arrow_rows(words.sparkSession, 2_000):
+        found = keyed("probe", "a", "n_a").join(keyed("index", "b", "n_b"), "key").filter(
+            (F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS))
+        first, least, other = F.col("a") < F.col("b"), F.least("a", "b"), F.greatest("a", "b")
+        return staged(found.select(
+            least.alias("a"), F.when(first, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+            other.alias("b"), F.when(first, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct(), "spelling-pairs")
 
 
 def spelling_forms(words: DataFrame, *, times: int = TIMES) -> DataFrame:
@@ -146,7 +174,7 @@ def spelling_forms(words: DataFrame, *, times: int = TIMES) -> DataFrame:
     empty result."""
     prepare(words.sparkSession)
     words = staged(words.select("word", "n"), "spelling-words")
-    pairs = staged(near_words(words), "spelling-pairs")
+    pairs = near_words(words)
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("n_b").alias("near_n")).union(
         pairs.select("b", "a", "n_a"))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
