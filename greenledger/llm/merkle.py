@@ -129,8 +129,8 @@ def append_log(leaves: DataFrame, shape: Shape = Shape()) -> list[DataFrame]:
 
 
 def subroots(rounds: Sequence[DataFrame]) -> DataFrame:
-    """(tree, digest) of each tree's last node."""
-    tops = [r.filter("top").select("tree", "digest") for r in rounds]
+    """(tree, size, digest) of each tree: its leaves' number and its last node."""
+    tops = [r.filter("top").select("tree", F.col("leaves").alias("size"), "digest") for r in rounds]
     out = tops[0]
     for more in tops[1:]:
         out = out.unionByName(more)
@@ -200,10 +200,11 @@ def _paths(batches, base: int, shape: Shape) -> Iterator[list[tuple]]:
 
 def _climb(rounds: Sequence[DataFrame], tops: DataFrame, shape: Shape) -> DataFrame:
     """(tree, segment, subroot, path): the path above the root of every builder of the
-    first round. ``tops`` (tree, subroot, path) has the path above each tree's root."""
+    first round. ``tops`` (tree, size, subroot, path) has the path above each tree's root."""
     done: DataFrame | None = None
     for k in reversed(range(len(rounds))):
-        ends = tops.join(rounds[k].filter("top").select("tree"), "tree").select(
+        low, high = (F.lit(shape.fanout ** (n * shape.levels)) for n in (k, k + 1))
+        ends = tops.filter((F.col("size") <= high) & ((F.col("size") > low) | F.lit(not k))).select(
             "tree", F.lit(0).cast("long").alias("segment"), "subroot", "path")
         above = ends if done is None else ends.unionByName(done)
         if not k:
@@ -247,7 +248,7 @@ class Manifest:
         root, and the root that follows from them and the digest ``start``."""
         shape = self.shape
         whole = F.lit("").alias("tree")
-        bare = self.names.limit(1).select(whole, F.lit(None).cast("string").alias("subroot"),
+        bare = self.names.limit(1).select(whole, F.col("leaves").alias("size"), F.lit(None).cast("string").alias("subroot"),
                                           F.array().cast("array<string>").alias("path"))
         entries = self.names.select(whole, "i", *_nothing())
 
@@ -259,7 +260,7 @@ class Manifest:
 
         met = _met(self.top_rounds[0], None, _climb(self.top_rounds, bare, shape), entries, 0, shape)
         above = met.mapInArrow(climbed, "i long, path array<string>")
-        tops = staged(above.join(self.names, "i").select("tree", F.col("digest").alias("subroot"), "path"), "merkle-tops")
+        tops = staged(above.join(self.names, "i").select("tree", "size", F.col("digest").alias("subroot"), "path"), "merkle-tops")
 
         def fold(batches):
             for found in _paths(batches, 0, shape):
@@ -286,7 +287,7 @@ def manifest(leaves: DataFrame, shape: Shape = Shape()) -> Manifest:
     numbered = staged(numbered.drop("_tie", "before", "total"), "merkle-numbered")
     rounds = append_log(numbered.select("tree", "leaves", "i", F.col("leaf").alias("digest")), shape)
     names = running(subroots(rounds).withColumn("_all", F.lit(0)), "_all", ["tree"])
-    names = staged(names.select("tree", "digest", F.col("n").alias("i"), F.col("rows").alias("leaves")), "merkle-subroots")
+    names = staged(names.select("tree", "size", "digest", F.col("n").alias("i"), F.col("rows").alias("leaves")), "merkle-subroots")
     top_rounds = append_log(names.select(F.lit("").alias("tree"), "leaves", "i", "digest"), shape)
     root = subroots(top_rounds).first()
     return Manifest(numbered, rounds, top_rounds, names, root["digest"] if root else None, shape)
