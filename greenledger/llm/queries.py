@@ -137,6 +137,10 @@ FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
 
+#: Characters with the Uppercase property: capital letters, and numerals and enclosed letters of that form.
+_CAPITALS = r"\p{Lu}\x{2160}-\x{216F}\x{24B6}-\x{24CF}\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}"
+
+
 def _op2_sql() -> str:
     """The measures and the verdict with the limits of quality_rules."""
     rules = quality_rules.Rules()
@@ -190,7 +194,7 @@ lines AS (
 d AS (
   SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-         CASE WHEN upper(text) = text THEN length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) ELSE 0 END AS shouted
+         length(regexp_replace(text, '[^{_CAPITALS}]', '', 'g')) AS shouted
   FROM texts),
 measured AS (
   SELECT d.*, n_lines, line_chars, dup_chars, coalesce(l.n_dup_lines, 0) AS n_dup_lines,
