@@ -84,8 +84,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def salt(by: Column, salts: int = SALTS) -> Column:
-    return F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores ahead until no column of ``df`` is named so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def salt(by: Column, salts: int | Column = SALTS) -> Column:
+    return F.pmod(F.xxhash64(by), salts if isinstance(salts, Column) else F.lit(salts)).cast("int")
 
 
 def attach(left: DataFrame, lookup: DataFrame, keys: Sequence[str], spread: str,

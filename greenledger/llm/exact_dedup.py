@@ -57,10 +57,10 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     ids lose to any other; in a group of null ids only, all are kept with a null
     keep_id. Other columns are ignored; an empty table gives an empty result."""
     rows = _rows(docs, id_col, text_col, digest, salts)
+    members = staged(rows.drop("norm", "_salt"), "digests")  # read twice below; texts are hashed once for it
     groups = staged(duplicate_groups(docs, id_col=id_col, text_col=text_col, digest=digest, salts=salts),
                     "exact-groups")
     plain = groups.filter(~F.col("collided")).drop("norm", "collided")
-    members = rows.drop("norm", "_salt")
     out = attach(members, plain, ["digest"], "doc_id", salts=salts)
     if not groups.filter("collided").isEmpty():
         clash = groups.filter("collided").drop("collided")

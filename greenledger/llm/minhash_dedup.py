@@ -8,11 +8,15 @@ the second collection is a table key. bands * bands keys thus cost only
 Candidates are never expanded into all pairs. A few rounds compare each document
 with one leader of its buckets, on the full shingle sets, and connect what is
 similar; a document is only ever compared with a leader of another component.
-Then the members of one bucket that are still in different components are
-compared with each other, each pair once, in the first bucket it shares. So every
-candidate pair is confirmed, refuted or already connected. A bitmap of each set refutes most pairs
-without their texts: two sets differ in at least as many elements as the parity
-bits of their elements do, so no pair that is similar enough is lost by it.
+Then buckets whose members are still in different components are searched: a
+block of members outside the bucket's main component is held against the whole
+bucket by bitmaps of the sets, and each of them is given one partner of each foreign
+component, the closest that is not refuted yet. These are confirmed on the full sets,
+what is similar is connected, and the search goes on until nothing is left to
+ask. So every candidate pair is confirmed, refuted or already connected, and what
+leaves a task grows with the members and the components in a bucket, not with its
+pairs. The bitmaps lose nothing: two sets differ in at least as many elements as the
+parity bits of their elements do.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_vocab import Remembered
@@ -36,6 +40,9 @@ from .components import connected_components
 #: Rounds of comparisons with one leader, and words of 64 bits of a set's bitmap.
 ROUNDS, BITMAP = 3, 32
 
+#: Members that a task holds against a bucket, and rows of the bucket that pass it.
+BLOCK, STRETCH = 256, 8192
+
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -266,10 +273,18 @@ def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, text
         found = staged(confirmed(pairs, texts, near), "links")
         links = found if links is None else links.union(found)
         labels = connected_components(links)
-    rest = staged(_unsettled(members, sketches, labels, near), "unsettled")
-    if not rest.isEmpty():
-        more = staged(confirmed(rest, texts, near), "links")
-        labels = connected_components(more if links is None else links.union(more))
+    asked, refuted = None, None
+    while True:
+        asked = staged(_mixed(members if asked is None else asked, sketches, labels), "mixed")
+        pairs = staged(_closest(asked, refuted, near), "closest")
+        if pairs.isEmpty():
+            break
+        found = staged(confirmed(pairs, texts, near), "links")
+        wrong = staged(pairs.join(found, ["a", "b"], "left_anti"), "refuted")
+        refuted = wrong if refuted is None else refuted.union(wrong)
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = connected_components(links)
     if labels is None:
         labels = sketches.select("node", F.col("node").alias("component")).limit(0)
     return labels
@@ -294,28 +309,87 @@ def _one_leader(offers: DataFrame, labels: DataFrame | None, k: int) -> DataFram
         F.col("x.leader").alias("a"), F.col("node").alias("b"))
 
 
-def _unsettled(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, near: Near) -> DataFrame:
-    """Pairs (a, b) of one bucket that are in different components, each pair in the
-    first bucket that it shares only."""
+def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(key, node, own, main, outside, size, n, bits) of the buckets in ``members`` (key,
+    node) that hold several components: the member's own and the bucket's largest,
+    its members and those outside the largest. Of buckets with the same members one
+    is left."""
     rows = _owned(members.select("key", "node").distinct(), labels, "node", "key", "own")
-    counts = rows.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size"))
-    mixed = counts.groupBy("key").agg(F.max_by("own", "size").alias("main"), F.count(F.lit(1)).alias("parts"))
-    rows = attach(rows, mixed.filter("parts > 1").select("key", "main"), ["key"], "node")
-    rows = rows.join(sketches.select("node", "n", "hashes", "bits"), "node")
-    rows = staged(rows, "mixed")
-    # of two different components one at least is not the main one
-    outside = rows.filter("own <> main").select(
-        "key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("own").alias("own_a"),
-        F.col("hashes").alias("other"), F.col("bits").alias("other_bits"))
-    t = near.bands
+    parts = rows.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"))
+    keys = parts.groupBy("key").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count(F.lit(1)).alias("parts"),
+                                    F.max("size").alias("most"), F.sum("size").alias("size"), F.sum("x").alias("x"))
+    keys = keys.filter("parts > 1").groupBy("size", "x").agg(F.min(F.struct("key", "main", "most")).alias("k"))
+    keys = keys.select("k.key", "k.main", (F.col("size") - F.col("k.most")).alias("outside"), "size")
+    rows = attach(rows, keys, ["key"], "node")
+    return attach(rows, sketches.select("node", "n", "bits"), ["node"], "key")
+
+
+def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near) -> DataFrame:
+    """Pairs (a, b): for each member outside its bucket's main component and each foreign
+    component, the member of that component whose bitmap differs least, out of
+    those that may be similar enough and are not refuted."""
+    blocks, stretches = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("size") / STRETCH).cast("int")
+    block, stretch = salt(F.col("node"), blocks), salt(F.xxhash64("node", F.lit(1)), stretches)
+
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    facts = ["key", "node", "own", "n", "bits"]
+    nothing = F.array().cast("array<long>").alias("refuted")
+    held = mixed.filter("own <> main").select(*facts, block.alias("block"), every(stretches).alias("stretch"))
+    if refuted is None:
+        held = held.select("*", nothing)
+    else:
+        both = refuted.union(refuted.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("known"))
+        held = attach(held, both, ["node"], "key", "left").withColumn("refuted", F.coalesce("known", F.array().cast("array<long>"))).drop("known")
+    passing = mixed.select(*facts, every(blocks).alias("block"), stretch.alias("stretch"), nothing)
+    rows = held.withColumn("kind", F.lit(0)).unionByName(passing.withColumn("kind", F.lit(1)))
+    order = ["key", "block", "stretch"]
+    rows = (rows.select(*order, "kind", "node", "own", "n", "bits", "refuted").repartition(*order)
+            .sortWithinPartitions(*order, "kind", "node"))
 
-    def first(offset: int) -> str:
-        return f"get(filter(sequence(0, {t - 1}), i -> hashes[i + {offset}] = other[i + {offset}]), 0)"
-
-    i, j = first(0), first(t)
-    here = key_of(f"get(hashes, {i})", f"get(hashes, {j} + {t})", i, j)
-    differ = "aggregate(zip_with(bits, other_bits, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-    pairs = outside.join(rows, "key").filter(
-        f"own <> own_a AND (own = main OR node < a) AND 100 * least(n, m) >= {near.percent} * greatest(n, m) "
-        f"AND key = {here} AND (100 + {near.percent}) * {differ} <= (100 - {near.percent}) * (n + m)")
-    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+    def run(batches):
+        group, best = None, {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, part, turn, kind, node, own, n = (batch.column(i).to_numpy() for i in range(7))
+            bits = batch.column(7).flatten().to_numpy().reshape(-1, BITMAP)
+            starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (turn[1:] != turn[:-1])])
+            for start, end in zip(starts, [*starts[1:], len(key)], strict=True):
+                if group != (key[start], part[start], turn[start]):
+                    yield _pairs_found(best)
+                    group, best, mine = (key[start], part[start], turn[start]), {}, []
+                middle = start + int((kind[start:end] == 0).sum())
+                for i in range(start, middle):
+                    mine.append((int(node[i]), own[i], n[i], bits[i].copy(), np.array(batch.column(8)[i].as_py(), np.int64)))
+                if middle == end:
+                    continue
+                theirs, sizes, comps, maps = node[middle:end], n[middle:end], own[middle:end], bits[middle:end]
+                for a, a_own, a_n, a_bits, known in mine:
+                    may = (comps != a_own) & (100 * np.minimum(sizes, a_n) >= near.percent * np.maximum(sizes, a_n))
+                    at = np.flatnonzero(may)
+                    if not len(at):
+                        continue
+                    differ = np.bitwise_count(maps[at] ^ a_bits).sum(axis=1, dtype=np.int64)
+                    may = (100 + near.percent) * differ <= (100 - near.percent) * (sizes[at] + a_n)
+                    if len(known):
+                        may &= ~np.isin(theirs[at], known)
+                    at, differ = at[may], differ[may]
+                    order = np.lexsort((theirs[at], differ))
+                    others, first = np.unique(comps[at[order]], return_index=True)
+                    for other, k in zip(others.tolist(), order[first], strict=True):
+                        found = (int(differ[k]), int(theirs[at[k]]))
+                        if (a, other) not in best or found < best[a, other]:
+                            best[a, other] = found
+        yield _pairs_found(best)
+
+    with arrow_rows(mixed.sparkSession, 2_000):
+        found = staged(rows.mapInArrow(run, "a long, theirs long, differ long, b long"), "nearest")
+    found = found.groupBy("a", "theirs").agg(F.min(F.struct("differ", "b")).alias("x"))
+    return found.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
+
+
+def _pairs_found(best: dict) -> pa.RecordBatch:
+    rows = [(a, theirs, differ, b) for (a, theirs), (differ, b) in best.items()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["a", "theirs", "differ", "b"])

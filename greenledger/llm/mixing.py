@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, prepare, staged
+from .common import arrow_rows, prepare, staged, unused
 
 #: Documents of a block, and slots of a cycle at least.
 BLOCK, CYCLE = 8, 1000
@@ -184,6 +184,7 @@ def in_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     them, so that what is written is read in the mix's order. Rows that share an
     id stand together at its first place; rows with a null id come first."""
     mixed = mix_sources(docs, weights, id_col=id_col, source_col=source_col, **options)
-    places = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.min("place").alias("_place"))
-    rows = docs.join(places, docs[id_col].cast("long") == places["_id"], "left").drop("_id")
-    return rows.repartitionByRange("_place").sortWithinPartitions("_place").drop("_place")
+    key, place = unused(docs, "_id"), unused(docs, "_place")
+    places = mixed.groupBy(F.col("doc_id").alias(key)).agg(F.min("place").alias(place))
+    rows = docs.join(places, docs[id_col].cast("long") == places[key], "left")
+    return rows.repartitionByRange(place).sortWithinPartitions(place).select(*docs.columns)
