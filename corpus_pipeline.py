@@ -12,15 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm import bpe_codec, exact_dedup, minhash_dedup, mixing, queries, toxicity
-from greenledger.llm.common import attach, prepare, read_table, staged
+from greenledger.llm.common import attach, prepare, read_table, staged, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject. The model is fitted on
     labelled rows of the whole table; null and empty texts are scored as empty."""
     model = toxicity.fit_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, model, score_col="_toxicity")
-    return scored.filter(F.col("_toxicity") < queries.TOXIC_FROM).drop("_toxicity")
+    score = unused(docs, "toxicity")
+    scored = toxicity.score_documents(docs, model, score_col=score)
+    return scored.filter(F.col(score) < queries.TOXIC_FROM).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,18 +50,20 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mix. Rows that share an id, or have none, stand at the first place of these."""
     keys = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_null")]
     first = mixing.mix_sources(docs).groupBy(*keys).agg(F.min("slot").alias("slot"), F.min("place").alias("place"))
-    tokens = bpe_codec.token_digests(docs, queries.VOCABULARY)
+    tokens = staged(bpe_codec.token_digests(docs, queries.VOCABULARY), "tokens")  # read twice below
     return attach(tokens.select("*", *keys), first, ["_id", "_null"], "ids_sha256").select(*tokens.columns, "slot", "place")
 
 
 def _only(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id and text are kept, once each."""
+    keys = [unused(docs, "digest"), unused(docs, "id")]
+
     def keyed(rows: DataFrame, text: Column) -> DataFrame:
-        return rows.withColumn("_text", text).withColumn("_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+        return rows.select("*", text.alias(keys[0]), F.coalesce("doc_id", F.lit(-(1 << 63))).alias(keys[1]))
 
-    kept = keyed(found.filter("kept"), F.col("text_sha256")).select("_text", "_id").distinct()
+    kept = keyed(found.filter("kept").select("doc_id", "text_sha256"), F.col("text_sha256")).select(*keys).distinct()
     rows = keyed(docs, exact_dedup.sha256(exact_dedup.normalised(F.col("text"))))
-    return rows.join(kept, ["_text", "_id"]).dropDuplicates(["_text", "_id"]).select(docs.columns)
+    return rows.join(kept, keys).dropDuplicates(keys).select(docs.columns)
 
 
 STAGES = [
