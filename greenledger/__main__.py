@@ -1,11 +1,14 @@
 """Run the whole reporting build from a folder of source CSVs.
 
-    python -m greenledger SOURCE_DIR OUT_DIR [--start 2024-01] [--months 24]
+    python -m greenledger SOURCE_DIR OUT_DIR [--start 2024-01] [--months 24] [--gate] [--publish]
 
 SOURCE_DIR holds sites.csv, metric_definitions.csv, uom_conversions.csv,
 readings.csv and incidents.csv (a missing file is an error). OUT_DIR gets
 the layers as Parquet tables (``tables/``) and the DQ report and the four
-KPI reports as CSV (``reports/``). On a cluster, run it with spark-submit;
+KPI reports as CSV (``reports/``). With --gate a failing rule with the BLOCK action
+ends the build after the quality report. Malformed lines are kept and reported. With --publish OUT_DIR holds versions: the
+build goes to a folder of its own and becomes visible as a whole, by one manifest, or
+not at all. On a cluster, run it with spark-submit;
 the session's own settings (including ``spark.checkpoint.dir``) are used.
 """
 
@@ -18,6 +21,7 @@ from pyspark.sql import SparkSession
 
 from .operators.dims import ReportingWindow
 from .plans.pipeline import ReportingParams, run_pipeline
+from .plans.publish import BUILDS, Publication, publish_build
 from .session import shared_folder
 from .sources.raw import ingest_sources
 
@@ -28,18 +32,27 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("out_dir")
     ap.add_argument("--start", default="2024-01", help="first month of the window, YYYY-MM")
     ap.add_argument("--months", type=int, default=24, help="number of months in the window")
+    ap.add_argument("--gate", action="store_true", help="stop where a blocking rule fails")
+    ap.add_argument("--publish", action="store_true", help="publish the build as a new version of OUT_DIR")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("greenledger").getOrCreate()
     shared_folder(spark)
-    raw = ingest_sources(spark, args.source_dir)
-    build = run_pipeline(spark, raw, args.out_dir,
-                         ReportingParams(window=ReportingWindow(args.start, args.months)))
-    report = spark.read.parquet(f"{args.out_dir.rstrip('/')}/tables/dq_report")
+    raw = ingest_sources(spark, args.source_dir, keep_corrupt=True)
+    params = ReportingParams(window=ReportingWindow(args.start, args.months))
+    out = args.out_dir.rstrip("/")
+    if args.publish:
+        manifest = publish_build(spark, raw, out, params, gate=args.gate)
+        report = Publication(spark, out).read(manifest, "dq_report")
+        where = f"version {manifest.version} published, reports written to {out}/{BUILDS}/{manifest.build}/reports"
+    else:
+        run_pipeline(spark, raw, out, params, gate=args.gate)
+        report = spark.read.parquet(f"{out}/tables/dq_report")
+        where = f"reports written to {out}/reports"
     for row in report.orderBy("rule_id").collect():
         print(f"{row.rule_id} {row.severity:<5} checked={row.rows_checked} "
               f"failed={row.rows_failed} action={row.action_taken}  {row.rule_name}")
-    print(f"reports written to {args.out_dir.rstrip('/')}/reports")
+    print(where)
     return 0
 
 

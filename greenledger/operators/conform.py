@@ -65,8 +65,9 @@ def conform_uom(raw_uom: DataFrame) -> DataFrame:
     )
 
 
-def typed_readings(readings: DataFrame) -> DataFrame:
-    """Raw readings (already stripped of quarantined ids) with types."""
+def typed_readings(readings: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Raw readings (already stripped of quarantined ids) with types; columns to
+    ``carry`` go along as they are."""
     return readings.select(
         duck_bigint("reading_id").alias("reading_id"),
         duck_int("site_id").alias("site_id"),
@@ -77,10 +78,12 @@ def typed_readings(readings: DataFrame) -> DataFrame:
         F.upper(ztrim("period_type")).alias("period_type"),
         ztrim("source_system").alias("source_system"),
         duck_timestamp("submitted_at").alias("submitted_at"),
+        *carry,
     )
 
 
-def canonical_units(typed: DataFrame, stg_metrics: DataFrame, stg_uom: DataFrame) -> DataFrame:
+def canonical_units(typed: DataFrame, stg_metrics: DataFrame, stg_uom: DataFrame,
+                    carry: Sequence[str] = ()) -> DataFrame:
     """value x factor into the metric's canonical unit. Inner joins: a reading
     whose metric or unit pair is unknown does not reach the facts (such rows
     were quarantined by the quality rules already)."""
@@ -92,7 +95,7 @@ def canonical_units(typed: DataFrame, stg_metrics: DataFrame, stg_uom: DataFrame
             .select("reading_id", "site_id", "period_start", "metric_code", "raw_value",
                     "source_uom", "canonical_uom",
                     (F.col("raw_value") * F.col("conversion_factor")).alias("canonical_value"),
-                    "period_type", "source_system", "submitted_at"))
+                    "period_type", "source_system", "submitted_at", *carry))
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], priority: Sequence[Column],
@@ -124,7 +127,7 @@ def latest_submission(converted: DataFrame) -> DataFrame:
         "submission_count", (F.col("submission_count") > 1).alias("is_restatement"))
 
 
-def typed_incidents(raw_incidents: DataFrame) -> DataFrame:
+def typed_incidents(raw_incidents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return raw_incidents.select(
         duck_bigint("incident_id").alias("incident_id"),
         duck_int("site_id").alias("site_id"),
@@ -134,6 +137,7 @@ def typed_incidents(raw_incidents: DataFrame) -> DataFrame:
         _yes("is_recordable").alias("is_recordable"),
         duck_int("lost_days").alias("lost_days"),
         ztrim("reported_by").alias("reported_by"),
+        *carry,
     )
 
 

@@ -8,6 +8,8 @@ no nested-loop join appears.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ OPEN_END = "9999-12-31"
 QUARTER_MONTHS = 3
 
 
-def monthly_values(stg_readings: DataFrame) -> DataFrame:
+def monthly_values(stg_readings: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """One row per reading and month it counts for, in a single scan. A monthly
     row is kept as it is; a quarterly row is labelled with the quarter's last
     month and becomes three rows (that month and the two before), each a third
@@ -41,7 +43,7 @@ def monthly_values(stg_readings: DataFrame) -> DataFrame:
         F.when(is_q, F.col("canonical_value") / F.lit(float(QUARTER_MONTHS)))
         .otherwise(F.col("canonical_value")).alias("month_value"),
         "canonical_uom", "source_system", "submitted_at", "is_restatement",
-        is_q.alias("is_estimated"))
+        is_q.alias("is_estimated"), *carry)
 
 
 def quarterly_allocation(stg_readings: DataFrame) -> DataFrame:
@@ -57,7 +59,7 @@ def _month_bounds(dim_site: DataFrame) -> DataFrame:
 
 
 def fact_monthly(values: DataFrame, dim_site: DataFrame, dim_date: DataFrame,
-                 dim_metric: DataFrame) -> DataFrame:
+                 dim_metric: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Site version valid in the month (month-truncated, inclusive bounds),
     month inside the reporting window, metric known."""
     sites = _month_bounds(dim_site)
@@ -70,11 +72,11 @@ def fact_monthly(values: DataFrame, dim_site: DataFrame, dim_date: DataFrame,
          .join(metrics, F.col("metric_code") == F.col("_c")))
     return j.select("site_key", "date_key", "metric_key", "reading_id",
                     F.col("month_value").alias("value"), F.col("canonical_uom").alias("uom"),
-                    "source_system", "submitted_at", "is_restatement", "is_estimated")
+                    "source_system", "submitted_at", "is_restatement", "is_estimated", *carry)
 
 
-def fact_incident(stg_incidents: DataFrame, dim_site: DataFrame,
-                  dim_date: DataFrame) -> DataFrame:
+def fact_incident(stg_incidents: DataFrame, dim_site: DataFrame, dim_date: DataFrame,
+                  carry: Sequence[str] = ()) -> DataFrame:
     """Site version valid on the incident's day (day granularity, inclusive),
     bucketed to its month's ``date_key``."""
     sites = dim_site.select(
@@ -85,4 +87,4 @@ def fact_incident(stg_incidents: DataFrame, dim_site: DataFrame,
     j = (i.join(sites, (i["site_id"] == sites["_sid"])
                 & (i["incident_date"] >= sites["_lo"]) & (i["incident_date"] <= sites["_hi"]))
          .join(dates, F.trunc("incident_date", "month") == F.col("_m")))
-    return j.select(*FACT_INCIDENT_COLUMNS)
+    return j.select(*FACT_INCIDENT_COLUMNS, *carry)

@@ -179,3 +179,21 @@ def kpi_yoy(rollup: DataFrame) -> DataFrame:
         "period", "grouping_level", "grouping_value", "total_tco2e", "total_tco2e_ly",
         F.when(t.isNotNull() & ly.isNotNull(), t - ly).alias("yoy_abs"),
         F.when(t.isNotNull() & ly.isNotNull() & (ly != 0), (t - ly) / ly).alias("yoy_pct"))
+
+
+def like_for_like(emissions: DataFrame) -> DataFrame:
+    """Year-over-year change over the sites that are complete in both months, summed after
+    the perimeter is cut: ``sites`` are those that count, and a month in which a level has
+    none has no row. A site that came, left or missed a month changes no figure."""
+    idx = F.substring("period", 1, 4).cast("int") * 12 + F.substring("period", 6, 2).cast("int")
+    w = Window.partitionBy("site_id").orderBy("_idx").rangeBetween(-12, -12)
+    both = (emissions.where("site_id IS NOT NULL AND total_tco2e IS NOT NULL").withColumn("_idx", idx)
+            .withColumn("_ly", F.max("total_tco2e").over(w)).where("_ly IS NOT NULL"))
+    g = both.groupingSets([["period"], ["period", "business_unit"]], "period", "business_unit")
+    agg = g.agg(F.countDistinct("site_id").alias("sites"), F.sum("total_tco2e").alias("total_tco2e"),
+                F.sum("_ly").alias("total_tco2e_ly"), F.grouping_id().alias("_gid"))
+    group, t, ly = F.col("_gid") == 1, F.col("total_tco2e"), F.col("total_tco2e_ly")
+    return agg.select(
+        "period", F.when(group, F.lit("GROUP")).otherwise(F.lit("BUSINESS_UNIT")).alias("grouping_level"),
+        F.when(group, F.lit("GROUP")).otherwise(F.col("business_unit")).alias("grouping_value"), "sites", "total_tco2e",
+        "total_tco2e_ly", (t - ly).alias("lfl_abs"), F.when(ly != 0, (t - ly) / ly).alias("lfl_pct"))

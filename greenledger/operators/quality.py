@@ -71,6 +71,11 @@ def _kcol(table: str, key: str, column: str, agg: str) -> Column:
     return F.col(f"_lk_{table}_{key}_{column}_{agg}")
 
 
+def lookup_column(table: str, key: str, column: str, agg: str) -> Column:
+    """An aggregate of a KeyedAgg on a flagged row."""
+    return _kcol(table, key, column, agg)
+
+
 class Check:
     """How a rule decides, per reading, what it checked and what failed."""
 
@@ -297,7 +302,7 @@ class Rule:
         return bool(self.check.group_keys)
 
 
-# Emission-relevant metric codes that may not be negative.
+# Emission-relevant metric codes that may not be negative; the period types below.
 NON_NEGATIVE_CODES = ("SCOPE1_GHG", "SCOPE2_GHG", "ENERGY_CONS", "WATER_WD",
                       "WASTE_TOTAL", "HOURS_WORKED")
 
@@ -334,6 +339,9 @@ ANY_VERSION_RULE = Rule("DQ005", "reading period is within the site consolidatio
                         "QUARANTINE", WithinValidity(any_version=True),
                         "reading is outside the site consolidation period")
 
+# Lines of the readings file that are no rows of it; their rows reach no other rule.
+CORRUPT_RULE = Rule("DQ000", "reading line is well-formed", "ERROR", "QUARANTINE", ValidPeriod(), "line is malformed: ")
+
 _P = "_lk_"  # prefix of lookup columns in the enriched frame
 
 
@@ -341,6 +349,16 @@ def _w(rule: Rule, kind: str) -> str:
     return f"_w_{rule.rule_id}_{kind}"
 
 
+def failure_column(rule: Rule) -> str:
+    """The column of flagged rows that counts a rule's failures on the row."""
+    return _w(rule, "fail")
+
+
+def checked_column(rule: Rule) -> str:
+    """The column that counts what a rule looked at, of rules that do not look at each row once."""
+    return _w(rule, "chk")
+
+
 # ----------------------------------------------------------------- execution
 def flag_readings(readings: DataFrame, refs: Mapping[str, DataFrame],
                   rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
@@ -497,6 +515,24 @@ def dq_quarantine(flagged: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) ->
                     F.col("h.reason").alias("reason")))
 
 
+def corrupt_quarantine(corrupt: DataFrame) -> DataFrame:
+    """Malformed lines as quarantine rows: the whole line is the value."""
+    none = F.lit(None).cast("string")
+    return corrupt.select(F.lit(CORRUPT_RULE.rule_id).alias("rule_id"), *[none.alias(c) for c in DETAIL_COLUMNS[:-1]],
+                          F.col("line").alias("value"),
+                          F.concat(F.lit(CORRUPT_RULE.reason), F.lower("fault")).alias("reason"))
+
+
+def corrupt_report(corrupt: DataFrame, readings: DataFrame) -> DataFrame:
+    """The report row of malformed lines out of all lines."""
+    counts = (corrupt.select(F.lit(1).alias("bad")).unionByName(readings.select(F.lit(0).alias("bad")))
+              .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
+    r = CORRUPT_RULE
+    return counts.select(F.lit(r.rule_id).alias("rule_id"), F.lit(r.rule_name).alias("rule_name"), F.lit(r.severity).alias("severity"),
+                         F.col("n").alias("rows_checked"), F.col("bad").alias("rows_failed"),
+                         F.when(F.col("bad") > 0, F.lit(r.action)).otherwise("NONE").alias("action_taken"))
+
+
 def rule_failures(quarantine: DataFrame, rule_id: str) -> DataFrame:
     """Offending rows of one rule (its slice of the quarantine)."""
     return quarantine.where(F.col("rule_id") == F.lit(rule_id))

@@ -16,9 +16,13 @@ from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..operators import checks, conform, dims, facts, kpis, quality
+from ..operators import accounting, checks, conform, dims, facts, kpis, quality, versions
 from ..operators.dims import ReportingWindow
+from ..session import written
+from ..sources.raw import CORRUPT
 from ..sources.sinks import export_report
 
 Materialize = Callable[[str, DataFrame], DataFrame]
@@ -50,6 +54,7 @@ class ReportingBuild:
         self.spark = spark
         self.raw = dict(raw)
         self.params = params or ReportingParams()
+        self.store: TableStore | None = None
         self._materialize = materialize
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
@@ -65,14 +70,25 @@ class ReportingBuild:
         return self._keep("dq_flags", quality.flag_readings(
             self.raw["readings"], self.raw, self.params.rules))
 
+    @cached_property
+    def corrupt(self) -> DataFrame | None:
+        """Malformed lines of the readings file, where the raw tables come with them."""
+        lines = self.raw.get(CORRUPT)
+        return None if lines is None else lines.where(F.col("table_name") == "readings")
+
     @cached_property
     def dq_report(self) -> DataFrame:
-        return quality.dq_report(self.flagged, self.params.rules)
+        report = quality.dq_report(self.flagged, self.params.rules)
+        if self.corrupt is None:
+            return report
+        return quality.corrupt_report(self.corrupt, self.raw["readings"]).unionByName(report)
 
     @cached_property
     def dq_quarantine(self) -> DataFrame:
-        return self._keep("dq_quarantine",
-                          quality.dq_quarantine(self.flagged, self.params.rules))
+        rows = quality.dq_quarantine(self.flagged, self.params.rules)
+        if self.corrupt is not None:
+            rows = rows.unionByName(quality.corrupt_quarantine(self.corrupt))
+        return self._keep("dq_quarantine", rows)
 
     @cached_property
     def kept_readings(self) -> DataFrame:
@@ -181,6 +197,34 @@ class ReportingBuild:
     def kpi_yoy(self) -> DataFrame:
         return self._keep("kpi_yoy", kpis.kpi_yoy(self.yoy_rollup))
 
+    # ---------------------------------------------------------- accounting
+    @cached_property
+    def row_ledger(self) -> DataFrame:
+        """The end of every raw reading and incident (``accounting``)."""
+        def numbered(name: str) -> DataFrame:
+            return written(self.raw[name].withColumn(accounting.ROW, F.monotonically_increasing_id()), f"numbered-{name}")
+
+        flagged = written(quality.flag_readings(numbered("readings"), self.raw, self.params.rules), "numbered-flags")
+        readings = accounting.reading_ends(flagged, self.raw["readings"].columns, self.params.rules, self.stg_metrics,
+                                           self.stg_uom, self.dim_site, self.dim_date, self.dim_metric)
+        return readings.unionByName(accounting.incident_ends(numbered("incidents"), self.dim_site, self.dim_date))
+
+    @cached_property
+    def row_accounting(self) -> DataFrame:
+        return accounting.row_accounting(self.row_ledger)
+
+    @cached_property
+    def kpi_like_for_like(self) -> DataFrame:
+        return kpis.like_for_like(self.kpi_emissions)
+
+    @cached_property
+    def version_conflicts(self) -> DataFrame:
+        """Overlaps and holes of site versions by day, and overlaps by month, in which the
+        monthly fact would take a reading twice."""
+        by_month = versions.version_conflicts(self.stg_sites, "site_id", month=True).where(F.col("kind") == versions.OVERLAP)
+        return (versions.version_conflicts(self.stg_sites, "site_id").withColumn("grain", F.lit("DAY"))
+                .unionByName(by_month.withColumn("grain", F.lit("MONTH"))).withColumnRenamed("key", "site_id"))
+
     # ------------------------------------------------------------- outputs
     def marts(self) -> dict[str, DataFrame]:
         """The marts under their contract names (``checks.REQUIRED_MARTS``)."""
@@ -217,9 +261,17 @@ class ReportingBuild:
             "check_ranges": checks.check_ranges({**marts, **self.kpi_tables()}, w.start,
                                                 w.last_month.strftime("%Y-%m")),
             "check_dq_report": checks.check_dq_report(self.dq_report),
+            "check_versions": self.version_conflicts,
         }
 
 
+# Tables that are cut into parts by month, and the column that names it. The column
+# stays in the files; the folders are named by a copy of it.
+PARTED = {"fact_eqs_monthly": "date_key", "fact_incident": "date_key", "kpi_emissions": "period",
+          "kpi_energy_intensity": "period", "kpi_trir": "period", "kpi_yoy": "period"}
+PART = "_part"
+
+
 class TableStore:
     """Materialise layers as Parquet tables under one (shared) folder."""
 
@@ -227,20 +279,28 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.written: dict[str, str] = {}
+        self.schemas: dict[str, StructType] = {}
 
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        self.written[name] = path
-        return self.spark.read.parquet(path)
+        if name in PARTED:
+            # a month's rows meet in few tasks, and a large month in as many as it takes
+            rows = df.withColumn(PART, F.col(PARTED[name]).cast("string")).hint("rebalance", PART)
+            rows.write.mode("overwrite").partitionBy(PART).parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        self.written[name], self.schemas[name] = path, df.schema
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def present(self, names: Sequence[str]) -> dict[str, DataFrame]:
-        """Those of the named tables that can be read from the folder."""
+        """Those of the named tables that this store has written and that can be read."""
         found = {}
         for name in names:
             try:
-                found[name] = self.spark.read.parquet(f"{self.root}/{name}")
-            except AnalysisException:  # no such folder, or nothing in it
+                if name in self.written:
+                    schema = self.schemas[name]
+                    found[name] = self.spark.read.schema(schema).parquet(self.written[name]).select(*schema.names)
+            except AnalysisException:  # no such folder
                 continue
         return found
 
@@ -263,12 +323,19 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
     """Build every layer, write marts, KPIs and contract checks as Parquet and the
     five reports as CSV under ``out_dir``; return the build (layers read back).
 
-    A required table that is missing from the folder, a duplicated key or an
-    orphaned fact row is an error; the other checks are written for the reader.
-    With ``gate`` a failing rule with the BLOCK action stops the KPI reports
-    after the quality report has been written."""
+    The quality report comes first and is written whatever follows. With ``gate`` a
+    failing rule with the BLOCK action then ends the build, before a mart or KPI is
+    made. A required table that this run has not written, a duplicated key or an
+    orphaned fact row is an error before any KPI report is written; the other checks are
+    written for the reader. ``publish.publish_build`` makes a build visible as a whole."""
     store = TableStore(spark, f"{out_dir.rstrip('/')}/tables")
+    reports = f"{out_dir.rstrip('/')}/reports"
     build = ReportingBuild(spark, raw, params, materialize=store)
+    build.store = store
+    report = store("dq_report", build.dq_report)
+    export_report(report, checks.DQ_REPORT_COLUMNS, f"{reports}/dq_report", ["rule_id"])
+    if gate and quality.has_blocking_failures(report):
+        raise PublicationBlocked("a blocking rule failed; see the quality report")
     build.validate_columns()
     build.marts()
     _ = build.dq_quarantine  # written for the reader; nothing below needs it
@@ -279,11 +346,6 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
     bad += [r.asDict() for r in found["check_orphans"].where("orphan_rows > 0").collect()]
     if bad:
         raise checks.ContractError(f"keys do not hold: {bad}")
-    reports = f"{out_dir.rstrip('/')}/reports"
-    report = store("dq_report", build.dq_report)
-    export_report(report, checks.DQ_REPORT_COLUMNS, f"{reports}/dq_report", ["rule_id"])
-    if gate and quality.has_blocking_failures(report):
-        raise PublicationBlocked("a blocking rule failed; see the quality report")
     for name, cols in checks.KPI_CONTRACT.items():
         export_report(getattr(build, name), cols, f"{reports}/{name}", REPORT_ORDER[name])
     return build

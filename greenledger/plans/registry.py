@@ -11,17 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import checks, dims, facts, kpis, quality
+from ..operators import changes, checks, dims, facts, kpis, quality, rulebooks, versions
 from ..operators.dims import ReportingWindow
 from ..session import scratch_path
 from ..sources import adapter
-from ..sources.raw import RAW_COLUMNS, ingest_raw, source_counts
+from ..sources.raw import RAW_COLUMNS, ingest_raw, ingest_with_corrupt, source_counts
+from .incremental import publish_increment
 from .pipeline import ReportingBuild, ReportingParams
+from .publish import Publication, publish_build
 
 ADAPTER_PARAMS = ReportingParams(window=ReportingWindow(*adapter.ADAPTER_WINDOW))
 
@@ -54,10 +57,8 @@ def _layer(name: str) -> Query:
 
 
 def _rule(rule_id: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        b = build(spark, sf_dir)
-        return quality.rule_failures(b.dq_quarantine, rule_id)
-    return run
+    """Rows that one rule of the book quarantines; only what it asks about is joined."""
+    return _one_rule(next(r for r in quality.DEFAULT_RULES if r.rule_id == rule_id))
 
 
 def q_ingest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +73,21 @@ def q_ingest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_raw(spark, path, RAW_COLUMNS["readings"])
 
 
+def q_corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed lines of a readings file, found again with what is wrong with them."""
+    path = scratch_path(spark, "ingest-lines")
+    columns = RAW_COLUMNS["readings"]
+    line = adapter.damaged_lines(adapter.raw_tables(spark, sf_dir)["readings"])
+    # one column, named by the header and never quoted, so that lines stand as they are
+    line.select(F.col("line").alias(",".join(columns))).write.option("header", True).option("sep", "\u0001").option(
+        "quote", "\u0000").csv(path)
+    rows, bad = ingest_with_corrupt(spark, path, columns, "readings")
+    well = rows.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("readings").alias("table_name"), F.lit(None).cast("string").alias("fault"), F.lit(len(columns)).alias("fields"),
+        F.col("n").cast("string").alias("line"))
+    return bad.unionByName(well)
+
+
 def q_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_counts(adapter.raw_tables(spark, sf_dir))
 
@@ -92,7 +108,7 @@ def _with_rules(spark: SparkSession, sf_dir: str, rules: tuple) -> ReportingBuil
 
 
 def _one_rule(rule: quality.Rule) -> Query:
-    """Rows that one optional rule quarantines, the rule alone being the book."""
+    """Rows that one rule quarantines, the rule alone being the book."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _with_rules(spark, sf_dir, (rule,)).dq_quarantine
     return run
@@ -150,11 +166,92 @@ def q_check_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build(spark, sf_dir).data_checks()["check_dq_report"]
 
 
+def q_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the whole build and count what a reader of its manifest finds."""
+    root = scratch_path(spark, "publication")
+    made = publish_build(spark, adapter.raw_tables(spark, sf_dir), root, ADAPTER_PARAMS)
+    reader = Publication(spark, root)
+    manifest = reader.manifest()
+    found = [reader.read(manifest, name).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("table_name"), F.lit(made.version).alias("version"), "row_count",
+        F.lit(len(manifest.tables[name])).alias("parts")) for name in [*checks.REQUIRED_MARTS, *checks.KPI_CONTRACT]]
+    return reduce(DataFrame.unionByName, found)
+
+
+#: Keys and measures of the KPIs, as the ledger and the long form hold them.
+KPI_KEYS = {"kpi_emissions": ["period", "site_id"], "kpi_energy_intensity": ["period", "site_id"],
+            "kpi_trir": ["period", "site_id"], "kpi_yoy": ["period", "grouping_level", "grouping_value"]}
+KPI_MEASURES = {
+    "kpi_emissions": ["scope1_tco2e", "scope2_tco2e", "total_tco2e"],
+    "kpi_energy_intensity": ["energy_mwh", "hours_worked", "mwh_per_1000_hours"],
+    "kpi_trir": ["recordable_incidents_r12", "hours_worked_r12", "trir_r12"],
+    "kpi_yoy": ["total_tco2e", "total_tco2e_ly", "yoy_abs", "yoy_pct"]}
+
+
+def _entity(name: str) -> Column:
+    """Whom a KPI row is about, as one text."""
+    rest = KPI_KEYS[name][1:]
+    return F.concat_ws(":", *rest).alias("entity")
+
+
+def q_incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All KPI values after a round of corrections, published as an increment to the build
+    before them: whatever the way, they are those of a full build."""
+    raw = adapter.raw_tables(spark, sf_dir)
+    before, root = adapter.before_corrections(raw), scratch_path(spark, "increments")
+    publish_build(spark, before, root, ADAPTER_PARAMS)
+    manifest = publish_increment(spark, before, raw, root, ADAPTER_PARAMS)
+    reader = Publication(spark, root)
+    found = [changes.long_values(reader.read(manifest, name).select("period", _entity(name), *measures), ["period", "entity"], measures)
+             .select(F.lit(name).alias("kpi"), "period", "entity", "measure", "value") for name, measures in KPI_MEASURES.items()]
+    return stable(reduce(DataFrame.unionByName, found))
+
+
+def q_restatement_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the KPIs published today restate of those published at the end of June 2000."""
+    raw = adapter.raw_tables(spark, sf_dir)
+    then, now = (ReportingBuild(spark, r, ADAPTER_PARAMS) for r in (adapter.as_known(raw), raw))
+    found = [changes.restatement_ledger(stable(getattr(then, name)), stable(getattr(now, name)), keys, KPI_MEASURES[name])
+             .select(F.lit(name).alias("kpi"), "period", _entity(name), "measure", "kind", "old_value", "new_value")
+             for name, keys in KPI_KEYS.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def q_dq_report_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rulebooks.report_of_sources(adapter.raw_tables(spark, sf_dir))
+
+
+def q_dq_quarantine_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rulebooks.quarantine_of_sources(adapter.raw_tables(spark, sf_dir))
+
+
+def _contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as versions of what holds for a customer: some end, some are open."""
+    return adapter.adapt_contracts(adapter.read_table(spark, sf_dir, "orders"))
+
+
+def q_version_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.version_conflicts(_contracts(spark, sf_dir), "customer")
+
+
+def q_covered_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.covered_spans(_contracts(spark, sf_dir), "customer")
+
+
+def q_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order that held for a customer when each event of that customer came in."""
+    asked = adapter.read_table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("customer"), "ts")
+    known = adapter.read_table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer"), F.col("o_orderdate").alias("since"), F.col("o_orderkey").alias("order"))
+    return versions.as_of(asked, known, "customer", "ts", "since", "order")
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources
         "ingest_raw": q_ingest_raw,
         "source_counts": q_source_counts,
+        "corrupt_records": q_corrupt_records,
         # data quality
         "dq_report": _layer("dq_report"),
         "dq_numeric": _rule("DQ001"),
@@ -204,4 +301,18 @@ def queries() -> dict[str, Query]:
         "check_orphans": q_check_orphans,
         "check_ranges": q_check_ranges,
         "check_dq_report": q_check_dq_report,
+        # publication, increments and their audit
+        "publication": q_publication,
+        "incremental_build": q_incremental_build,
+        "restatement_ledger": q_restatement_ledger,
+        "row_ledger": _layer("row_ledger"),
+        "row_accounting": _layer("row_accounting"),
+        # rules of other sources, versions, comparable perimeters
+        "dq_report_sources": q_dq_report_sources,
+        "dq_quarantine_sources": q_dq_quarantine_sources,
+        "check_versions": _layer("version_conflicts"),
+        "version_conflicts": q_version_conflicts,
+        "covered_spans": q_covered_spans,
+        "as_of": q_as_of,
+        "kpi_like_for_like": _layer("kpi_like_for_like"),
     }

@@ -215,3 +215,56 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "readings": adapt_readings(t["lineitem"], t["supplier"]),
         "incidents": adapt_incidents(t["orders"]),
     }
+
+
+# The day that the snapshot as_known() stands for.
+KNOWN_UNTIL = "2000-06-30"
+
+
+def as_known(raw: dict[str, DataFrame], until: str = KNOWN_UNTIL) -> dict[str, DataFrame]:
+    """The raw tables as they stood at the end of a day: without later submissions, and with
+    sites open whose end was still to come."""
+    ended = F.col("valid_to") > until
+    return raw | {
+        "readings": raw["readings"].where(F.substring("submitted_at", 1, 10) <= until),
+        "sites": raw["sites"].withColumn("valid_to", F.when(ended, F.lit("")).otherwise(F.col("valid_to")))}
+
+
+def before_corrections(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The raw tables before a round of corrections to a few months: of May 2000 some
+    readings were still missing and some had another value, of August 1999 some were
+    there that have been withdrawn since, and of February 2000 some incidents were
+    missing or had more lost days."""
+    r, i = raw["readings"], raw["incidents"]
+    last = F.substring("reading_id", -1, 1)
+    may = F.col("period") == "2000-05"
+    august = r.where((F.col("period") == "1999-08") & last.isin("2", "5"))
+    february = F.substring("incident_date", 1, 7) == "2000-02"
+    digit = F.substring("incident_id", -1, 1)
+    return raw | {
+        "readings": r.where(~(may & (last == "3")))
+        .withColumn("value", F.when(may & (last == "7"), F.lit("1")).otherwise(F.col("value")))
+        .unionByName(august.withColumns({"reading_id": F.concat("reading_id", F.lit("9")), "submitted_at": F.lit("2001-01-05 08:00:00")})),
+        "incidents": i.where(~(february & (digit == "5")))
+        .withColumn("lost_days", F.when(february & (digit == "4"), F.concat("lost_days", F.lit("0"))).otherwise(F.col("lost_days")))}
+
+
+def damaged_lines(readings: DataFrame) -> DataFrame:
+    """(line): a readings file's lines, some of them cut short, with a field too many, or
+    with a quote that is opened and not closed, in the middle or in the last field."""
+    n = F.expr("try_cast(reading_id AS bigint)")
+    head = F.concat_ws(",", *readings.columns[:-1])
+    last = F.col(readings.columns[-1])
+    return readings.select(
+        F.when(n % 97 == 0, head).when(n % 101 == 0, F.concat_ws(",", head, last, F.lit("more")))
+        .when(n % 103 == 0, F.concat_ws(",", F.concat(F.lit('"'), head), last))
+        .when(n % 107 == 0, F.concat_ws(",", head, F.concat(F.lit('"'), last)))
+        .otherwise(F.concat_ws(",", head, last)).alias("line"))
+
+
+def adapt_contracts(orders: DataFrame) -> DataFrame:
+    """(customer, valid_from, valid_to): each order holds for its customer for up to 700 days;
+    one in 40 is open and one in 90 ends before it begins."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    until = F.date_add(day, F.when(k % 90 == 7, F.lit(-3)).otherwise(k % 701).cast("int"))
+    return orders.select(F.col("o_custkey").alias("customer"), day.alias("valid_from"), F.when(k % 40 != 5, until).alias("valid_to"))
