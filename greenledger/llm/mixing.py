@@ -33,9 +33,6 @@ FINE = 1000
 #: Sources that may be mixed; their counts and shares are held by the driver.
 MOST_SOURCES = 100_000
 
-#: Empty slots that are walked beyond the number of filled ones.
-EMPTY = 1 << 16
-
 
 def whole_shares(weights: Mapping[str, float], cycle: int) -> dict[str, int]:
     """Slots of each source in a cycle: by largest remainder, one at least."""
@@ -75,28 +72,24 @@ def run_shares(weights: Mapping[str, float], blocks: Mapping[str, int], cycle: i
 
 
 def walk(shares: Mapping[str, int], blocks: Mapping[str, int]) -> Iterator[tuple[int, str, int]]:
-    """(slot, source, block) of all blocks: earliest deadline first. A source that
-    has run out keeps its slots, as far as EMPTY allows; without them the others
-    still meet their deadlines."""
+    """(slot, source, block) of all blocks: earliest deadline first. A source that has run
+    out leaves; the others keep their release times and deadlines, which they meet all
+    the more. Slots in which no block is released yet are passed over at once, so the walk
+    takes a step for each block, whatever the weights are."""
     cycle = sum(shares.values())
-    waiting = [(0, s, 0) for s in sorted(shares) if shares[s]]  # release, source, block
+    waiting = [(0, s, 0) for s in sorted(shares) if shares[s] and blocks[s]]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []  # deadline, source, block
-    left, empty, slot = sum(blocks[s] for s in shares if shares[s]), -EMPTY, 0
-    while left:
+    slot = 0
+    while waiting or ready:
         if not ready:
             slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, s, i = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(i + 1) * cycle // shares[s]), s, i))
         _, s, i = heapq.heappop(ready)
-        if i < blocks[s]:
-            yield slot, s, i
-            left -= 1
-            empty -= 1
-        else:
-            empty += 1
-        if i + 1 < blocks[s] or empty < 0:
+        yield slot, s, i
+        if i + 1 < blocks[s]:
             heapq.heappush(waiting, ((i + 1) * cycle // shares[s], s, i + 1))
         slot += 1
 
@@ -146,8 +139,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
     number of rows to the ``power``. ``share`` is the target in whole slots of the
     run's cycle, which is as long as rounding to less than 1 / FINE of a block over
     the run takes, and ``cycle`` slots at least. Every row has a place: a source
-    that has run out leaves its slots empty and the others go on in their
-    proportions. A null source is a source of its own; repeated rows and ids are
+    that has run out leaves the mix and the others go on at their targets, so that a slot
+    in which none of them is due stays empty. A null source is a source of its own; repeated rows and ids are
     rows of their own; other columns are ignored; an empty table gives an empty
     result."""
     spark = docs.sparkSession

@@ -9,7 +9,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 def documents(spark):
     """A frame of documents from (id, text) or (id, text, source), with columns whose
     names clash with those that the operators use inside."""
-    clash = ["digest", "norm", "node", "a", "b", "part", "row", "score", "kept", "n", "name", "place", "words", "_salt"]
+    clash = ["digest", "norm", "node", "a", "b", "part", "row", "score", "kept", "n", "name", "place", "words", "_salt", "_id", "_text", "_toxicity", "_place", "slot", "tree"]
 
     def make(rows, extra=True):
         full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]

@@ -198,27 +198,43 @@ def test_weights_must_make_sense():
         mixing.whole_shares({"a": 0}, 10)
 
 
-def mix_brute(rows, shares, order, block):
-    """Places by walking the schedule slot by slot until every document has one."""
+def mix_brute(rows, shares, block):
+    """Places by asking in every slot which source's next block is due and due first."""
     left = {s: [i for i, t in rows if t == s] for s in shares}
-    places, slot = {}, 0
-    taken = dict.fromkeys(shares, 0)
-    while any(taken[s] < len(left[s]) for s in shares):
-        s = order[slot % len(order)]
-        for k in range(taken[s], min(taken[s] + block, len(left[s]))):
-            places.setdefault((s, k), slot * block + k - taken[s])
-        taken[s] += block
+    cycle, places, slot = sum(shares.values()), {}, 0
+    taken = dict.fromkeys(shares, 0)  # blocks
+    while any(taken[s] * block < len(left[s]) for s in shares):
+        due = [(-(-(taken[s] + 1) * cycle // shares[s]), s) for s in shares
+               if taken[s] * block < len(left[s]) and taken[s] * cycle // shares[s] <= slot]
+        if due:
+            s = min(due)[1]
+            for k in range(taken[s] * block, min((taken[s] + 1) * block, len(left[s]))):
+                places[s, k] = slot * block + k - taken[s] * block
+            taken[s] += 1
         slot += 1
     return places
 
 
+def test_a_source_that_runs_out_moves_no_other_off_its_target():
+    shares = {"a": 500, "b": 300, "c": 1, "d": 199}
+    blocks = {"a": 3, "b": 40, "c": 5, "d": 100}
+    slots = {}
+    for slot, s, i in mixing.walk(shares, blocks):
+        slots.setdefault(s, []).append(slot)
+        assert i * 1000 // shares[s] <= slot < -(-(i + 1) * 1000 // shares[s])  # from its release to its deadline
+    assert {s: len(x) for s, x in slots.items()} == blocks
+    assert len({x for xs in slots.values() for x in xs}) == sum(blocks.values())
+    assert max(slots["c"]) >= 4000  # far more empty slots than blocks, and no allowance for them
+    assert next(mixing.walk({"a": 10**12, "b": 1}, {"a": 0, "b": 2})) == (0, "b", 0)
+
+
 def test_mix_sources(spark, documents):
     rows = [(i, "t", "big" if i % 3 else "mid") for i in range(300)] + [(400, "t", None), (401, "t", ""), (400, "t", None)]
     rows += [(None, "t", "big"), (1, "t", "big")]
     got = mixing.mix_sources(documents(rows), block=4, cycle=10).collect()
     assert sorted(r.doc_id or -1 for r in got) == sorted(i or -1 for i, _, _ in rows)
     shares = {("=" + r.source if r.source is not None else ""): r.share for r in got}
-    want = mix_brute([(i, "=" + s if s is not None else "") for i, _, s in rows], shares, mixing.schedule(shares), 4)
+    want = mix_brute([(i, "=" + s if s is not None else "") for i, _, s in rows], shares, 4)
     by = {}
     for r in got:
         by.setdefault("=" + r.source if r.source is not None else "", []).append(r.place)
