@@ -90,7 +90,7 @@ def monthly_recordables(fact_incident: DataFrame) -> DataFrame:
         F.count_if(F.col("is_recordable") == F.lit(True)).alias("recordable_incidents"))
 
 
-def monthly_hours(fact: DataFrame, dim_metric: DataFrame) -> DataFrame:
+def hours_by_month(fact: DataFrame, dim_metric: DataFrame) -> DataFrame:
     """Hours-worked fact rows, not aggregated (one per fact row)."""
     m = dim_metric.where(F.col("metric_code") == F.lit("HOURS_WORKED")).select("metric_key")
     return fact.join(m, "metric_key").select("site_key", "date_key",

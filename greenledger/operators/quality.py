@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from ..functions import blank_to_null, duck_date, duck_double, duck_timestamp, \
     month_start_of_period
 
+# Severities and actions of rules, columns of quarantine and report.
 Severity = Literal["ERROR", "WARN", "INFO"]
 Action = Literal["BLOCK", "QUARANTINE", "COERCE", "FLAG"]
 

@@ -205,7 +205,7 @@ def incremental_update(old: Mapping[str, DataFrame], new: Mapping[str, DataFrame
     read = range(rolling[0] - params.rolling_months + 1, rolling[-1] + 1) if rolling else ()
     trir = kpis.kpi_trir(
         kpis.rolling_12m(of(spine, read), kpis.monthly_recordables(of(incident, read, "date_key")),
-                         kpis.monthly_hours(of(fact, read, "date_key"), metric), params.rolling_months),
+                         kpis.hours_by_month(of(fact, read, "date_key"), metric), params.rolling_months),
         params.trir_basis, params.rolling_months)
     out["kpi_trir"] = Update([_name(m) for m in rolling], written(of(trir, rolling), "kpi_trir"))
     years = sorted({m + k for m in months for k in (0, YEAR)} & window)

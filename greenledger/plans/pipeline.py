@@ -112,12 +112,12 @@ class ReportingBuild:
         return conform.typed_readings(self.kept_readings)
 
     @cached_property
-    def converted_readings(self) -> DataFrame:
+    def in_canonical_units(self) -> DataFrame:
         return conform.canonical_units(self.typed_readings, self.stg_metrics, self.stg_uom)
 
     @cached_property
     def stg_readings(self) -> DataFrame:
-        return self._keep("stg_readings", conform.latest_submission(self.converted_readings))
+        return self._keep("stg_readings", conform.latest_submission(self.in_canonical_units))
 
     @cached_property
     def typed_incidents(self) -> DataFrame:
@@ -176,13 +176,13 @@ class ReportingBuild:
         return kpis.monthly_recordables(self.fact_incident)
 
     @cached_property
-    def monthly_hours(self) -> DataFrame:
-        return kpis.monthly_hours(self.fact_monthly, self.dim_metric)
+    def hours_by_month(self) -> DataFrame:
+        return kpis.hours_by_month(self.fact_monthly, self.dim_metric)
 
     @cached_property
     def rolling_12m(self) -> DataFrame:
         return kpis.rolling_12m(self.active_spine, self.monthly_recordables,
-                                self.monthly_hours, self.params.rolling_months)
+                                self.hours_by_month, self.params.rolling_months)
 
     @cached_property
     def kpi_trir(self) -> DataFrame:

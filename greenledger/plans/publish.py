@@ -15,9 +15,11 @@ import json
 import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .pipeline import PARTED, ReportingBuild, ReportingParams, TableStore, run_pipeline
@@ -110,7 +112,8 @@ class Publication:
         version = (after or 0) + 1
         names = sorted(tables)
         made = Manifest(version, build, {n: dict(tables[n]) for n in names}, {n: schemas[n].json() for n in names}, {})
-        made = replace(made, rows={n: self.read(made, n).count() for n in names})
+        counts = [self.read(made, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in names]
+        made = replace(made, rows={r["name"]: r["n"] for r in reduce(DataFrame.unionByName, counts).collect()})
         files = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(self.root).toUri(), self._conf)
         fs = self._fs()
         draft = self._path(f"{self.root}/{MANIFESTS}/.draft-{uuid.uuid4().hex}")

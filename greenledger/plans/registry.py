@@ -19,9 +19,10 @@ from pyspark.sql import types as T
 
 from ..operators import changes, checks, dims, facts, kpis, quality, rulebooks, versions
 from ..operators.dims import ReportingWindow
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources import adapter
 from ..sources.raw import RAW_COLUMNS, ingest_raw, ingest_with_corrupt, source_counts
+from ..streaming import submissions
 from .incremental import publish_increment
 from .pipeline import ReportingBuild, ReportingParams
 from .publish import Publication, publish_build
@@ -246,6 +247,19 @@ def q_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.as_of(asked, known, "customer", "ts", "since", "order")
 
 
+def q_event_time_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest submission per user and type over a stream of batches, and what came too late."""
+    rows = written(adapter.event_batches(adapter.read_table(spark, sf_dir, "events")), "event-batches")
+    landing, out, key = scratch_path(spark, "events-landing"), scratch_path(spark, "events-out"), ["user_id", "event_type"]
+    for k in range(adapter.EVENT_BATCHES):  # a batch after the other, as they come in
+        rows.where(F.col("batch") == k).drop("batch").repartition(adapter.BATCH_FILES).write.parquet(f"{landing}/in{k}")
+    stream = (spark.readStream.schema(rows.drop("batch").schema).option("maxFilesPerTrigger", adapter.BATCH_FILES)
+              .parquet(f"{landing}/in*"))
+    submissions.start(stream, key, adapter.EVENT_DELAY, out, scratch_path(spark, "events-checkpoint")).awaitTermination()
+    found = submissions.answer(spark.read.parquet(out), key)
+    return found.withColumn("submitted_at", F.unix_micros("submitted_at"))
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources
@@ -273,7 +287,7 @@ def queries() -> dict[str, Query]:
         "conform_metrics": _layer("stg_metrics"),
         "conform_uom": _layer("stg_uom"),
         "typed_readings": _layer("typed_readings"),
-        "canonical_units": _layer("converted_readings"),
+        "canonical_units": _layer("in_canonical_units"),
         "latest_submission": _layer("stg_readings"),
         "dedupe_priority": _layer("stg_incidents"),
         # dimensions
@@ -315,4 +329,5 @@ def queries() -> dict[str, Query]:
         "covered_spans": q_covered_spans,
         "as_of": q_as_of,
         "kpi_like_for_like": _layer("kpi_like_for_like"),
+        "event_time_latest": q_event_time_latest,
     }

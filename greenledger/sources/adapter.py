@@ -268,3 +268,23 @@ def adapt_contracts(orders: DataFrame) -> DataFrame:
     k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     until = F.date_add(day, F.when(k % 90 == 7, F.lit(-3)).otherwise(k % 701).cast("int"))
     return orders.select(F.col("o_custkey").alias("customer"), day.alias("valid_from"), F.when(k % 40 != 5, until).alias("valid_to"))
+
+
+# Batches that event_batches() deals submissions to, the files of one, and
+# the delay that is allowed.
+EVENT_BATCHES, BATCH_FILES, EVENT_DELAY = 6, 2, "36 hours"
+
+
+def event_batches(events: DataFrame) -> DataFrame:
+    """Events as submissions (user_id, event_type, submitted_at, submission_id, value) that come
+    in numbered batches, a batch for every sixth of the span of days; one in 17 comes two
+    batches later than its time."""
+    day = F.unix_date(F.col("ts").cast("date"))
+    ends = events.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    timed = events.where("user_id IS NOT NULL AND event_type IS NOT NULL AND ts IS NOT NULL").select(
+        "user_id", "event_type", F.col("ts").cast("timestamp").alias("submitted_at"), F.col("event_id").alias("submission_id"),
+        (F.col("event_id") % 100).cast("string").alias("value"), day.alias("day"), F.lit(1).alias("one"))
+    batch = F.floor((F.col("day") - F.col("first")) * EVENT_BATCHES / (F.col("last") - F.col("first") + 1)).cast("int")
+    late = F.when(F.col("submission_id") % 17 == 0, F.lit(2)).otherwise(F.lit(0))
+    rows = timed.join(ends.withColumn("one", F.lit(1)), "one")
+    return rows.withColumn("batch", F.least(batch + late, F.lit(EVENT_BATCHES - 1))).drop("day", "first", "last", "one")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 #: Columns beside the key: what a submission has, and what the answer adds.
 SUBMISSION = ["submitted_at", "submission_id", "value"]
@@ -31,36 +31,33 @@ def latest_submissions(stream: DataFrame, key: Sequence[str], delay: str) -> Dat
     ``stream`` has the key columns, not null, ``submitted_at`` (timestamp), ``submission_id``
     (long) and ``value`` (string). Of equal times the greater id wins. ``submission_count``
     counts the submissions of the key that were not late; it is null in late rows."""
-    fields = stream.schema
-    kept = [StructField("submitted_at", TimestampType()), StructField("submission_id", LongType()), StructField("value", StringType())]
-    schema = StructType([*(StructField(k, fields[k].dataType) for k in key), *kept,
-                         StructField("submission_count", LongType()), StructField("kind", StringType())])
-    state_schema = StructType([*kept, StructField("submission_count", LongType()), StructField("there", BooleanType())])
+    keyed = [StructField(k, stream.schema[k].dataType) for k in key]
+    best = [StructField("_us", LongType()), StructField("submission_id", LongType()), StructField("value", StringType()),
+            StructField("submission_count", LongType())]
+    schema = StructType([*keyed, *best, StructField("kind", StringType())])
+    names = [f.name for f in schema]
 
     def update(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        watermark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
-        held = state.get if state.exists else None
-        best = None if held is None else tuple(held[:3])
-        count, changed, late = 0 if held is None else held[3], False, []
+        watermark = state.getCurrentWatermarkMs()
+        held = state.get if state.exists else None  # time in microseconds, id, value, count
+        top, count, changed = held and tuple(held[:3]), held[3] if held else 0, False
+        keys = dict(zip(key, group, strict=True))
         for frame in frames:
-            old = frame["submitted_at"].dt.floor("ms") < watermark
+            old = frame["_us"] // 1000 < watermark
             if old.any():
-                late.append(frame.loc[old, SUBMISSION])
-            fresh = frame.loc[~old, SUBMISSION].sort_values(["submitted_at", "submission_id"])
+                yield frame.loc[old, ["_us", "submission_id", "value"]].assign(**keys, submission_count=None, kind=LATE)[names]
+            fresh = frame.loc[~old].sort_values(["_us", "submission_id"])
             if len(fresh):
-                count, changed = count + len(fresh), True
-                last = tuple(fresh.iloc[-1])
-                if best is None or (pd.Timestamp(best[0]), best[1]) < (last[0], last[1]):
-                    best = (last[0].to_pydatetime(), int(last[1]), last[2])
-        keys = dict(zip(key, group, strict=True))
+                changed, count, last = True, count + len(fresh), fresh.iloc[-1]
+                found = (int(last["_us"]), int(last["submission_id"]), last["value"])
+                top = found if top is None or found[:2] > top[:2] else top
         if changed:
-            state.update((*best, count, True))
-            yield pd.DataFrame([{**keys, **dict(zip(SUBMISSION, best, strict=True)), "submission_count": count, "kind": CURRENT}])
-        for rows in late:
-            yield rows.assign(**keys, submission_count=None, kind=LATE)[[f.name for f in schema]]
+            state.update((*top, count))
+            yield pd.DataFrame([(*group, *top, count, CURRENT)], columns=names)
 
-    timed = stream.select(*key, *SUBMISSION).withWatermark("submitted_at", delay)
-    return timed.groupBy(*key).applyInPandasWithState(update, schema, state_schema, "update", GroupStateTimeout.NoTimeout)
+    timed = stream.select(*key, *SUBMISSION, F.unix_micros("submitted_at").alias("_us")).withWatermark("submitted_at", delay)
+    rows = timed.groupBy(*key).applyInPandasWithState(update, schema, StructType(best), "update", GroupStateTimeout.NoTimeout)
+    return rows.select(*key, F.timestamp_micros("_us").alias("submitted_at"), "submission_id", "value", "submission_count", "kind")
 
 
 def start(stream: DataFrame, key: Sequence[str], delay: str, out: str, checkpoint: str) -> StreamingQuery:
