@@ -35,7 +35,7 @@ def run_build(spark, sf_dir: str, out: str, timed) -> None:
     timed("dq_quarantine", lambda: b.dq_quarantine)
     timed("stg_readings", lambda: b.stg_readings)
     timed("stg_incidents", lambda: b.stg_incidents)
-    timed("dims", lambda: (b.dim_site, b.dim_metric, b.dim_date))
+    timed("dims", b.dims)
     timed("fact_monthly", lambda: b.fact_monthly)
     timed("fact_incident", lambda: b.fact_incident)
     timed("active_spine", lambda: b.active_spine)

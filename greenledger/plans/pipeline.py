@@ -11,6 +11,7 @@ every consumer and survives executor loss.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -226,8 +227,15 @@ class ReportingBuild:
                 .unionByName(by_month.withColumn("grain", F.lit("MONTH"))).withColumnRenamed("key", "site_id"))
 
     # ------------------------------------------------------------- outputs
+    def dims(self) -> list[DataFrame]:
+        """The dimensions, which do not need one another: their small jobs run side by side."""
+        with ThreadPoolExecutor(3) as pool:
+            made = [pool.submit(getattr, self, name) for name in ("dim_site", "dim_metric", "dim_date")]
+        return [m.result() for m in made]
+
     def marts(self) -> dict[str, DataFrame]:
         """The marts under their contract names (``checks.REQUIRED_MARTS``)."""
+        self.dims()
         return {"dim_site": self.dim_site, "dim_metric": self.dim_metric,
                 "dim_date": self.dim_date, "fact_eqs_monthly": self.fact_monthly,
                 "fact_incident": self.fact_incident}
@@ -273,17 +281,19 @@ PART = "_part"
 
 
 class TableStore:
-    """Materialise layers as Parquet tables under one (shared) folder."""
+    """Materialise layers as Parquet tables under one (shared) folder; with ``parted``
+    the PARTED ones are cut by month."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, parted: bool = False):
         self.spark = spark
+        self.parted = parted
         self.root = root.rstrip("/")
         self.written: dict[str, str] = {}
         self.schemas: dict[str, StructType] = {}
 
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
-        if name in PARTED:
+        if self.parted and name in PARTED:
             # a month's rows meet in few tasks, and a large month in as many as it takes
             rows = df.withColumn(PART, F.col(PARTED[name]).cast("string")).hint("rebalance", PART)
             rows.write.mode("overwrite").partitionBy(PART).parquet(path)
@@ -319,7 +329,8 @@ class PublicationBlocked(RuntimeError):
 
 
 def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str,
-                 params: ReportingParams | None = None, gate: bool = False) -> ReportingBuild:
+                 params: ReportingParams | None = None, gate: bool = False,
+                 parted: bool = False) -> ReportingBuild:
     """Build every layer, write marts, KPIs and contract checks as Parquet and the
     five reports as CSV under ``out_dir``; return the build (layers read back).
 
@@ -327,8 +338,8 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
     failing rule with the BLOCK action then ends the build, before a mart or KPI is
     made. A required table that this run has not written, a duplicated key or an
     orphaned fact row is an error before any KPI report is written; the other checks are
-    written for the reader. ``publish.publish_build`` makes a build visible as a whole."""
-    store = TableStore(spark, f"{out_dir.rstrip('/')}/tables")
+    written for the reader. With ``parted`` facts and KPIs are cut by month. ``publish.publish_build`` makes a build visible as a whole."""
+    store = TableStore(spark, f"{out_dir.rstrip('/')}/tables", parted)
     reports = f"{out_dir.rstrip('/')}/reports"
     build = ReportingBuild(spark, raw, params, materialize=store)
     build.store = store

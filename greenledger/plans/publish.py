@@ -146,7 +146,7 @@ def publish_build(spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
     known = published.versions()
     folder = published.new_folder()
     try:
-        build: ReportingBuild = run_pipeline(spark, raw, folder, params, gate)
+        build: ReportingBuild = run_pipeline(spark, raw, folder, params, gate, parted=True)
     except Exception as error:
         error.add_note(f"nothing was published; the quality report is in {folder}/reports/dq_report")
         raise
