@@ -38,7 +38,7 @@ from .common import SALTS, arrow_rows, attach, prepare, salt, scratch, staged
 from .components import connected_components
 
 #: Rounds of comparisons with one leader, and words of 64 bits of a set's bitmap.
-ROUNDS, BITMAP = 3, 32
+ROUNDS, BITMAP = 3, 16
 
 #: Members that a task holds against a bucket, and rows of the bucket that pass it.
 BLOCK, STRETCH = 256, 8192
@@ -273,15 +273,17 @@ def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, text
         found = staged(confirmed(pairs, texts, near), "links")
         links = found if links is None else links.union(found)
         labels = connected_components(links)
-    asked, refuted = None, None
+    asked, refuted, askers = members, None, None
     while True:
-        asked = staged(_mixed(members if asked is None else asked, sketches, labels), "mixed")
-        pairs = staged(_closest(asked, refuted, near), "closest")
+        asked = staged(_mixed(asked, sketches, labels, askers), "mixed")
+        pairs = staged(_closest(asked, refuted, askers, near), "closest")
         if pairs.isEmpty():
             break
         found = staged(confirmed(pairs, texts, near), "links")
         wrong = staged(pairs.join(found, ["a", "b"], "left_anti"), "refuted")
         refuted = wrong if refuted is None else refuted.union(wrong)
+        # who was given a partner of each foreign component and linked with all of them has none left
+        askers = wrong.select(F.col("a").alias("node")).union(wrong.select("b")).distinct()
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = connected_components(links)
@@ -309,12 +311,15 @@ def _one_leader(offers: DataFrame, labels: DataFrame | None, k: int) -> DataFram
         F.col("x.leader").alias("a"), F.col("node").alias("b"))
 
 
-def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, askers: DataFrame | None) -> DataFrame:
     """(key, node, own, main, outside, size, n, bits) of the buckets in ``members`` (key,
     node) that hold several components: the member's own and the bucket's largest,
     its members and those outside the largest. Of buckets with the same members one
-    is left."""
-    rows = _owned(members.select("key", "node").distinct(), labels, "node", "key", "own")
+    is left, and with ``askers`` those that one of these is in."""
+    members = members.select("key", "node").distinct()
+    if askers is not None:
+        members = members.join(members.join(askers, "node", "left_semi").select("key").distinct(), "key", "left_semi")
+    rows = _owned(members, labels, "node", "key", "own")
     parts = rows.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"))
     keys = parts.groupBy("key").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count(F.lit(1)).alias("parts"),
                                     F.max("size").alias("most"), F.sum("size").alias("size"), F.sum("x").alias("x"))
@@ -324,9 +329,9 @@ def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None) ->
     return attach(rows, sketches.select("node", "n", "bits"), ["node"], "key")
 
 
-def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near) -> DataFrame:
-    """Pairs (a, b): for each member outside its bucket's main component and each foreign
-    component, the member of that component whose bitmap differs least, out of
+def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | None, near: Near) -> DataFrame:
+    """Pairs (a, b): for each member outside its bucket's main component, or each of the
+    ``askers`` wherever they are, and each foreign component, the member of that component whose bitmap differs least, out of
     those that may be similar enough and are not refuted."""
     blocks, stretches = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("size") / STRETCH).cast("int")
     block, stretch = salt(F.col("node"), blocks), salt(F.xxhash64("node", F.lit(1)), stretches)
@@ -336,7 +341,8 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near) -> DataFra
 
     facts = ["key", "node", "own", "n", "bits"]
     nothing = F.array().cast("array<long>").alias("refuted")
-    held = mixed.filter("own <> main").select(*facts, block.alias("block"), every(stretches).alias("stretch"))
+    held = mixed.filter("own <> main") if askers is None else mixed.join(askers, "node", "left_semi")
+    held = held.select(*facts, block.alias("block"), every(stretches).alias("stretch"))
     if refuted is None:
         held = held.select("*", nothing)
     else:
