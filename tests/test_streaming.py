@@ -46,3 +46,19 @@ def test_a_restarted_stream_gives_the_batch_answer(spark, tmp_path):
     got = go()
     assert got == brute(batches, 10)
     assert len([r for r in got if r[-1] == "LATE"]) == 2
+
+
+def test_state_is_held_by_bucket_not_by_key(spark, tmp_path):
+    """Three rounds over more keys than there are buckets: one state row, and one call of Python, a bucket."""
+    n = 2 * submissions.BUCKETS
+    batches = [[(f"k{i}", (7 * i + b) % 10, b * n + i, str(i % 3)) for i in range(b, n, b + 1)] for b in range(3)]
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    for k, rows in enumerate(batches):
+        land(spark, landing, k, rows)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{landing}/in*")
+    query = submissions.start(stream, ["site"], "100 hours", out, str(tmp_path / "mark"))
+    query.awaitTermination()
+    got = {r.site: (r.submission_id, r.submission_count) for r in submissions.answer(spark.read.parquet(out), ["site"]).collect()}
+    want = {s: (i, count) for s, _, i, _, count, _ in brute(batches, 100)}
+    assert got == want and len(got) == n
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= submissions.BUCKETS
