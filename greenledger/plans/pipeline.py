@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import accounting, checks, conform, dims, facts, kpis, quality, versions
 from ..operators.dims import ReportingWindow
-from ..session import written
+from ..session import bounded_tasks, written
 from ..sources.raw import CORRUPT
 from ..sources.sinks import export_report
 
@@ -57,6 +57,7 @@ class ReportingBuild:
         self.params = params or ReportingParams()
         self.store: TableStore | None = None
         self._materialize = materialize
+        bounded_tasks(spark, self.raw["readings"], self.raw["incidents"])
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.SHARED:
