@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from . import conform, facts, quality
 
 # Ends of a row.
@@ -60,10 +61,10 @@ def reading_ends(flagged: DataFrame, columns: Sequence[str], rules: Sequence[qua
     first_rule = F.coalesce(*[F.when(F.col(quality.failure_column(r)) > 0, F.lit(r.rule_id)) for r in rules
                               if r.reason is not None and not r.is_group_rule], F.lit(None).cast("string"))
     quarantined = _ledger(flagged.where(own), "readings", "reading_id", F.lit(QUARANTINED), first_rule)
-    failing = flagged.where(own).select("reading_id")
-    rest = flagged.where(~own).select(*columns, ROW)
-    kept = quality.quarantine_exclusion(rest, failing)
-    copies = rest.join(failing.where("reading_id IS NOT NULL").distinct(), "reading_id", "left_semi")
+    # one join, written, tells copies of quarantined ids from what is kept
+    failing = flagged.where(own).where("reading_id IS NOT NULL").select("reading_id").distinct().withColumn("_copy", F.lit(True))
+    rest = written(flagged.where(~own).select(*columns, ROW).join(failing, "reading_id", "left"), "numbered-rest")
+    copies, kept = rest.where("_copy").drop("_copy"), rest.where("_copy IS NULL").drop("_copy")
 
     typed = conform.typed_readings(kept, carry=[ROW])
     converted = conform.canonical_units(typed, stg_metrics, stg_uom, carry=[ROW])
@@ -83,8 +84,14 @@ def reading_ends(flagged: DataFrame, columns: Sequence[str], rules: Sequence[qua
     ends = (arrived.select(ROW, F.lit(FACT).alias("end")).unionByName(lost)
             .unionByName(winners.where(~F.coalesce(F.col("period_type").isin("M", "Q"), F.lit(False)))
                          .select(ROW, F.lit(UNSUPPORTED_PERIOD).alias("end"))))
-    known = converted.select(ROW).distinct().select(ROW, F.lit(True).alias("_converted"))
-    followed = kept.join(known, ROW, "left").join(ends, ROW, "left")
+    # converted are those whose metric and unit the catalogues pair, told without their rows
+    pairs = stg_metrics.select("metric_code", "canonical_uom").join(
+        stg_uom.select(F.col("from_uom").alias("source_uom"), F.col("to_uom").alias("canonical_uom")), "canonical_uom")
+    pairs = pairs.select("metric_code", "source_uom").distinct().withColumn("_converted", F.lit(True))
+    # the id as it was submitted goes along beside the typed one
+    asked = conform.typed_readings(kept.withColumn("_id", F.col("reading_id")), carry=[ROW, "_id"])
+    followed = (asked.select(ROW, F.col("_id").alias("reading_id"), "metric_code", "source_uom")
+                .join(pairs, ["metric_code", "source_uom"], "left").join(ends, ROW, "left"))
     end = F.when(F.col("_converted").isNull(), F.lit(NOT_CONVERTED)).otherwise(F.coalesce("end", F.lit(SUPERSEDED)))
     return (quarantined.unionByName(_ledger(copies, "readings", "reading_id", F.lit(QUARANTINED_COPY)))
             .unionByName(_ledger(followed, "readings", "reading_id", end)))

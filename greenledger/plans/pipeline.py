@@ -203,13 +203,14 @@ class ReportingBuild:
     @cached_property
     def row_ledger(self) -> DataFrame:
         """The end of every raw reading and incident (``accounting``)."""
-        def numbered(name: str) -> DataFrame:
-            return written(self.raw[name].withColumn(accounting.ROW, F.monotonically_increasing_id()), f"numbered-{name}")
+        def numbered(rows: DataFrame, name: str) -> DataFrame:
+            return written(rows.withColumn(accounting.ROW, F.monotonically_increasing_id()), f"numbered-{name}")
 
-        flagged = written(quality.flag_readings(numbered("readings"), self.raw, self.params.rules), "numbered-flags")
+        # numbered when they are written, so that nothing that is run again can change a number
+        flagged = numbered(quality.flag_readings(self.raw["readings"], self.raw, self.params.rules), "readings")
         readings = accounting.reading_ends(flagged, self.raw["readings"].columns, self.params.rules, self.stg_metrics,
                                            self.stg_uom, self.dim_site, self.dim_date, self.dim_metric)
-        return readings.unionByName(accounting.incident_ends(numbered("incidents"), self.dim_site, self.dim_date))
+        return readings.unionByName(accounting.incident_ends(numbered(self.raw["incidents"], "incidents"), self.dim_site, self.dim_date))
 
     @cached_property
     def row_accounting(self) -> DataFrame:
