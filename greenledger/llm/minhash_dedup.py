@@ -10,8 +10,8 @@ with one leader of its buckets, on the full shingle sets, and connect what is
 similar; a document is only ever compared with a leader of another component.
 Then buckets whose members are still in different components are searched: a
 block of members outside the bucket's main component is held against the whole
-bucket by bitmaps of the sets, and each of them is given one partner of each foreign
-component, the closest that is not refuted yet. These are confirmed on the full sets,
+bucket by bitmaps of the sets, and each of them is given a partner of each foreign
+component, the closest that is not refuted yet, and more at a time in later rounds. These are confirmed on the full sets,
 what is similar is connected, and the search goes on until nothing is left to
 ask. So every candidate pair is confirmed, refuted or already connected, and what
 leaves a task grows with the members and the components in a bucket, not with its
@@ -43,6 +43,10 @@ ROUNDS, BITMAP = 3, 16
 #: Members that a task holds against a bucket, and rows of the bucket that pass it.
 BLOCK, STRETCH = 256, 8192
 
+#: Partners of a foreign component that a member is given in a round: one at first, then
+#: ``MORE`` times as many, ``PARTNERS`` at most.
+MORE, PARTNERS = 4, 64
+
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -115,6 +119,12 @@ def parities(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def differing_bits(maps: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """In how many bits each of ``maps`` differs from ``bits``; counted unsigned, as of a
+    negative integer numpy counts the bits of its absolute value."""
+    return np.bitwise_count((maps ^ bits).view(np.uint64)).sum(axis=1, dtype=np.int64)
+
+
 def shingle_sets(docs: DataFrame, near: Near) -> DataFrame:
     """(doc_id, n_shingles, digest of the set, hashes, bitmap) of every row."""
 
@@ -273,15 +283,17 @@ def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, text
         found = staged(confirmed(pairs, texts, near), "links")
         links = found if links is None else links.union(found)
         labels = connected_components(links)
-    asked, refuted, askers = members, None, None
+    asked, refuted, askers, partners = members, None, None, 1
     while True:
         asked = staged(_mixed(asked, sketches, labels, askers), "mixed")
-        pairs = staged(_closest(asked, refuted, askers, near), "closest")
+        pairs = staged(_closest(asked, refuted, askers, near, partners), "closest")
         if pairs.isEmpty():
             break
         found = staged(confirmed(pairs, texts, near), "links")
         wrong = staged(pairs.join(found, ["a", "b"], "left_anti"), "refuted")
         refuted = wrong if refuted is None else refuted.union(wrong)
+        # who was refuted is given more at a time, so that rounds grow with the logarithm of what is refuted
+        partners = min(partners * MORE, PARTNERS)
         # who was given a partner of each foreign component and linked with all of them has none left
         askers = wrong.select(F.col("a").alias("node")).union(wrong.select("b")).distinct()
         if not found.isEmpty():
@@ -329,10 +341,10 @@ def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, as
     return attach(rows, sketches.select("node", "n", "bits"), ["node"], "key")
 
 
-def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | None, near: Near) -> DataFrame:
+def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | None, near: Near, partners: int = 1) -> DataFrame:
     """Pairs (a, b): for each member outside its bucket's main component, or each of the
-    ``askers`` wherever they are, and each foreign component, the member of that component whose bitmap differs least, out of
-    those that may be similar enough and are not refuted."""
+    ``askers`` wherever they are, and each foreign component, the members of that component whose bitmaps differ least,
+    ``partners`` at most, out of those that may be similar enough and are not refuted."""
     blocks, stretches = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("size") / STRETCH).cast("int")
     block, stretch = salt(F.col("node"), blocks), salt(F.xxhash64("node", F.lit(1)), stretches)
 
@@ -377,25 +389,34 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | No
                     at = np.flatnonzero(may)
                     if not len(at):
                         continue
-                    differ = np.bitwise_count(maps[at] ^ a_bits).sum(axis=1, dtype=np.int64)
+                    differ = differing_bits(maps[at], a_bits)
                     may = (100 + near.percent) * differ <= (100 - near.percent) * (sizes[at] + a_n)
                     if len(known):
                         may &= ~np.isin(theirs[at], known)
                     at, differ = at[may], differ[may]
                     order = np.lexsort((theirs[at], differ))
-                    others, first = np.unique(comps[at[order]], return_index=True)
-                    for other, k in zip(others.tolist(), order[first], strict=True):
-                        found = (int(differ[k]), int(theirs[at[k]]))
-                        if (a, other) not in best or found < best[a, other]:
-                            best[a, other] = found
+                    for k in order[_first_of_each(comps[at[order]], partners)]:
+                        best.setdefault((a, int(comps[at[k]])), set()).add((int(differ[k]), int(theirs[at[k]])))
+                for pair, found in best.items():
+                    if len(found) > partners:
+                        best[pair] = set(sorted(found)[:partners])
         yield _pairs_found(best)
 
     with arrow_rows(mixed.sparkSession, 2_000):
         found = staged(rows.mapInArrow(run, "a long, theirs long, differ long, b long"), "nearest")
-    found = found.groupBy("a", "theirs").agg(F.min(F.struct("differ", "b")).alias("x"))
+    found = found.groupBy("a", "theirs").agg(F.array_sort(F.collect_set(F.struct("differ", "b"))).alias("xs"))
+    found = found.select("a", F.explode(F.slice("xs", 1, partners)).alias("x"))
     return found.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
 
 
+def _first_of_each(values: np.ndarray, n: int) -> np.ndarray:
+    """Places of the first ``n`` of each value."""
+    by = np.argsort(values, kind="stable")
+    starts = np.flatnonzero(np.r_[True, values[by][1:] != values[by][:-1]])
+    rank = np.arange(len(by)) - np.repeat(starts, np.diff(np.r_[starts, len(by)]))
+    return by[rank < n]
+
+
 def _pairs_found(best: dict) -> pa.RecordBatch:
-    rows = [(a, theirs, differ, b) for (a, theirs), (differ, b) in best.items()]
+    rows = [(a, theirs, differ, b) for (a, theirs), found in best.items() for differ, b in found]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["a", "theirs", "differ", "b"])

@@ -114,6 +114,46 @@ def test_near_dedup_of_large_groups_and_chains(documents):
     assert len({c for _, c in want.values()}) < 15
 
 
+def test_rounds_grow_with_the_logarithm_of_the_refuted(documents, monkeypatch):
+    """One text is a little too far from each of 30 near copies: it is held against all of
+    them, in a few rounds and not one round each."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10 ** 9)}" for _ in range(1500)]
+
+    def changed(n):
+        text = list(base)
+        for at in rng.sample(range(0, 1500, 3), n):
+            text[at] = f"v{rng.randrange(10 ** 9)}"
+        return " ".join(text)
+
+    rows = [(i, changed(2)) for i in range(30)] + [(99, changed(90))]
+    names, stage = [], minhash_dedup.staged
+
+    def noted(df, name):
+        names.append(name)
+        return stage(df, name)
+
+    monkeypatch.setattr(minhash_dedup, "staged", noted)
+    got = minhash_dedup.near_dedup(documents(rows), minhash_dedup.Near(shingle=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_brute(rows, 2)
+    assert {r.component_id for r in got} == {0, 99}
+    assert 2 <= names.count("closest") <= 6
+
+
+def test_bitmaps_differ_in_no_more_bits_than_their_sets():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2 ** 63, 400, dtype=np.int64).astype(np.uint64)
+    for k in range(0, 40, 2):
+        a, b = np.unique(pool[:300]), np.unique(pool[k:300 + k])
+        maps = np.stack([minhash_dedup.parities(b)])
+        assert minhash_dedup.differing_bits(maps, minhash_dedup.parities(a))[0] <= len(np.setxor1d(a, b))
+
+
+def test_first_places_of_each_value():
+    got = minhash_dedup._first_of_each(np.array([5, 3, 5, 5, 3, 7]), 2)
+    assert sorted(got.tolist()) == [0, 1, 2, 4, 5]
+
+
 def test_near_dedup_edges(documents):
     rows = [(1, None), (2, ""), (3, " \n "), (None, "a b c"), (4, "a b c"), (4, "a b c"), (5, "A B c"), (6, "z " * 30000)]
     got = {(r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_dedup(documents(rows)).collect()}
