@@ -10,12 +10,14 @@ with one leader of its buckets, on the full shingle sets, and connect what is
 similar; a document is only ever compared with a leader of another component.
 Then buckets whose members are still in different components are searched: a
 block of members outside the bucket's main component is held against the whole
-bucket by bitmaps of the sets, and each of them is given a partner of each foreign
-component, the closest that is not refuted yet, and more at a time in later rounds. These are confirmed on the full sets,
-what is similar is connected, and the search goes on until nothing is left to
-ask. So every candidate pair is confirmed, refuted or already connected, and what
-leaves a task grows with the members and the components in a bucket, not with its
-pairs. The bitmaps lose nothing: two sets differ in at least as many elements as the
+bucket by bitmaps of the sets. What may be similar makes a graph of the bucket's
+components, of which a task gives a spanning forest, and in later rounds several
+forests without a common pair. Its pairs are confirmed on the full sets, what is
+similar is connected, and the search goes on among the components that a refuted pair
+was to connect, until nothing is left to ask. So every candidate pair is confirmed,
+refuted or connected, and what leaves a task grows with the components in a bucket,
+not with its pairs. Links connect components that are known already, so later rounds
+connect few. The bitmaps lose nothing: two sets differ in at least as many elements as the
 parity bits of their elements do.
 """
 
@@ -34,18 +36,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_vocab import Remembered
-from .common import SALTS, arrow_rows, attach, prepare, salt, scratch, staged
+from .common import SALTS, arrow_rows, attach, planned_once, prepare, salt, scratch, staged
 from .components import connected_components
 
 #: Rounds of comparisons with one leader, and words of 64 bits of a set's bitmap.
-ROUNDS, BITMAP = 3, 16
+ROUNDS, BITMAP = 2, 16
 
 #: Members that a task holds against a bucket, and rows of the bucket that pass it.
 BLOCK, STRETCH = 256, 8192
 
-#: Partners of a foreign component that a member is given in a round: one at first, then
-#: ``MORE`` times as many, ``PARTNERS`` at most.
-MORE, PARTNERS = 4, 64
+#: Forests that a task gives in a round: one at first, then ``MORE`` times as many,
+#: ``FORESTS`` at most.
+MORE, FORESTS = 8, 64
 
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -275,35 +277,52 @@ def near_dedup(docs: DataFrame, near: Near = Near(), *, id_col: str = "doc_id",
 def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, texts: DataFrame,
                 near: Near) -> DataFrame:
     """(node, component) of all nodes with links."""
-    links = labels = None
+    spark, labels = texts.sparkSession, None
     for k in range(ROUNDS):
-        pairs = staged(_one_leader(offers, labels, k), "leaders")
+        with planned_once(spark):
+            pairs = staged(_one_leader(offers, labels, k), "leaders")
         if pairs.isEmpty():
             break
-        found = staged(confirmed(pairs, texts, near), "links")
-        links = found if links is None else links.union(found)
-        labels = connected_components(links)
-    asked, refuted, askers, partners = members, None, None, 1
+        labels = _connected(labels, pairs, staged(confirmed(pairs, texts, near), "links"))
+    asked, refuted, open_, forests = members, None, None, 1
     while True:
-        asked = staged(_mixed(asked, sketches, labels, askers), "mixed")
-        pairs = staged(_closest(asked, refuted, askers, near, partners), "closest")
+        with planned_once(spark):
+            asked = staged(_mixed(asked, sketches, labels, open_), "mixed")
+            pairs = staged(_closest(asked, refuted, near, forests), "closest")
         if pairs.isEmpty():
             break
         found = staged(confirmed(pairs, texts, near), "links")
-        wrong = staged(pairs.join(found, ["a", "b"], "left_anti"), "refuted")
-        refuted = wrong if refuted is None else refuted.union(wrong)
-        # who was refuted is given more at a time, so that rounds grow with the logarithm of what is refuted
-        partners = min(partners * MORE, PARTNERS)
-        # who was given a partner of each foreign component and linked with all of them has none left
-        askers = wrong.select(F.col("a").alias("node")).union(wrong.select("b")).distinct()
+        with planned_once(spark):
+            wrong = staged(pairs.join(found, ["a", "b"], "left_anti").select("a", "b"), "refuted")
         if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = connected_components(links)
+            labels = _connected(labels, pairs, found)
+        if wrong.isEmpty():  # every forest stands: what may be similar is connected
+            break
+        refuted = wrong if refuted is None else refuted.union(wrong)
+        # more at a time, so that rounds grow with the logarithm of what is refuted
+        forests = min(forests * MORE, FORESTS)
+        # two members that are not connected yet each have a refuted pair in their component
+        ends = wrong.select(F.col("a").alias("node")).union(wrong.select("b")).distinct()
+        open_ = _owned(ends, labels, "node", "node", "own").select("own").distinct()
     if labels is None:
         labels = sketches.select("node", F.col("node").alias("component")).limit(0)
     return labels
 
 
+def _connected(labels: DataFrame | None, pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after those of ``pairs`` (a, b, one, two) that were
+    ``found`` connect their components ``one`` and ``two``. Each pair of components is one
+    link, however many pairs of members it has."""
+    links = pairs.join(found, ["a", "b"]).select(F.col("one").alias("a"), F.col("two").alias("b")).distinct()
+    merged = connected_components(links)
+    if labels is None:
+        return merged
+    known = attach(labels, merged.toDF("component", "into"), ["component"], "node", "left")
+    # a component is named by a node of it, so that its own row comes from both
+    with planned_once(labels.sparkSession):
+        return staged(known.select("node", F.coalesce("into", "component").alias("component")).union(merged).distinct(), "labels")
+
+
 def _owned(rows: DataFrame, labels: DataFrame | None, column: str, spread: str, name: str) -> DataFrame:
     """``rows`` with the component of ``column``; one without links is its own."""
     if labels is None:
@@ -313,38 +332,40 @@ def _owned(rows: DataFrame, labels: DataFrame | None, column: str, spread: str,
 
 
 def _one_leader(offers: DataFrame, labels: DataFrame | None, k: int) -> DataFrame:
-    """(a, b): for each node one of its leaders in another component, in the first
-    round the least, then another one each round."""
-    if labels is not None:
+    """(a, b, one, two): for each node b one of its leaders in another component, in the
+    first round the least, then another one each round, and the components of both."""
+    if labels is None:
+        offers = offers.select("*", F.col("leader").alias("_theirs"), F.col("node").alias("_own"))
+    else:
         offers = _owned(_owned(offers, labels, "leader", "node", "_theirs"), labels, "node", "leader", "_own")
         offers = offers.filter("_theirs <> _own")
     order = F.xxhash64("leader", F.lit(k)) if k else F.col("leader")
-    return offers.groupBy("node").agg(F.min(F.struct(order.alias("o"), "leader")).alias("x")).select(
-        F.col("x.leader").alias("a"), F.col("node").alias("b"))
+    return offers.groupBy("node").agg(F.min(F.struct(order.alias("o"), "leader", "_theirs", "_own")).alias("x")).select(
+        F.col("x.leader").alias("a"), F.col("node").alias("b"), F.col("x._theirs").alias("one"), F.col("x._own").alias("two"))
 
 
-def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, askers: DataFrame | None) -> DataFrame:
+def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, among: DataFrame | None) -> DataFrame:
     """(key, node, own, main, outside, size, n, bits) of the buckets in ``members`` (key,
     node) that hold several components: the member's own and the bucket's largest,
     its members and those outside the largest. Of buckets with the same members one
-    is left, and with ``askers`` those that one of these is in."""
-    members = members.select("key", "node").distinct()
-    if askers is not None:
-        members = members.join(members.join(askers, "node", "left_semi").select("key").distinct(), "key", "left_semi")
-    rows = _owned(members, labels, "node", "key", "own")
+    is left; with ``among`` (own) only members of these components count."""
+    rows = _owned(members.select("key", "node").distinct(), labels, "node", "key", "own")
+    if among is not None:
+        rows = attach(rows, among, ["own"], "node")
     parts = rows.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"))
     keys = parts.groupBy("key").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count(F.lit(1)).alias("parts"),
                                     F.max("size").alias("most"), F.sum("size").alias("size"), F.sum("x").alias("x"))
     keys = keys.filter("parts > 1").groupBy("size", "x").agg(F.min(F.struct("key", "main", "most")).alias("k"))
     keys = keys.select("k.key", "k.main", (F.col("size") - F.col("k.most")).alias("outside"), "size")
-    rows = attach(rows, keys, ["key"], "node")
+    rows = attach(rows.select("key", "node", "own"), keys, ["key"], "node")
     return attach(rows, sketches.select("node", "n", "bits"), ["node"], "key")
 
 
-def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | None, near: Near, partners: int = 1) -> DataFrame:
-    """Pairs (a, b): for each member outside its bucket's main component, or each of the
-    ``askers`` wherever they are, and each foreign component, the members of that component whose bitmaps differ least,
-    ``partners`` at most, out of those that may be similar enough and are not refuted."""
+def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: int = 1) -> DataFrame:
+    """(a, b, one, two): pairs of members and their components, so that components whose
+    members may be similar enough, by their bitmaps, and are not refuted are connected in
+    each bucket: ``forests`` times over, where there are as many pairs. Of two components
+    the ``forests`` pairs whose bitmaps differ least are left."""
     blocks, stretches = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("size") / STRETCH).cast("int")
     block, stretch = salt(F.col("node"), blocks), salt(F.xxhash64("node", F.lit(1)), stretches)
 
@@ -353,8 +374,7 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | No
 
     facts = ["key", "node", "own", "n", "bits"]
     nothing = F.array().cast("array<long>").alias("refuted")
-    held = mixed.filter("own <> main") if askers is None else mixed.join(askers, "node", "left_semi")
-    held = held.select(*facts, block.alias("block"), every(stretches).alias("stretch"))
+    held = mixed.filter("own <> main").select(*facts, block.alias("block"), every(stretches).alias("stretch"))
     if refuted is None:
         held = held.select("*", nothing)
     else:
@@ -367,7 +387,7 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | No
             .sortWithinPartitions(*order, "kind", "node"))
 
     def run(batches):
-        group, best = None, {}
+        group, found, mine, graph = None, [], [], Forests(forests)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -376,16 +396,17 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | No
             starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (turn[1:] != turn[:-1])])
             for start, end in zip(starts, [*starts[1:], len(key)], strict=True):
                 if group != (key[start], part[start], turn[start]):
-                    yield _pairs_found(best)
-                    group, best, mine = (key[start], part[start], turn[start]), {}, []
+                    group, mine, graph = (key[start], part[start], turn[start]), [], Forests(forests)
                 middle = start + int((kind[start:end] == 0).sum())
                 for i in range(start, middle):
-                    mine.append((int(node[i]), own[i], n[i], bits[i].copy(), np.array(batch.column(8)[i].as_py(), np.int64)))
+                    mine.append((int(node[i]), int(own[i]), n[i], bits[i].copy(), np.array(batch.column(8)[i].as_py(), np.int64)))
                 if middle == end:
                     continue
                 theirs, sizes, comps, maps = node[middle:end], n[middle:end], own[middle:end], bits[middle:end]
+                places = graph.places(comps)
                 for a, a_own, a_n, a_bits, known in mine:
                     may = (comps != a_own) & (100 * np.minimum(sizes, a_n) >= near.percent * np.maximum(sizes, a_n))
+                    may &= graph.wanted(a_own, places)
                     at = np.flatnonzero(may)
                     if not len(at):
                         continue
@@ -395,18 +416,63 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, askers: DataFrame | No
                         may &= ~np.isin(theirs[at], known)
                     at, differ = at[may], differ[may]
                     order = np.lexsort((theirs[at], differ))
-                    for k in order[_first_of_each(comps[at[order]], partners)]:
-                        best.setdefault((a, int(comps[at[k]])), set()).add((int(differ[k]), int(theirs[at[k]])))
-                for pair, found in best.items():
-                    if len(found) > partners:
-                        best[pair] = set(sorted(found)[:partners])
-        yield _pairs_found(best)
+                    order = order[np.sort(_first_of_each(places[at[order]], forests))]
+                    for k in order[graph.add(a_own, places[at[order]])]:
+                        found.append((a_own, int(comps[at[k]]), int(differ[k]), a, int(theirs[at[k]])))
+            yield _pairs_found(found)
+            found = []
 
     with arrow_rows(mixed.sparkSession, 2_000):
-        found = staged(rows.mapInArrow(run, "a long, theirs long, differ long, b long"), "nearest")
-    found = found.groupBy("a", "theirs").agg(F.array_sort(F.collect_set(F.struct("differ", "b"))).alias("xs"))
-    found = found.select("a", F.explode(F.slice("xs", 1, partners)).alias("x"))
-    return found.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
+        found = staged(rows.mapInArrow(run, "one long, two long, differ long, a long, b long"), "nearest")
+    found = found.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"), "differ",
+                         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = found.groupBy("one", "two").agg(F.array_sort(F.collect_set(F.struct("differ", "a", "b"))).alias("xs"))
+    return found.select("one", "two", F.explode(F.slice("xs", 1, forests)).alias("x")).select("x.a", "x.b", "one", "two")
+
+
+class Forests:
+    """``n`` forests without a common edge, of a graph whose edges come one star at a time:
+    an edge goes into the first forest in which it closes no circle. What no forest takes
+    joins vertices that each of them connects."""
+
+    def __init__(self, n: int) -> None:
+        self.at: dict[int, int] = {}
+        self.trees = [np.zeros(0, dtype=np.int64) for _ in range(n)]  # by place: a place that names its tree
+
+    def places(self, vertices: np.ndarray) -> np.ndarray:
+        names, which = np.unique(vertices, return_inverse=True)
+        return np.array([self._place(x) for x in names.tolist()], dtype=np.int64)[which]
+
+    def _place(self, vertex: int) -> int:
+        return self.at.setdefault(vertex, len(self.at))
+
+    def _tree(self, i: int) -> np.ndarray:
+        tree = self.trees[i]
+        if len(tree) < len(self.at):
+            tree = self.trees[i] = np.r_[tree, np.arange(len(tree), len(self.at))]
+        return tree
+
+    def wanted(self, centre: int, places: np.ndarray) -> np.ndarray:
+        """Which ends the last forest does not connect with the centre; other edges no
+        forest would take."""
+        centre, tree = self._place(centre), self._tree(len(self.trees) - 1)
+        return tree[places] != tree[centre]
+
+    def add(self, centre: int, places: np.ndarray) -> np.ndarray:
+        """Numbers of the edges from ``centre`` to ``places`` that a forest takes, those
+        that come first before others."""
+        centre, left, taken = self._place(centre), np.arange(len(places)), []
+        for i in range(len(self.trees)):
+            if not len(left):
+                break
+            tree = self._tree(i)
+            ends = tree[places[left]]
+            first = np.unique(ends, return_index=True)[1]
+            first = first[ends[first] != tree[centre]]
+            taken.append(left[first])
+            tree[np.isin(tree, ends[first])] = tree[centre]
+            left = np.delete(left, first)
+        return np.sort(np.concatenate(taken)) if taken else np.zeros(0, dtype=np.int64)
 
 
 def _first_of_each(values: np.ndarray, n: int) -> np.ndarray:
@@ -417,6 +483,5 @@ def _first_of_each(values: np.ndarray, n: int) -> np.ndarray:
     return by[rank < n]
 
 
-def _pairs_found(best: dict) -> pa.RecordBatch:
-    rows = [(a, theirs, differ, b) for (a, theirs), found in best.items() for differ, b in found]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["a", "theirs", "differ", "b"])
+def _pairs_found(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], ["one", "two", "differ", "a", "b"])

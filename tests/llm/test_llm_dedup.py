@@ -140,6 +140,38 @@ def test_rounds_grow_with_the_logarithm_of_the_refuted(documents, monkeypatch):
     assert 2 <= names.count("closest") <= 6
 
 
+def test_a_group_of_near_copies_is_connected_by_few_pairs(spark, documents, monkeypatch):
+    """Each of 60 near copies is a component of its own at first: what is asked grows with
+    the components of a bucket, not with its pairs, of which there are 1,770."""
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10 ** 9)}" for _ in range(80)]
+    rows = [(i, " ".join([*base[:i], f"v{i}", *base[i + 1:]])) for i in range(60)]
+    counts, stage, adaptive = [], minhash_dedup.staged, spark.conf.get("spark.sql.adaptive.enabled")
+
+    def noted(df, name):
+        out = stage(df, name)
+        counts.extend([out.count()] if name == "closest" else [])
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "staged", noted)
+    monkeypatch.setattr(minhash_dedup, "ROUNDS", 0)
+    got = minhash_dedup.near_dedup(documents(rows), minhash_dedup.Near(shingle=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_brute(rows, 2)
+    assert 59 <= sum(counts) < 700
+    assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
+
+
+def test_forests_keep_what_connects():
+    rng = random.Random(9)
+    edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(600)]
+    for n in (1, 3):
+        graph, taken = minhash_dedup.Forests(n), []
+        for a in range(40):
+            ends = np.array([y for x, y in edges if x == a and y != a], dtype=np.int64)
+            taken += [(a, int(ends[i])) for i in graph.add(a, graph.places(ends))]
+        assert roots(taken) == roots([e for e in edges if e[0] != e[1]]) and len(taken) <= 39 * n
+
+
 def test_bitmaps_differ_in_no_more_bits_than_their_sets():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2 ** 63, 400, dtype=np.int64).astype(np.uint64)
