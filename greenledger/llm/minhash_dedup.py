@@ -47,7 +47,7 @@ BLOCK, STRETCH = 256, 8192
 
 #: Forests that a task gives in a round: one at first, then ``MORE`` times as many,
 #: ``FORESTS`` at most.
-MORE, FORESTS = 8, 64
+MORE, FORESTS = 64, 64
 
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -288,7 +288,8 @@ def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, text
     while True:
         with planned_once(spark):
             asked = staged(_mixed(asked, sketches, labels, open_), "mixed")
-            pairs = staged(_closest(asked, refuted, near, forests), "closest")
+            nearest = _closest(asked, refuted, near, forests)
+            pairs = staged(_of_components(nearest, forests), "closest")
         if pairs.isEmpty():
             break
         found = staged(confirmed(pairs, texts, near), "links")
@@ -298,6 +299,11 @@ def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, text
             labels = _connected(labels, pairs, found)
         if wrong.isEmpty():  # every forest stands: what may be similar is connected
             break
+        if pairs.filter("cut").isEmpty():  # only buckets that hold more than they gave have something left
+            left = nearest.filter("one IS NULL").select("key").distinct()
+            if left.isEmpty():
+                break
+            asked = asked.join(left, "key", "left_semi")
         refuted = wrong if refuted is None else refuted.union(wrong)
         # more at a time, so that rounds grow with the logarithm of what is refuted
         forests = min(forests * MORE, FORESTS)
@@ -351,21 +357,21 @@ def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, am
     is left; with ``among`` (own) only members of these components count."""
     rows = _owned(members.select("key", "node").distinct(), labels, "node", "key", "own")
     if among is not None:
-        rows = attach(rows, among, ["own"], "node")
+        rows = staged(attach(rows, among, ["own"], "node"), "among")
     parts = rows.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"))
     keys = parts.groupBy("key").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count(F.lit(1)).alias("parts"),
                                     F.max("size").alias("most"), F.sum("size").alias("size"), F.sum("x").alias("x"))
     keys = keys.filter("parts > 1").groupBy("size", "x").agg(F.min(F.struct("key", "main", "most")).alias("k"))
-    keys = keys.select("k.key", "k.main", (F.col("size") - F.col("k.most")).alias("outside"), "size")
-    rows = attach(rows.select("key", "node", "own"), keys, ["key"], "node")
+    keys = staged(keys.select("k.key", "k.main", (F.col("size") - F.col("k.most")).alias("outside"), "size"), "keys")
+    rows = staged(attach(rows.select("key", "node", "own"), keys, ["key"], "node"), "members")
     return attach(rows, sketches.select("node", "n", "bits"), ["node"], "key")
 
 
 def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: int = 1) -> DataFrame:
-    """(a, b, one, two): pairs of members and their components, so that components whose
-    members may be similar enough, by their bitmaps, and are not refuted are connected in
-    each bucket: ``forests`` times over, where there are as many pairs. Of two components
-    the ``forests`` pairs whose bitmaps differ least are left."""
+    """(key, one, two, differ, a, b): pairs of members and their components, so that components
+    whose members may be similar enough, by their bitmaps, and are not refuted are connected in
+    each bucket: ``forests`` times over, where there are as many pairs. A row of the key alone
+    stands for what a bucket holds beyond that."""
     blocks, stretches = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("size") / STRETCH).cast("int")
     block, stretch = salt(F.col("node"), blocks), salt(F.xxhash64("node", F.lit(1)), stretches)
 
@@ -402,12 +408,14 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: i
                     mine.append((int(node[i]), int(own[i]), n[i], bits[i].copy(), np.array(batch.column(8)[i].as_py(), np.int64)))
                 if middle == end:
                     continue
+                cut = False
                 theirs, sizes, comps, maps = node[middle:end], n[middle:end], own[middle:end], bits[middle:end]
                 places = graph.places(comps)
                 for a, a_own, a_n, a_bits, known in mine:
                     may = (comps != a_own) & (100 * np.minimum(sizes, a_n) >= near.percent * np.maximum(sizes, a_n))
-                    may &= graph.wanted(a_own, places)
-                    at = np.flatnonzero(may)
+                    wanted = graph.wanted(a_own, places)
+                    cut |= bool((may & ~wanted).any())
+                    at = np.flatnonzero(may & wanted)
                     if not len(at):
                         continue
                     differ = differing_bits(maps[at], a_bits)
@@ -417,17 +425,28 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: i
                     at, differ = at[may], differ[may]
                     order = np.lexsort((theirs[at], differ))
                     order = order[np.sort(_first_of_each(places[at[order]], forests))]
-                    for k in order[graph.add(a_own, places[at[order]])]:
-                        found.append((a_own, int(comps[at[k]]), int(differ[k]), a, int(theirs[at[k]])))
+                    taken = order[graph.add(a_own, places[at[order]])]
+                    cut |= len(taken) < len(at)
+                    for k in taken:
+                        found.append((int(key[start]), a_own, int(comps[at[k]]), int(differ[k]), a, int(theirs[at[k]])))
+                if cut:
+                    found.append((int(key[start]), None, None, None, None, None))
             yield _pairs_found(found)
             found = []
 
     with arrow_rows(mixed.sparkSession, 2_000):
-        found = staged(rows.mapInArrow(run, "one long, two long, differ long, a long, b long"), "nearest")
-    found = found.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"), "differ",
-                         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return staged(rows.mapInArrow(run, "key long, one long, two long, differ long, a long, b long"), "nearest")
+
+
+def _of_components(nearest: DataFrame, forests: int) -> DataFrame:
+    """(a, b, one, two, cut): of two components the ``forests`` pairs whose bitmaps differ
+    least, and whether there are more."""
+    found = nearest.filter("one IS NOT NULL").select(
+        F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"), "differ",
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     found = found.groupBy("one", "two").agg(F.array_sort(F.collect_set(F.struct("differ", "a", "b"))).alias("xs"))
-    return found.select("one", "two", F.explode(F.slice("xs", 1, forests)).alias("x")).select("x.a", "x.b", "one", "two")
+    found = found.select("one", "two", (F.size("xs") > forests).alias("cut"), F.explode(F.slice("xs", 1, forests)).alias("x"))
+    return found.select("x.a", "x.b", "one", "two", "cut")
 
 
 class Forests:
@@ -484,4 +503,5 @@ def _first_of_each(values: np.ndarray, n: int) -> np.ndarray:
 
 
 def _pairs_found(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], ["one", "two", "differ", "a", "b"])
+    names = ["key", "one", "two", "differ", "a", "b"]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(6)], names)
