@@ -46,6 +46,20 @@ def test_settings_for_smaller_tasks_stay(spark, settings, fixture_refs, monkeypa
     assert settings.get(FIRST) == "5000" and {settings.get(name) for name in SIZES} == {"1m"}
 
 
+def test_partitions_of_one_large_key_are_split(spark, fixture_refs):
+    """Readings have few units: the partition of one of them is split from a few tasks' bytes on."""
+    name = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    was = spark.conf.get(name)
+    try:
+        for before, after in (("256MB", session.SKEWED_BYTES), ("1m", 1 << 20)):
+            spark.conf.set(name, before)
+            ReportingBuild(spark, fixture_raw(fixture_refs, spark, [reading(1)]), PARAMS)
+            assert session._bytes(spark.conf.get(name)) == after
+        assert session.SKEWED_BYTES == 4 * session.TASK_BYTES
+    finally:
+        spark.conf.set(name, was)
+
+
 def test_bytes_count_each_file_once(spark, tmp_path):
     path = str(tmp_path / "rows with blanks")
     spark.range(1000).repartition(3).write.parquet(path)
