@@ -11,10 +11,11 @@ similar; a document is only ever compared with a leader of another component.
 Then buckets whose members are still in different components are searched: a
 block of members outside the bucket's main component is held against the whole
 bucket by bitmaps of the sets. What may be similar makes a graph of the bucket's
-components, of which a task gives a spanning forest, and in later rounds several
-forests without a common pair. Its pairs are confirmed on the full sets, what is
-similar is connected, and the search goes on among the components that a refuted pair
-was to connect, until nothing is left to ask. So every candidate pair is confirmed,
+components, of which a task gives a spanning forest, and in later searches several
+forests without a common pair. All these pairs are confirmed on the full sets, refuted,
+or have their ends connected by others. Buckets that hold more than they gave are
+searched again, among the components that their pairs were to connect and did not,
+until nothing is left to ask. So every candidate pair is confirmed,
 refuted or connected, and what leaves a task grows with the components in a bucket,
 not with its pairs. Links connect components that are known already, so later rounds
 connect few. The bitmaps lose nothing: two sets differ in at least as many elements as the
@@ -45,9 +46,9 @@ ROUNDS, BITMAP = 2, 16
 #: Members that a task holds against a bucket, and rows of the bucket that pass it.
 BLOCK, STRETCH = 256, 8192
 
-#: Forests that a task gives in a round: one at first, then ``MORE`` times as many,
-#: ``FORESTS`` at most.
-MORE, FORESTS = 64, 64
+#: Forests that a task gives in a search, after the first one, and pairs of two components that
+#: are asked at once: one at first, then ``MORE`` times as many each time.
+FORESTS, MORE = 512, 64
 
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -283,35 +284,68 @@ def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, text
         if pairs.isEmpty():
             break
         labels = _connected(labels, pairs, staged(confirmed(pairs, texts, near), "links"))
-    asked, refuted, open_, forests = members, None, None, 1
+    asked, refuted, forests = staged(_mixed(members, sketches, labels), "mixed"), None, 1
     while True:
-        asked = staged(_mixed(asked, sketches, labels, open_), "mixed")
         nearest = _closest(asked, refuted, near, forests)
+        labels, refuted = _settled(nearest, labels, refuted, texts, near, min(forests, MORE))
+        parts = _open_parts(nearest, labels)
+        if parts is None:
+            break
+        forests = FORESTS
+        asked = staged(_still_mixed(asked, parts, sketches, labels), "mixed")
+    if labels is None:
+        labels = sketches.select("node", F.col("node").alias("component")).limit(0)
+    return labels
+
+
+def _settled(nearest: DataFrame, labels: DataFrame | None, refuted: DataFrame | None, texts: DataFrame,
+             near: Near, most: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """``labels`` and ``refuted`` (a, b) once every pair that the buckets gave is confirmed, refuted or
+    inside a component. Of two components the ``most`` closest pairs are asked at first and ``MORE``
+    times as many each time."""
+    spark = texts.sparkSession
+    given = nearest.filter("one IS NOT NULL").select(
+        "one", "two", "differ", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    while True:
         with planned_once(spark):
-            pairs = staged(_of_components(nearest, forests), "closest")
+            pairs = staged(_of_components(given, most), "closest")
         if pairs.isEmpty():
-            break
+            return labels, refuted
         found = staged(confirmed(pairs, texts, near), "links")
         with planned_once(spark):
             wrong = staged(pairs.join(found, ["a", "b"], "left_anti").select("a", "b"), "refuted")
         if not found.isEmpty():
             labels = _connected(labels, pairs, found)
-        if wrong.isEmpty():  # every forest stands: what may be similar is connected
-            break
-        if pairs.filter("cut").isEmpty():  # only buckets that hold more than they gave have something left
-            left = nearest.filter("one IS NULL").select("key").distinct()
-            if left.isEmpty():
-                break
-            asked = asked.join(left, "key", "left_semi")
+        if wrong.isEmpty():  # the closest pair of any two components connects them
+            return labels, refuted
         refuted = wrong if refuted is None else refuted.union(wrong)
-        # more at a time, so that rounds grow with the logarithm of what is refuted
-        forests = min(forests * MORE, FORESTS)
-        # two members that are not connected yet each have a refuted pair in their component
-        ends = wrong.select(F.col("a").alias("node")).union(wrong.select("b")).distinct()
-        open_ = _owned(ends, labels, "node", "node", "own").select("own").distinct()
-    if labels is None:
-        labels = sketches.select("node", F.col("node").alias("component")).limit(0)
-    return labels
+        with planned_once(spark):
+            rest = given.dropDuplicates(["a", "b"]).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+            given = staged(_apart(rest, labels, "a"), "given")
+        if given.isEmpty():
+            return labels, refuted
+        most *= MORE  # so that rounds grow with the logarithm of what is refuted
+
+
+def _apart(pairs: DataFrame, labels: DataFrame | None, spread: str) -> DataFrame:
+    """Those of ``pairs`` whose components ``one`` and ``two`` are not connected by now, with what
+    they have become."""
+    pairs = pairs.withColumnsRenamed({"one": "_one", "two": "_two"})
+    now = _owned(_owned(pairs, labels, "_one", spread, "one"), labels, "_two", spread, "two")
+    return now.filter("one <> two").drop("_one", "_two")
+
+
+def _open_parts(nearest: DataFrame, labels: DataFrame | None) -> DataFrame | None:
+    """(key, own): the components that a bucket's pairs, all asked by now, have left apart, of
+    buckets that hold more than they gave; None if there are none. Any two members of a bucket that
+    may be similar are connected by pairs that it gave, so that no other component has one left."""
+    more = nearest.filter("one IS NULL").select("key").distinct()
+    if more.isEmpty():
+        return None
+    given = nearest.filter("one IS NOT NULL").select("key", "one", "two").distinct()
+    apart = _apart(attach(given, more, ["key"], "one"), labels, "key")
+    parts = staged(apart.select("key", F.col("one").alias("own")).union(apart.select("key", "two")).distinct(), "parts")
+    return None if parts.isEmpty() else parts
 
 
 def _connected(labels: DataFrame | None, pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -349,21 +383,40 @@ def _one_leader(offers: DataFrame, labels: DataFrame | None, k: int) -> DataFram
         F.col("x.leader").alias("a"), F.col("node").alias("b"), F.col("x._theirs").alias("one"), F.col("x._own").alias("two"))
 
 
-def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, among: DataFrame | None) -> DataFrame:
+def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None) -> DataFrame:
     """(key, node, own, main, outside, size, n, bits) of the buckets in ``members`` (key,
     node) that hold several components: the member's own and the bucket's largest,
-    its members and those outside the largest. Of buckets with the same members one
-    is left; with ``among`` (own) only members of these components count."""
+    its members and those outside the largest."""
     rows = _owned(members.select("key", "node").distinct(), labels, "node", "key", "own")
-    if among is not None:
-        rows = staged(attach(rows, among, ["own"], "node"), "among")
-    parts = rows.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"))
+    keys = staged(_several(_parts(rows)), "keys")
+    rows = staged(attach(rows, keys, ["key"], "node"), "members")
+    return attach(rows, sketches.select("node", "n", "bits"), ["node"], "key")
+
+
+def _still_mixed(mixed: DataFrame, among: DataFrame, sketches: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``mixed`` after ``labels`` have changed, of the buckets and components in ``among`` (key,
+    own) alone. Components of a bucket are chosen before their members, so that a large one that
+    few buckets ask for is not fetched from all."""
+    parts = _owned(_parts(mixed).withColumnRenamed("own", "was"), labels, "was", "key", "own")
+    parts = staged(attach(parts, among, ["key", "own"], "was"), "parts")
+    chosen = attach(parts.select("key", "was", "own"), staged(_several(parts), "keys"), ["key"], "was")
+    rows = attach(mixed.select("key", "node", F.col("own").alias("was")), chosen, ["key", "was"], "node").drop("was")
+    return attach(staged(rows, "members"), sketches.select("node", "n", "bits"), ["node"], "key")
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """(key, own, size, x): a bucket's components, their members and a checksum of these."""
+    return rows.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"))
+
+
+def _several(parts: DataFrame) -> DataFrame:
+    """(key, main, outside, size) of the buckets that hold several components. Of buckets with the
+    same members one is left."""
+    parts = parts.groupBy("key", "own").agg(F.sum("size").alias("size"), F.sum("x").alias("x"))
     keys = parts.groupBy("key").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count(F.lit(1)).alias("parts"),
                                     F.max("size").alias("most"), F.sum("size").alias("size"), F.sum("x").alias("x"))
     keys = keys.filter("parts > 1").groupBy("size", "x").agg(F.min(F.struct("key", "main", "most")).alias("k"))
-    keys = staged(keys.select("k.key", "k.main", (F.col("size") - F.col("k.most")).alias("outside"), "size"), "keys")
-    rows = staged(attach(rows.select("key", "node", "own"), keys, ["key"], "node"), "members")
-    return attach(rows, sketches.select("node", "n", "bits"), ["node"], "key")
+    return keys.select("k.key", "k.main", (F.col("size") - F.col("k.most")).alias("outside"), "size")
 
 
 def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: int = 1) -> DataFrame:
@@ -437,15 +490,15 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: i
         return staged(rows.mapInArrow(run, "key long, one long, two long, differ long, a long, b long"), "nearest")
 
 
-def _of_components(nearest: DataFrame, forests: int) -> DataFrame:
-    """(a, b, one, two, cut): of two components the ``forests`` pairs whose bitmaps differ
-    least, and whether there are more."""
-    found = nearest.filter("one IS NOT NULL").select(
-        F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"), "differ",
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = found.groupBy("one", "two").agg(F.array_sort(F.collect_set(F.struct("differ", "a", "b"))).alias("xs"))
-    found = found.select("one", "two", (F.size("xs") > forests).alias("cut"), F.explode(F.slice("xs", 1, forests)).alias("x"))
-    return found.select("x.a", "x.b", "one", "two", "cut")
+def _of_components(given: DataFrame, most: int) -> DataFrame:
+    """(a, b, one, two): of two components the ``most`` pairs whose bitmaps differ least."""
+    pairs = given.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"),
+                         F.struct("differ", "a", "b").alias("x")).groupBy("one", "two")
+    if most == 1:
+        pairs = pairs.agg(F.min("x").alias("x"))
+    else:
+        pairs = pairs.agg(F.array_sort(F.collect_set("x")).alias("xs")).select("one", "two", F.explode(F.slice("xs", 1, most)).alias("x"))
+    return pairs.select("x.a", "x.b", "one", "two")
 
 
 class Forests:
@@ -455,7 +508,7 @@ class Forests:
 
     def __init__(self, n: int) -> None:
         self.at: dict[int, int] = {}
-        self.trees = [np.zeros(0, dtype=np.int64) for _ in range(n)]  # by place: a place that names its tree
+        self.trees = [np.zeros(0, dtype=np.int64)] * n  # by place: a place that names its tree; none is changed while empty
 
     def places(self, vertices: np.ndarray) -> np.ndarray:
         names, which = np.unique(vertices, return_inverse=True)

@@ -161,6 +161,36 @@ def test_a_group_of_near_copies_is_connected_by_few_pairs(spark, documents, monk
     assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
 
 
+def test_only_buckets_that_hold_more_are_searched_again(documents, monkeypatch):
+    """Far copies of two groups' first texts share buckets with many near copies and are
+    refuted: later searches fetch members of the buckets that hold more than they gave, once."""
+    rng = random.Random(8)
+    rows, count = [], 60
+    for group in range(2):
+        base = [f"w{rng.randrange(10 ** 9)}" for _ in range(900)]
+
+        def changed(n, base=base):
+            text = list(base)
+            for at in rng.sample(range(0, 900, 3), n):
+                text[at] = f"v{rng.randrange(10 ** 9)}"
+            return " ".join(text)
+
+        rows += [(1000 * group + i, changed(2)) for i in range(count)]
+        rows += [(1000 * group + 500 + i, changed(54 + i)) for i in range(3)]
+    fetched, stage = [], minhash_dedup.staged
+
+    def noted(df, name):
+        out = stage(df, name)
+        fetched.extend([out.count()] if name in ("among", "members") else [])
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "staged", noted)
+    got = minhash_dedup.near_dedup(documents(rows), minhash_dedup.Near(shingle=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_brute(rows, 2)
+    assert len({r.component_id for r in got}) > 2
+    assert sum(fetched[1:]) <= 1.2 * fetched[0]
+
+
 def test_forests_keep_what_connects():
     rng = random.Random(9)
     edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(600)]
