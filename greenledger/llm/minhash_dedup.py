@@ -10,7 +10,8 @@ with one leader of its buckets, on the full shingle sets, and connect what is
 similar; a document is only ever compared with a leader of another component.
 Then buckets whose members are still in different components are searched: a
 block of members outside the bucket's main component is held against the whole
-bucket by bitmaps of the sets. What may be similar makes a graph of the bucket's
+bucket by bitmaps of the sets. Buckets with the same main component hold much the same
+members and are searched as one, where that has fewer pairs to look at. What may be similar makes a graph of the bucket's
 components, of which a task gives a spanning forest, and in later searches several
 forests without a common pair. All these pairs are confirmed on the full sets, refuted,
 or have their ends connected by others. Buckets that hold more than they gave are
@@ -153,6 +154,12 @@ def key_of(u: str, v: str, i: str, j: str) -> str:
     return f"xxhash64({u}, {v}, {i}, {j})"
 
 
+def share_a_key(hashes: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which of ``hashes``, of a node each, share a hash of both collections with ``own``, and so a key."""
+    first, second = np.split(hashes == own, 2, axis=1)
+    return first.any(axis=1) & second.any(axis=1)
+
+
 def bucket_members(nodes: DataFrame, near: Near) -> DataFrame:
     """(key, node, leader, edge) of every key that two nodes may share. Keys are
     dealt out in ranges of (key, node), so that a hot key spans several tasks:
@@ -292,7 +299,7 @@ def _components(offers: DataFrame, members: DataFrame, sketches: DataFrame, text
         if parts is None:
             break
         forests = FORESTS
-        asked = staged(_still_mixed(asked, parts, sketches, labels), "mixed")
+        asked = staged(_still_mixed(asked, parts, labels), "mixed")
     if labels is None:
         labels = sketches.select("node", F.col("node").alias("component")).limit(0)
     return labels
@@ -384,24 +391,46 @@ def _one_leader(offers: DataFrame, labels: DataFrame | None, k: int) -> DataFram
 
 
 def _mixed(members: DataFrame, sketches: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(key, node, own, main, outside, size, n, bits) of the buckets in ``members`` (key,
+    """(key, node, own, main, outside, size, n, bits, hashes) of the buckets in ``members`` (key,
     node) that hold several components: the member's own and the bucket's largest,
-    its members and those outside the largest."""
-    rows = _owned(members.select("key", "node").distinct(), labels, "node", "key", "own")
-    keys = staged(_several(_parts(rows)), "keys")
-    rows = staged(attach(rows, keys, ["key"], "node"), "members")
-    return attach(rows, sketches.select("node", "n", "bits"), ["node"], "key")
-
-
-def _still_mixed(mixed: DataFrame, among: DataFrame, sketches: DataFrame, labels: DataFrame | None) -> DataFrame:
+    its members and those outside the largest. Buckets of one main component are pooled."""
+    spark = sketches.sparkSession
+    parts = staged(_parts(_owned(members.select("key", "node").distinct(), labels, "node", "key", "own")), "parts")
+    keys = staged(_several(parts), "keys")
+    with planned_once(spark):
+        nodes = staged(_owned(sketches.select("node"), labels, "node", "node", "own"), "nodes")
+        pools, apart = _pools(parts, keys, nodes)
+    pooled = attach(nodes, pools, ["own"], "node")
+    rest = _owned(attach(members.select("key", "node"), apart, ["key"], "node").distinct(), labels, "node", "key", "own")
+    rows = staged(pooled.unionByName(rest), "members")
+    return attach(rows, sketches.select("node", "n", "bits", "hashes"), ["node"], "key")
+
+
+def _pools(parts: DataFrame, keys: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, own, main, outside, size) of pools, and those of ``keys`` that are in none. A pool has
+    all members of the components in the buckets of one main component, which hold much the same members
+    over and over. It is made where it has no more pairs to hold against each other than its buckets
+    have in all; it has no more members than these then, as it has all that is outside in any of them."""
+    near = attach(parts.select("key", "own"), keys.select("key", "main"), ["key"], "own").select("main", "own").distinct()
+    near = staged(attach(near, nodes.groupBy("own").agg(F.count(F.lit(1)).alias("members")), ["own"], "main"), "near")
+    pools = near.groupBy("main").agg(
+        F.sum("members").alias("size"), F.sum(F.when(F.col("own") != F.col("main"), F.col("members"))).alias("outside"))
+    held = keys.groupBy("main").agg(F.min("key").alias("key"), F.sum(F.col("size").cast("double") * F.col("outside")).alias("pairs"))
+    pools = pools.join(held, "main").filter(F.col("size").cast("double") * F.col("outside") <= F.col("pairs")).drop("pairs")
+    pools = staged(pools, "pools")
+    apart = attach(keys, pools.select("main", F.lit(True).alias("pooled")), ["main"], "key", "left").filter("pooled IS NULL").drop("pooled")
+    return staged(attach(near.drop("members"), pools, ["main"], "own"), "pooled"), staged(apart, "apart")
+
+
+def _still_mixed(mixed: DataFrame, among: DataFrame, labels: DataFrame | None) -> DataFrame:
     """``mixed`` after ``labels`` have changed, of the buckets and components in ``among`` (key,
     own) alone. Components of a bucket are chosen before their members, so that a large one that
     few buckets ask for is not fetched from all."""
     parts = _owned(_parts(mixed).withColumnRenamed("own", "was"), labels, "was", "key", "own")
     parts = staged(attach(parts, among, ["key", "own"], "was"), "parts")
     chosen = attach(parts.select("key", "was", "own"), staged(_several(parts), "keys"), ["key"], "was")
-    rows = attach(mixed.select("key", "node", F.col("own").alias("was")), chosen, ["key", "was"], "node").drop("was")
-    return attach(staged(rows, "members"), sketches.select("node", "n", "bits"), ["node"], "key")
+    rows = mixed.select("key", "node", F.col("own").alias("was"), "n", "bits", "hashes")
+    return attach(rows, chosen, ["key", "was"], "node").drop("was")
 
 
 def _parts(rows: DataFrame) -> DataFrame:
@@ -421,7 +450,7 @@ def _several(parts: DataFrame) -> DataFrame:
 
 def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: int = 1) -> DataFrame:
     """(key, one, two, differ, a, b): pairs of members and their components, so that components
-    whose members may be similar enough, by their bitmaps, and are not refuted are connected in
+    whose members share a key, may be similar enough, by their bitmaps, and are not refuted are connected in
     each bucket: ``forests`` times over, where there are as many pairs. A row of the key alone
     stands for what a bucket holds beyond that."""
     blocks, stretches = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("size") / STRETCH).cast("int")
@@ -430,7 +459,7 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: i
     def every(n: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), n - 1))
 
-    facts = ["key", "node", "own", "n", "bits"]
+    facts = ["key", "node", "own", "n", "bits", "hashes"]
     nothing = F.array().cast("array<long>").alias("refuted")
     held = mixed.filter("own <> main").select(*facts, block.alias("block"), every(stretches).alias("stretch"))
     if refuted is None:
@@ -441,7 +470,7 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: i
     passing = mixed.select(*facts, every(blocks).alias("block"), stretch.alias("stretch"), nothing)
     rows = held.withColumn("kind", F.lit(0)).unionByName(passing.withColumn("kind", F.lit(1)))
     order = ["key", "block", "stretch"]
-    rows = (rows.select(*order, "kind", "node", "own", "n", "bits", "refuted").repartition(*order)
+    rows = (rows.select(*order, "kind", "node", "own", "n", "bits", "hashes", "refuted").repartition(*order)
             .sortWithinPartitions(*order, "kind", "node"))
 
     def run(batches):
@@ -451,19 +480,21 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: i
                 continue
             key, part, turn, kind, node, own, n = (batch.column(i).to_numpy() for i in range(7))
             bits = batch.column(7).flatten().to_numpy().reshape(-1, BITMAP)
+            hashes = batch.column(8).flatten().to_numpy().reshape(-1, 2 * near.bands)
             starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (turn[1:] != turn[:-1])])
             for start, end in zip(starts, [*starts[1:], len(key)], strict=True):
                 if group != (key[start], part[start], turn[start]):
                     group, mine, graph = (key[start], part[start], turn[start]), [], Forests(forests)
                 middle = start + int((kind[start:end] == 0).sum())
                 for i in range(start, middle):
-                    mine.append((int(node[i]), int(own[i]), n[i], bits[i].copy(), np.array(batch.column(8)[i].as_py(), np.int64)))
+                    known = np.array(batch.column(9)[i].as_py(), np.int64)
+                    mine.append((int(node[i]), int(own[i]), n[i], bits[i].copy(), hashes[i].copy(), known))
                 if middle == end:
                     continue
                 cut = False
-                theirs, sizes, comps, maps = node[middle:end], n[middle:end], own[middle:end], bits[middle:end]
+                theirs, sizes, comps, maps, keys = (x[middle:end] for x in (node, n, own, bits, hashes))
                 places = graph.places(comps)
-                for a, a_own, a_n, a_bits, known in mine:
+                for a, a_own, a_n, a_bits, a_hashes, known in mine:
                     may = (comps != a_own) & (100 * np.minimum(sizes, a_n) >= near.percent * np.maximum(sizes, a_n))
                     wanted = graph.wanted(a_own, places)
                     cut |= bool((may & ~wanted).any())
@@ -475,6 +506,8 @@ def _closest(mixed: DataFrame, refuted: DataFrame | None, near: Near, forests: i
                     if len(known):
                         may &= ~np.isin(theirs[at], known)
                     at, differ = at[may], differ[may]
+                    may = share_a_key(keys[at], a_hashes)
+                    at, differ = at[may], differ[may]
                     order = np.lexsort((theirs[at], differ))
                     order = order[np.sort(_first_of_each(places[at[order]], forests))]
                     taken = order[graph.add(a_own, places[at[order]])]

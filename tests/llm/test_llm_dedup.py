@@ -191,6 +191,54 @@ def test_only_buckets_that_hold_more_are_searched_again(documents, monkeypatch):
     assert sum(fetched[1:]) <= 1.2 * fetched[0]
 
 
+def test_members_of_many_like_buckets_are_fetched_once(documents, monkeypatch):
+    """Far copies of a text share most of their buckets with its many near copies: these
+    are fetched for one search, not for each of the buckets."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10 ** 9)}" for _ in range(900)]
+
+    def changed(n):
+        text = list(base)
+        for at in rng.sample(range(0, 900, 3), n):
+            text[at] = f"v{rng.randrange(10 ** 9)}"
+        return " ".join(text)
+
+    rows = [(i, changed(2)) for i in range(80)] + [(500 + i, changed(54 + i)) for i in range(4)]
+    fetched, stage = [], minhash_dedup.staged
+
+    def noted(df, name):
+        out = stage(df, name)
+        fetched.extend([out.count()] if name == "mixed" else [])
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "staged", noted)
+    got = minhash_dedup.near_dedup(documents(rows), minhash_dedup.Near(shingle=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_brute(rows, 2)
+    assert len({r.component_id for r in got}) > 1
+    assert fetched and max(fetched) <= 2 * len(rows)
+
+
+def test_buckets_are_pooled_where_that_has_no_more_pairs(spark):
+    """Buckets 1 and 2 hold the same but for a member; 11 to 13 hold little of a large component."""
+    own = {n: 1 for n in range(1, 7)} | {n: 100 for n in range(100, 130)}
+    buckets = {1: [1, 2, 3, 4, 5, 50, 51], 2: [1, 2, 3, 4, 6, 50, 51], 3: [100, 101],
+               11: [100, 101, 60], 12: [102, 103, 61], 13: [104, 105, 62]}
+    nodes = sorted({*own, *(n for b in buckets.values() for n in b)})
+    sketches = spark.createDataFrame([(n, 7, [n], [n]) for n in nodes], "node long, n long, bits array<long>, hashes array<long>")
+    members = spark.createDataFrame([(k, n) for k, b in buckets.items() for n in b], "key long, node long")
+    got = minhash_dedup._mixed(members, sketches, spark.createDataFrame(list(own.items()), "node long, component long"))
+    want = {(1, n, own.get(n, n), 1, 2, 8) for n in [1, 2, 3, 4, 5, 6, 50, 51]}
+    want |= {(k, n, own.get(n, n), 100, 1, 3) for k in (11, 12, 13) for n in buckets[k]}
+    rows = [tuple(r) for r in got.select("key", "node", "own", "main", "outside", "size").collect()]
+    assert len(rows) == len(want) and set(rows) == want
+
+
+def test_a_key_needs_a_hash_of_both_collections():
+    own = np.array([1, 2, 3, 4])
+    hashes = np.array([[1, 0, 0, 4], [1, 2, 0, 0], [0, 0, 3, 4], [2, 1, 4, 3], [1, 2, 3, 4]])
+    assert minhash_dedup.share_a_key(hashes, own).tolist() == [True, False, False, False, True]
+
+
 def test_forests_keep_what_connects():
     rng = random.Random(9)
     edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(600)]
